@@ -20,17 +20,23 @@ STROKED = {"Ð": "Đ", "Ɖ": "Đ", "ð": "đ", "ɖ": "đ"}
 # End of the fixed values.
 
 CONFUSABLE = CYRILLIC | GREEK | ARMENIAN | CHEROKEE
+def _class(*ranges: int | tuple[int, int]) -> str:
+    """The inside of a character class."""
+    return "".join(re.escape(chr(r)) if isinstance(r, int) else f"{chr(r[0])}-{chr(r[1])}" for r in ranges)
+
+
 #: Blanks other than U+0020; line breaks are none.
-BLANKS = "\t\x0b\x0c               　"
-#: Characters without width, as ranges of a pattern: soft hyphen, fillers, joiners, direction marks, variation selectors, tags.
-WIDTHLESS = (
-    "­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ"
-    "︀-️﻿ﾠ￹-￻\U000e0000-\U000e0fff"
-)
+BLANKS = _class(0x09, 0x0B, 0x0C, 0xA0, 0x1680, (0x2000, 0x200A), 0x202F, 0x205F, 0x3000)
+#: Characters without width: soft hyphen, fillers, joiners, direction marks, variation selectors, tags.
+WIDTHLESS = _class(
+    0xAD, 0x34F, 0x61C, 0x115F, 0x1160, 0x17B4, 0x17B5, (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), 0x3164,
+    (0xFE00, 0xFE0F), 0xFEFF, 0xFFA0, (0xFFF9, 0xFFFB), (0xE0000, 0xE0FFF),
+)
 _WIDE = {0xFF01 + i: 0x21 + i for i in range(94)}
-_SINGLE = _WIDE | dict.fromkeys(map(ord, BLANKS), " ") | {ord(a): b for a, b in STROKED.items()}
+_SINGLE = _WIDE | {ord(a): b for a, b in STROKED.items()}
+_BLANK = re.compile(f"[{BLANKS}]")
 _DROP = re.compile(f"[{WIDTHLESS}]")
-_ODD = re.compile(f"[{re.escape(BLANKS)}{WIDTHLESS}{''.join(STROKED)}\uff01-\uff5e]")
+_ODD = re.compile(f"[{BLANKS}{WIDTHLESS}{''.join(STROKED)}\uff01-\uff5e]")
 _SCRIPTED = re.compile("[\u0370-\u052f\u0531-\u058f\u13a0-\u13ff\u1f00-\u1fff]")
 _TOKEN = re.compile(r"[^\W_](?:[^\W_]|[\u0300-\u036f])*")
 
@@ -90,7 +96,7 @@ def consistent(text: str) -> str:
     if text.isascii() and not _ODD.search(text):
         return text
     if _ODD.search(text):
-        text = _DROP.sub("", text).translate(_SINGLE)
+        text = _BLANK.sub(" ", _DROP.sub("", text)).translate(_SINGLE)
     if not unicodedata.is_normalized("NFC", text):
         text = unicodedata.normalize("NFC", text)
     if _SCRIPTED.search(text):

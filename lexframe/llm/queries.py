@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import lookalikes, repetition, tokenize
+from . import hyperminhash, lookalikes, overlaps, repetition, tokenize
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,34 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values.select("record_id", "field", F.sha2(F.col("clean").cast("binary"), 256).alias("clean_sha256"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = overlaps.overlapping_rows(table(spark, sf_dir, "ner_dataset"))
+    return pairs.select(F.least("eval_id", "train_id").alias("row_a"), F.greatest("eval_id", "train_id").alias("row_b"))
+
+
+def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "ner_dataset")
+    return overlaps.overlap_report(rows, overlaps.overlapping_rows(rows))
+
+
+def p5_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-same texts: the containment of an evaluation text in a training text."""
+    _, links = overlaps.containments(table(spark, sf_dir, "ner_dataset"))
+    return links.select("a", "b", "shared", (F.col("shared") / F.col("n_a")).alias("containment"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = hyperminhash.member_pairs(*hyperminhash.near_duplicates(table(spark, sf_dir, "vb_documents")))
+    return pairs.select(F.col("row_a").alias("record_a"), F.col("row_b").alias("record_b"))
+
+
+def p7_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record: its class, and the number of other classes that it is linked to."""
+    classes, links = hyperminhash.near_duplicates(table(spark, sf_dir, "vb_documents"))
+    per_class = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n"))
+    return classes.join(per_class, "class_id", "left").select("record_id", "class_id", F.coalesce("n", F.lit(0)).alias("n_links"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -28,6 +56,11 @@ def p10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p5_report": p5_report,
+    "p5_containment": p5_containment,
+    "p7_found": p7_found,
+    "p7_classes": p7_classes,
     "p8_ids": p8_ids,
     "p10_found": p10_found,
     "p10_repetition": p10_repetition,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .textvec import chunks, mix, ngrams, words
+from .textvec import chunks, mix, ngrams, text_lengths, words
 
 #: Words of a passage, share of repeated words from which a document fails, words below which none is judged.
 PASSAGE, SHARE_TENTHS, LEAST_WORDS = 8, 3, 40
@@ -40,7 +40,7 @@ def measure_repetition(df: DataFrame, key: str = "doc_id", text: str = "text", p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lengths = pa.compute.fill_null(pa.compute.utf8_length(batch.column(1)), 0).to_pylist()
+            lengths = text_lengths(batch.column(1))
             for a, b in chunks(lengths):
                 part = batch.slice(a, b - a)
                 total, again = repeated_words([t or "" for t in part.column(1).to_pylist()], passage)

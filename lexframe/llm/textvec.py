@@ -6,6 +6,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Code points taken into arrays at a time; a longer document is taken alone, whole.
 CHUNK = 1_000_000
@@ -22,6 +24,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S31)
 
 
+def text_lengths(column: pa.Array) -> list[int]:
+    """Code points of each text; 0 for null."""
+    return pc.fill_null(pc.utf8_length(column), 0).to_pylist()
+
+
 def chunks(lengths: list[int], limit: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Ranges of documents with at most `limit` code points together, or one document."""
     first, total = 0, 0

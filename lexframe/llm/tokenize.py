@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .textvec import chunks, codepoints
+from .textvec import chunks, codepoints, text_lengths
 
 #: Where the vocabulary files lie; a parameter of every function that reads one.
 FOLDER = os.environ.get("LEXFRAME_TOKENIZERS", "/opt/tokenizers")
@@ -199,7 +199,7 @@ def encode_documents(df: DataFrame, key: str = "doc_id", text: str = "text", nam
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(name, folder)
         for batch in batches:
-            lengths = pa.compute.fill_null(pa.compute.utf8_length(batch.column(1)), 0).to_pylist()
+            lengths = text_lengths(batch.column(1))
             for a, b in chunks(lengths):
                 part = batch.slice(a, b - a)
                 ids, ends, at = own.encode(_texts(part.column(1)))
@@ -223,7 +223,7 @@ def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", name: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(name, folder)
         for batch in batches:
-            lengths = pa.compute.fill_null(pa.compute.utf8_length(batch.column(1)), 0).to_pylist()
+            lengths = text_lengths(batch.column(1))
             for a, b in chunks(lengths):
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own.counts(_texts(part.column(1))), pa.int64())], [key, "n_tokens"])
