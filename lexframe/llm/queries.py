@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import hyperminhash, lookalikes, overlaps, repetition, tokenize
+from . import hyperminhash, lookalikes, names, overlaps, repetition, tokenize
+
+
+def p1_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name that denotes an entry, with the spelling there."""
+    return names.link_documents(*(table(spark, sf_dir, t) for t in ("vb_documents", "officials", "agencies", "job_titles")))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_links(spark, sf_dir).where("value <> name").select("record_id", "field", "entity_id").distinct()
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +64,8 @@ def p10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_links": p1_links,
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_report": p5_report,
