@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
 from .lookalikes import consistent
 
 #: Shortest proper suffix of a token, entries beyond which a suffix is common.
@@ -378,14 +379,16 @@ def link_documents(docs: DataFrame, officials: DataFrame, agencies: DataFrame, t
     posts = titles.select(F.col("title_id").alias("entity_id"), F.col("title").alias("name"), F.lit(None).cast("string").alias("short_name"))
     people = officials.select(F.col("person_id").alias("entity_id"), F.col("full_name").alias("name"), F.col("agency_id").alias("office"), F.col("title_id").alias("title"))
     by_office = link_register(rows.select(F.col("issuer").alias("value")).distinct(), offices, "office").select(F.col("value").alias("issuer"), F.col("entity_id").alias("office"))
+    by_office = checkpointed(by_office)  # short tables: three links in one plan are more than a small driver needs to hold
     by_title = link_register(rows.select(F.col("signer_title").alias("value")).distinct(), posts, "title").select(F.col("value").alias("signer_title"), F.col("entity_id").alias("title"))
+    by_title = checkpointed(by_title)
     known = rows.join(by_office, "issuer", "left").join(by_title, "signer_title", "left")
 
     def state(column: str, linked: str) -> Column:
         return F.when(F.col(linked).isNotNull(), "linked").when(F.col(column).isNull(), "empty").otherwise("unknown")
 
     known = known.select("record_id", "signer", "issuer", "signer_title", "office", "title", state("issuer", "office").alias("office_state"), state("signer_title", "title").alias("title_state"))
-    persons = link_persons(known.select(F.col("signer").alias("value"), "office", "office_state", "title", "title_state").distinct(), people)
+    persons = checkpointed(link_persons(known.select(F.col("signer").alias("value"), "office", "office_state", "title", "title_state").distinct(), people))
     signers = known.where("title_state <> 'unknown'").alias("k").join(
         persons.alias("p"),
         F.expr("k.signer = p.value and k.office <=> p.office and k.title <=> p.title and k.office_state = p.office_state"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import hyperminhash, lookalikes, names, overlaps, repetition, tokenize
+from . import containers, hyperminhash, lookalikes, markup, names, overlaps, repetition, tokenize
 
 
 def p1_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,18 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_links(spark, sf_dir).where("value <> name").select("record_id", "field", "entity_id").distinct()
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_elements(spark, sf_dir).select("record_id", "kind", "content").distinct()
+
+
+def p3_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.markup_elements(table(spark, sf_dir, "vb_documents"))
+
+
+def p3_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.markup_texts(table(spark, sf_dir, "vb_documents"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = lookalikes.consistent_values(table(spark, sf_dir, "vb_documents"), "record_id", ["signer", "issuer", "full_text"])
     return values.select("record_id", "field", F.sha2(F.col("clean").cast("binary"), 256).alias("clean_sha256"))
@@ -55,6 +67,15 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def p9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containers.pack_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_sizes"))
+
+
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers of each kind, and the share of their capacity that is used."""
+    return containers.fill_report(p9_pack(spark, sf_dir), table(spark, sf_dir, "pack_sizes"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p10_repetition(spark, sf_dir).where("failed").select("doc_id").distinct()
 
@@ -66,6 +87,9 @@ def p10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_links": p1_links,
+    "p3_found": p3_found,
+    "p3_elements": p3_elements,
+    "p3_texts": p3_texts,
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_report": p5_report,
@@ -73,6 +97,8 @@ QUERIES = {
     "p7_found": p7_found,
     "p7_classes": p7_classes,
     "p8_ids": p8_ids,
+    "p9_pack": p9_pack,
+    "p9_fill": p9_fill,
     "p10_found": p10_found,
     "p10_repetition": p10_repetition,
 }
