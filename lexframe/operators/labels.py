@@ -18,25 +18,29 @@ METADATA = ("attribute_json.metadata.", "schema_json.current_document.")
 def flatten_json(df: DataFrame, column: str, keys: list[str], depth: int = 8) -> DataFrame:
     """(keys, path, value, type) of the leaves of JSON texts, `[]` in a path for the entries of an array.
 
-    Null leaves are kept, empty containers and unreadable texts have none. One pass for each level
-    down to `depth`, by a loop over the plan; what is nested deeper comes as JSON text of its type.
+    Null leaves are kept, empty containers and unreadable texts have none. What is nested deeper than
+    `depth` comes as one leaf, JSON text of its type. Levels are arrays of one row, so there is one scan
+    and one explode, and no shuffle.
     """
-    level = df.select(*keys, F.lit("").alias("path"), F.try_parse_json(F.col(column)).alias("v")).where("v is not null")
-    out = None
+    leaf = "struct<path:string,value:string,type:string>"
+    kind = lambda n: F.schema_of_variant(n["v"])
+    inner = lambda n: kind(n).rlike("^(OBJECT|ARRAY)")
+
+    def children(n: Column) -> Column:
+        head = F.when(n["path"] == "", F.lit("")).otherwise(F.concat(n["path"], F.lit(".")))
+        members = F.transform(F.map_entries(F.try_variant_get(n["v"], "$", "map<string,variant>")), lambda m: F.struct(F.concat(head, m["key"]).alias("path"), m["value"].alias("v")))
+        entries = F.transform(F.try_variant_get(n["v"], "$", "array<variant>"), lambda e: F.struct(F.concat(n["path"], F.lit("[]")).alias("path"), e.alias("v")))
+        return F.when(kind(n).startswith("OBJECT"), members).otherwise(entries)
+
+    def ends(level: Column, last: bool) -> Column:
+        chosen = level if last else F.filter(level, lambda n: ~inner(n))
+        return F.transform(chosen, lambda n: F.struct(n["path"].alias("path"), F.try_variant_get(n["v"], "$", "string").alias("value"), F.lower(F.regexp_extract(kind(n), "^([A-Z]+)", 1)).alias("type")))
+
+    rows = df.select(*keys, F.array(F.struct(F.lit("").alias("path"), F.try_parse_json(F.col(column)).alias("v"))).alias("_level"), F.expr(f"cast(array() as array<{leaf}>)").alias("_ends")).where("_level[0].v is not null")
     for d in range(depth + 1):
-        kind = F.schema_of_variant("v")
-        is_object, is_array = kind.startswith("OBJECT"), kind.startswith("ARRAY")
-        container = (is_object | is_array) if d < depth else F.lit(False)
-        leaves = level.where(~container).select(*keys, "path", F.expr("variant_get(v, '$', 'string')").alias("value"), F.lower(F.regexp_extract(kind, "^([A-Z]+)", 1)).alias("type"))
-        out = leaves if out is None else out.unionByName(leaves)
-        if d == depth:
-            break
-        members = F.try_variant_get("v", "$", "map<string,variant>")
-        entries = F.try_variant_get("v", "$", "array<variant>")
-        objects = level.where(is_object).select(*keys, "path", F.explode(members).alias("_k", "v")).select(*keys, F.concat(F.when(F.col("path") == "", "").otherwise(F.concat("path", F.lit("."))), "_k").alias("path"), "v")
-        arrays = level.where(is_array).select(*keys, F.concat("path", F.lit("[]")).alias("path"), F.explode(entries).alias("v"))
-        level = objects.unionByName(arrays)
-    return out
+        level = F.col("_level")
+        rows = rows.select(*keys, F.concat("_ends", ends(level, d == depth)).alias("_ends"), *([] if d == depth else [F.flatten(F.transform(F.filter(level, inner), children)).alias("_level")]))
+    return rows.select(*keys, F.inline("_ends"))
 
 
 def shape_of(column: Column) -> Column:

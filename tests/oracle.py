@@ -64,7 +64,10 @@ if __name__ == "__main__":
     for name in sys.argv[2:] or queries:
         began = time.time()
         if name in sql:
-            said = differences(spark, db, sys.argv[1], name, queries[name], sql[name]) or "same"
+            try:
+                said = differences(spark, db, sys.argv[1], name, queries[name], sql[name]) or "same"
+            except Exception as e:  # the other queries are still of interest
+                said = f"{type(e).__name__}: {str(e)[:600]}"
         else:
             said = f"{queries[name](spark, sys.argv[1]).count()} rows, no SQL"
         bad += said[:4] != "same" and "no SQL" not in said
