@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +22,11 @@ PLAIN_FROM, PLAIN_TO = "\r\u2018\u2019\u201c\u201d\u2013\u2014\u2212", "\n''\"\"
 # End of the fixed values.
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often it is referred to."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _folding() -> tuple[str, str]:
     """Accented Latin letters and their base letters, by decomposition."""
     pairs = {}
@@ -147,11 +153,14 @@ def value_variants(c: Column) -> Column:
     The value; of a long legal title the type and number; of an ISO date three other forms; the value
     without blanks around `/` and `-`, and with these swapped. Empty values and ``--`` have none.
     """
-    value = normalize_fast(c)
-    legal = F.rtrim(F.regexp_extract(value, r"(?iu)^(.+?\bsố[ \t\n\r]+[^ \t\n\r]+)", 1))
-    legal = F.regexp_replace(legal, "[.,;:]+$", "")
-    year, month, day = (F.regexp_extract(value, r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", i) for i in (1, 2, 3))
-    real = F.try_to_date(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))).isNotNull() & (year != "")
+    return bound(normalize_fast(c), _variants)
+
+
+def _variants(value: Column) -> Column:
+    legal = F.regexp_replace(F.rtrim(F.regexp_extract(value, r"(?iu)^(.+?\bsố[ \t\n\r]+[^ \t\n\r]+)", 1)), "[.,;:]+$", "")
+    date = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$"
+    year, month, day = (F.regexp_extract(value, date, i) for i in (1, 2, 3))
+    real = value.rlike(date) & F.try_to_date(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))).isNotNull()
     bare = lambda x: F.regexp_replace(x, "^0(?=.)", "")
     dates = F.when(
         real,
@@ -162,8 +171,8 @@ def value_variants(c: Column) -> Column:
         ),
     ).otherwise(F.array().cast("array<string>"))
     compact = F.regexp_replace(value, r"[ \t\n\r]*([/-])[ \t\n\r]*", "$1")
-    every = F.concat(F.array(value, legal), dates, F.array(compact, F.translate(compact, "/", "-"), F.translate(compact, "-", "/")))
-    return F.array_distinct(F.filter(every, lambda v: (v != "") & (v != "--")))
+    swapped = bound(compact, lambda x: F.array(x, F.translate(x, "/", "-"), F.translate(x, "-", "/")))
+    return F.array_distinct(F.filter(F.concat(F.array(value, legal), dates, swapped), lambda v: (v != "") & (v != "--")))
 
 
 def payload_bytes(c: Column) -> Column:

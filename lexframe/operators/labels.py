@@ -62,11 +62,11 @@ def path_profile(leaves: DataFrame, texts: DataFrame, text: str, keys: list[str]
     folded. Examples are the first values in order, shortened to 200 characters.
     """
     total = texts.agg(F.greatest(F.count("*"), F.lit(1)).alias("n"))
-    rows = leaves.join(texts.select(*keys, F.col(text).alias("_text")), keys)
-    variants = X.value_variants(F.col("value"))
-    exact = F.exists(variants, lambda v: F.contains(F.col("_text"), v))
-    folded = F.exists(variants, lambda v: F.contains(F.lower("_text"), F.lower(v)))
-    rows = rows.select(*keys, "path", "value", exact.alias("e"), folded.alias("f"))
+    rows = leaves.join(texts.select(*keys, F.col(text).alias("_text"), F.lower(text).alias("_low")), keys)
+    exact = lambda vs: F.exists(vs, lambda v: F.contains(F.col("_text"), v))
+    folded = lambda vs: F.exists(vs, lambda v: F.contains(F.col("_low"), F.lower(v)))
+    hits = X.bound(X.value_variants(F.col("value")), lambda vs: F.struct(exact(vs).alias("e"), folded(vs).alias("f")))
+    rows = rows.select(*keys, "path", "value", hits.alias("h")).select(*keys, "path", "value", "h.e", "h.f")
     mean = lambda c: F.avg(c.cast("double"))
     found = rows.groupBy("path").agg(
         F.countDistinct(*keys).alias("documents"),
@@ -105,9 +105,9 @@ def weak_spans(leaves: DataFrame, labels: DataFrame, texts: DataFrame, text: str
     labels: (path, name, allow_multiple). Where a label doesn't allow several, the first span of each value counts.
     """
     wanted = leaves.join(F.broadcast(labels.select("path", "name", "allow_multiple")), "path")  # one row for each path of the schema
-    found = wanted.join(texts.select(*keys, F.col(text).alias("_text")), keys)
-    variants = found.select(*keys, "path", "name", "allow_multiple", "value", "_text", F.explode(X.value_variants(F.col("value"))).alias("variant"))
-    at = variants.select(*keys, "path", "name", "allow_multiple", "value", F.length("variant").alias("_n"), F.explode(spans.occurrences(F.col("_text"), F.col("variant"))).alias("start_char"))
+    found = wanted.join(texts.select(*keys, F.col(text).alias("_text"), spans.folded(F.col(text)).alias("_low")), keys)
+    variants = found.select(*keys, "path", "name", "allow_multiple", "value", "_text", "_low", F.explode(X.value_variants(F.col("value"))).alias("variant"))
+    at = variants.select(*keys, "path", "name", "allow_multiple", "value", F.length("variant").alias("_n"), F.explode(spans.occurrences(F.col("_text"), F.col("variant"), F.col("_low"))).alias("start_char"))
     every = at.select(*keys, "path", "name", "allow_multiple", "value", "start_char", (F.col("start_char") + F.col("_n")).alias("end_char")).distinct()
     one = every.where("not allow_multiple").groupBy(*keys, "path", "name", "value").agg(F.min(F.struct("start_char", "end_char")).alias("s")).select(*keys, "path", F.col("name").alias("label"), "s.start_char", "s.end_char")
     return one.unionByName(every.where("allow_multiple").select(*keys, "path", F.col("name").alias("label"), "start_char", "end_char"))

@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import BLANKS
+
 #: Identifiers at the end of an address: a UUID, or digits after two hyphens.
 URL_ID = r"(?i)(?:([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})|--([0-9]+))/*\s*$"
 
 
 def same_id(column: Column) -> Column:
     """The form under which ids are compared: trimmed, lower case; null stays null."""
-    return F.lower(F.regexp_replace(column, r"^[\s ]+|[\s ]+$", ""))
+    return F.lower(F.regexp_replace(column, f"^[{BLANKS}\n\r]+|[{BLANKS}\n\r]+$", ""))
 
 
 def id_of_url(column: Column) -> Column:

@@ -5,23 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
 
-def occurrences(text: Column, needle: Column) -> Column:
+
+def folded(text: Column) -> Column:
+    """The text in lower case; null where that isn't as long, as offsets would shift."""
+    return bound(F.lower(text), lambda low: F.when(F.length(low) == F.length(text), low))
+
+
+def occurrences(text: Column, needle: Column, low: Column | None = None) -> Column:
     """Start offsets of the occurrences of `needle` that don't overlap, case aside; none for an empty needle.
 
-    Case is folded character by character, so offsets hold for the text as it is.
+    `low` is `folded(text)`, for callers that have it already. Where it is null, case counts.
     """
-    folded, sought = F.lower(text), F.lower(needle)
-    same = F.length(folded) == F.length(text)  # a character whose lower case is two would shift what follows
-    parts = F.split(F.when(same, folded).otherwise(text), F.concat(F.lit("\\Q"), F.when(same, sought).otherwise(needle), F.lit("\\E")))
+    low = folded(text) if low is None else low
+    parts = F.when(low.isNotNull(), F.split(low, F.concat(F.lit("\\Q"), F.lower(needle), F.lit("\\E")))).otherwise(F.split(text, F.concat(F.lit("\\Q"), needle, F.lit("\\E"))))
     step = F.length(needle)
-    starts = F.aggregate(
-        F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))),
-        F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("next")),
-        lambda a, p: F.struct(F.concat(a["at"], F.array(a["next"] + F.length(p))).alias("at"), (a["next"] + F.length(p) + step).alias("next")),
-        lambda a: a["at"],
-    )
-    return F.when(needle != "", starts).otherwise(F.array().cast("array<int>"))
+    none = F.array().cast("array<int>")
+
+    def starts(p: Column) -> Column:
+        return F.aggregate(
+            F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0))),
+            F.struct(none.alias("found"), F.lit(0).alias("next")),
+            lambda a, x: F.struct(F.concat(a["found"], F.array(a["next"] + F.length(x))).alias("found"), (a["next"] + F.length(x) + step).alias("next")),
+            lambda a: a["found"],
+        )
+
+    return F.when(needle != "", bound(parts, starts)).otherwise(none)
 
 
 def find_spans(df: DataFrame, text: str, needles: DataFrame, keys: list[str]) -> DataFrame:
@@ -32,6 +42,7 @@ def find_spans(df: DataFrame, text: str, needles: DataFrame, keys: list[str]) ->
     when it has at most 10,000 rows.
     """
     shared = [k for k in keys if k in needles.columns]
+    df = df.select(*keys, F.col(text).alias("_text"), folded(F.col(text)).alias("_low"))
     if shared:
         joined = df.join(needles, shared)
     else:
@@ -40,7 +51,7 @@ def find_spans(df: DataFrame, text: str, needles: DataFrame, keys: list[str]) ->
             raise ValueError("a needle list without keys is limited to 10,000 rows")
         listed = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.variant).alias("variant")) for r in rows]) if rows else F.array().cast("array<struct<label:string,variant:string>>")
         joined = df.select("*", F.explode(listed).alias("n")).select("*", "n.label", "n.variant").drop("n")
-    at = joined.select(*keys, "label", F.length("variant").alias("size"), F.explode(occurrences(F.col(text), F.col("variant"))).alias("start_char"))
+    at = joined.select(*keys, "label", F.length("variant").alias("size"), F.explode(occurrences(F.col("_text"), F.col("variant"), F.col("_low"))).alias("start_char"))
     return at.select(*keys, "label", "start_char", (F.col("start_char") + F.col("size")).alias("end_char")).distinct()
 
 

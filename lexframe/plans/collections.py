@@ -9,7 +9,7 @@ from ..functions import text as X
 from ..operators import collection as C
 from ..operators import references
 from ..session import table
-from .problems import _EDGES_SQL, EDGES, flat_tables
+from .problems import _EDGES_SQL, _ENDS, EDGES, flat_tables
 from .texts import _FOLDED, _HTML, _SAFE
 
 
@@ -129,7 +129,7 @@ _ALIASES = "case type_id " + " ".join(f"when '{k}' then '{v}'" for k, v in C.TYP
 _E = lambda c: f"coalesce({c}, '')"
 _MISSING = lambda c: f"coalesce(nullif({c}, ''), '--')"
 _RELATIONS = "(values " + ", ".join(f"('{k}', '{d}', '{n[i]}')" for k, n in C.RELATIONS.items() for i, d in enumerate(("outgoing", "incoming"))) + ") as kinds(code, direction, relation_type)"
-_KEY = "lower(regexp_replace({0}, '^[\\s ]+|[\\s ]+$', '', 'g'))"
+_KEY = f"lower(regexp_replace({{0}}, {_ENDS}, '', 'g'))"
 _NAME = "lower(regexp_extract(path, '([^/]*)$', 1))"
 _RAW = "coalesce(doc_number, '')"
 

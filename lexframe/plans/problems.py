@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import BLANKS
 from ..operators import inlining, references
 from ..session import table
 
@@ -49,19 +50,22 @@ def p2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.current_orphans(counts)
 
 
-_REFS_SQL = r"""
+#: White space at either end, as a SQL literal.
+_ENDS = "'" + f"^[{BLANKS}\n\r]+|[{BLANKS}\n\r]+$" + "'"
+
+_REFS_SQL = rf"""
 refs as (
   select * from (
     select 'vb_documents' as table_name, record_id as row_id, scraped_at as ts,
-           coalesce(nullif(lower(regexp_replace(r.item_id, '^[\s ]+|[\s ]+$', '', 'g')), ''),
-                    lower(nullif(regexp_extract(r.url, '(?i)([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})/*\s*$', 1), '')),
+           coalesce(nullif(lower(regexp_replace(r.item_id, {_ENDS}, '', 'g')), ''),
+                    lower(nullif(regexp_extract(r.url, '(?i)([0-9a-f]{{8}}(?:-[0-9a-f]{{4}}){{3}}-[0-9a-f]{{12}})/*\s*$', 1), '')),
                     nullif(regexp_extract(r.url, '--([0-9]+)/*\s*$', 1), '')) as ref_id
     from (select record_id, scraped_at, unnest(related_docs) as r from vb_documents)
     union all
-    select 'ner_dataset', row_id, built_at, lower(regexp_replace(document_id, '^[\s ]+|[\s ]+$', '', 'g')) from ner_dataset
+    select 'ner_dataset', row_id, built_at, lower(regexp_replace(document_id, {_ENDS}, '', 'g')) from ner_dataset
   ) where ref_id is not null),
-recs as (select lower(regexp_replace(item_id, '^[\s ]+|[\s ]+$', '', 'g')) as ref_id, scraped_at as ts from vb_documents),
-rems as (select lower(regexp_replace(item_id, '^[\s ]+|[\s ]+$', '', 'g')) as ref_id, removed_at as ts from removals)"""
+recs as (select lower(regexp_replace(item_id, {_ENDS}, '', 'g')) as ref_id, scraped_at as ts from vb_documents),
+rems as (select lower(regexp_replace(item_id, {_ENDS}, '', 'g')) as ref_id, removed_at as ts from removals)"""
 
 _ORPHANS_SQL = f"""{_REFS_SQL},
 ids as (select distinct ref_id, ts from refs),

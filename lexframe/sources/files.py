@@ -46,7 +46,7 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     path = F.regexp_replace("path", "^file:/*", "/")
     root = re.sub("^file:/*", "/", folder).rstrip("/") + "/"
     content = F.when(F.lower("path").endswith(".json"), F.try_validate_utf8(F.decode("content", "UTF-8")))
-    bad = F.lower("path").endswith(".json") & F.try_parse_json(F.regexp_replace(content, "^﻿", "")).isNull()
+    bad = F.lower("path").endswith(".json") & F.try_parse_json(F.regexp_replace(content, "^\ufeff", "")).isNull()
     return files.select(
         path.alias("path"), F.replace(path, F.lit(root), F.lit("")).alias("relative_path"), F.regexp_extract(path, "([^/]*)$", 1).alias("name"), X.extension(path).alias("extension"),
         file_kind(path).alias("kind"), F.col("length").alias("size_bytes"), (~bad).alias("readable"), F.when(bad, "not JSON").otherwise("").alias("error"),
@@ -57,7 +57,7 @@ def file_item_ids(spark: SparkSession, folder: str) -> DataFrame:
     """(directory, name, kind, item_id) for `pair_files`: the id that an attribute or relation file names."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     path = F.regexp_replace("path", "^file:/*", "/")
-    parsed = F.when(file_kind(path).isin("attribute_json", "schema_json"), F.try_parse_json(F.regexp_replace(F.decode("content", "UTF-8"), "^﻿", "")))
+    parsed = F.when(file_kind(path).isin("attribute_json", "schema_json"), F.try_parse_json(F.regexp_replace(F.decode("content", "UTF-8"), "^\ufeff", "")))
     item = X.name_of(F.try_variant_get(parsed, "$.metadata.item_id", "string"), F.try_variant_get(parsed, "$.current_document.item_id", "string"))
     return files.select(F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("directory"), F.regexp_extract(path, "([^/]*)$", 1).alias("name"), file_kind(path).alias("kind"), item.alias("item_id"))
 
@@ -188,7 +188,7 @@ def read_key_set(spark: SparkSession, path: str) -> DataFrame:
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file with a header, all strings, with or without a byte order mark."""
     df = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", True).option("escape", '"').csv(path)
-    return df.toDF(*[c.lstrip("﻿") for c in df.columns])
+    return df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
 
 
 def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
@@ -200,7 +200,7 @@ def read_exported_ids(spark: SparkSession, folder: str, types: list[str] | None
     """(item_id, type_dir) of exported attribute files in `<folder>/<type>/<document>/thuoc_tinh.json`; only the types' folders are listed."""
     paths = [f"{folder}/{t}/*/thuoc_tinh.json" for t in types] if types else [f"{folder}/*/*/thuoc_tinh.json"]
     rows = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(paths)
-    parsed = F.try_parse_json(F.regexp_replace(F.decode("content", "UTF-8"), "^﻿", ""))
+    parsed = F.try_parse_json(F.regexp_replace(F.decode("content", "UTF-8"), "^\ufeff", ""))
     found = rows.select(F.try_variant_get(parsed, "$.metadata.item_id", "string").alias("item_id"), F.regexp_extract("path", "([^/]+)/[^/]+/[^/]+$", 1).alias("type_dir"))
     return found.where("item_id <> ''").distinct()
 
