@@ -69,7 +69,7 @@ def normalized(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["text", "offsets"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def match_form(values: pd.Series) -> pd.Series:
     """The form in which values are compared: normalized and case-folded."""
     return values.map(lambda v: None if v is None else normalize_text(v).casefold())

@@ -151,7 +151,7 @@ def value_variants(c: Column) -> Column:
     """Ways in which a value can stand in a text, without repeats, in order.
 
     The value; of a long legal title the type and number; of an ISO date three other forms; the value
-    without blanks around `/` and `-`, and with these swapped. Empty values and ``--`` have none.
+    without blanks around `/` and `-`, and with these swapped. Empty forms and ``--`` are left out.
     """
     return bound(normalize_fast(c), _variants)
 

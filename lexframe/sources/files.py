@@ -40,7 +40,8 @@ Converter = Callable[[bytes], bytes]
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, relative_path, name, extension, kind, size_bytes, readable, error) of all files below a folder.
 
-    JSON files are parsed to see whether they can be read; of the others the content isn't looked at.
+    JSON files are parsed to see whether they can be read; of the others the content isn't looked at. Files without a
+    byte are left out, as the source skips them.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     path = F.regexp_replace("path", "^file:/*", "/")

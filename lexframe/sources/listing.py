@@ -79,7 +79,7 @@ class PagePartition(InputPartition):
 
 class ListingReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.options = dict(options)
+        self.options = options  # a mapping that takes names in any case
         self.size = int(options.get("pageSize", 50))
         self.type_id, self.keyword = options.get("typeId", ""), options.get("keyword", "")
         self.after = int(options.get("afterPage", 0))
@@ -130,6 +130,8 @@ class ListingSource(DataSource):
 
 
 def read_listing(spark: SparkSession, **options: str | int) -> DataFrame:
+    """The listing as a DataFrame; filters on type and keyword reach the source."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(ListingSource)
     return spark.read.format("document_listing").options(**options).load()
 
