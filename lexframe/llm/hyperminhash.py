@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed
 from .lookalikes import consistent
+from .pairs import equal_pairs
 from .textvec import chunks, mix, shingle_sets, text_lengths
 
 #: Sketches of one set, buckets of a sketch, mantissa bits of a register, registers of a band.
@@ -170,14 +171,14 @@ def near_duplicates(df: DataFrame, key: str = "record_id", head: str = "title",
     same: at 0.7 a pair is missed by all bands with a probability of 1e-4, at 0.75 of 1e-6.
     Pairs whose sketches estimate less than the threshold by `margin` (seven standard errors)
     are left out, the others are verified on their shingles, which are made anew for the rows
-    concerned only. No group is gathered in one task: pairs come from an equi-join on the band.
+    concerned only. No group is gathered in one task: pairs come from an equi-join on the band, in blocks.
     """
     made = checkpointed(sketches(df, key, head, body, n)).where("n_shingles > 0").withColumnRenamed(key, "id")
     classes = made.groupBy("class_a", "class_b", "n_shingles").agg(F.min("id").alias("class_id"))
     members = checkpointed(made.select("id", "class_a", "class_b", "n_shingles").join(classes, ["class_a", "class_b", "n_shingles"]).select("id", "class_id"))
     first = made.join(members.where("id = class_id").select("id"), "id", "left_semi")
     banded = first.select("id", F.explode("bands").alias("band"))
-    met = banded.select(F.col("id").alias("a"), "band").join(banded.select(F.col("id").alias("b"), "band"), "band").where("a < b").select("a", "b").distinct()
+    met = equal_pairs(banded.select(F.col("band").alias("k"), F.col("id").alias("a")), banded.select(F.col("band").alias("k"), F.col("id").alias("b")), "a", "b").where("a < b").distinct()
     sketch = first.select("id", "sketch")
     pairs = met.join(sketch.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a")), "a").join(sketch.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b")), "b")
     likely = checkpointed(_estimates(pairs, tenths / 10 - margin))
@@ -193,9 +194,10 @@ def near_duplicates(df: DataFrame, key: str = "record_id", head: str = "title",
 
 
 def member_pairs(classes: DataFrame, links: DataFrame, key: str = "record_id") -> DataFrame:
-    """(row_a, row_b), row_a < row_b: all pairs of rows in one class or in linked classes."""
-    left = classes.select(F.col(key).alias("x"), F.col("class_id").alias("a"))
-    right = classes.select(F.col(key).alias("y"), F.col("class_id").alias("b"))
-    across = links.join(left, "a").join(right, "b").select("x", "y")
-    within = left.join(right, left["a"] == right["b"]).where("x < y").select("x", "y")
-    return across.unionByName(within).select(F.least("x", "y").alias("row_a"), F.greatest("x", "y").alias("row_b"))
+    """(row_a, row_b), row_a < row_b: all pairs of rows in one class or in linked classes; large classes are spread over blocks."""
+    members = classes.select(F.col(key).alias("y"), F.col("class_id").alias("k"))
+    several = members.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select(F.col("k").alias("a"), F.col("k").alias("b"))
+    sides = links.select("a", "b").unionByName(several)
+    left = sides.join(members.select(F.col("y").alias("x"), F.col("k").alias("a")), "a").select(F.col("b").alias("k"), F.struct("x", (F.col("a") == F.col("b")).alias("same")).alias("x"))
+    met = equal_pairs(left, members, "x", "y").where("not x.same or x.x < y")
+    return met.select(F.least("x.x", "y").alias("row_a"), F.greatest("x.x", "y").alias("row_b"))
