@@ -60,7 +60,8 @@ def run_infer(spark, a) -> None:
 
 
 def run_evaluate(spark, a) -> None:
-    outcomes = evaluation.span_outcomes(_rows(spark, a.gold), _rows(spark, a.source), a.key)
+    gold = _rows(spark, a.gold)
+    outcomes = evaluation.span_outcomes(gold, _rows(spark, a.source), a.key, gold)
     errors = evaluation.boundary_errors(outcomes, a.key)
     for name, df in (("by_label", evaluation.metrics_by_label(outcomes)), ("averages", evaluation.micro_macro(outcomes)), ("boundary_errors", errors), ("confusion", evaluation.confusion(errors))):
         sinks.write_report(df, f"{a.out}/{name}")

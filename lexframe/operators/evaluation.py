@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 SPAN = ["start_char", "end_char", "label"]
 
 
-def span_outcomes(gold: DataFrame, predicted: DataFrame, key: str = "document_id") -> DataFrame:
+def span_outcomes(gold: DataFrame, predicted: DataFrame, key: str = "document_id", documents: DataFrame | None = None) -> DataFrame:
     """(key, start_char, end_char, label, outcome): tp, fp or fn for every distinct span.
 
-    Documents without gold are left out, as no annotator looked at them. Both sides meet in one
-    aggregation by span, so nothing is joined.
+    `documents` are those that annotators looked at: predictions for others don't count. Without it all do. Both sides
+    meet in one aggregation by span.
     """
+    if documents is not None:
+        predicted = predicted.join(documents.select(key).distinct(), key, "left_semi")
     both = gold.select(key, *SPAN, F.lit(1).alias("g"), F.lit(0).alias("p")).unionByName(predicted.select(key, *SPAN, F.lit(0).alias("g"), F.lit(1).alias("p")))
     merged = both.groupBy(key, *SPAN).agg(F.max("g").alias("g"), F.max("p").alias("p"))
     return merged.select(key, *SPAN, F.when(F.col("g") + F.col("p") == 2, "tp").when(F.col("p") == 1, "fp").otherwise("fn").alias("outcome"))

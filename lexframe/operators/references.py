@@ -84,7 +84,9 @@ def orphan_references(refs: DataFrame, records: DataFrame, removals: DataFrame,
       does not outlast it.
 
     References with a null id are none and are dropped; a reference with a null time can't be
-    ordered and is judged by the final state, with a null period. Repeated rows stay.
+    ordered and is judged by the final state, with a null period. A record with a null time exists,
+    but came at no time: references to it alone are late. Removals without a time are none. Repeated
+    rows stay.
 
     An id can carry a third of all rows, so no window covers all events of an id: changes are
     first summed up per id and `bucket` of time (map-side), the sums are carried from bucket
@@ -92,7 +94,8 @@ def orphan_references(refs: DataFrame, records: DataFrame, removals: DataFrame,
     """
     final = F.lit("9999-12-31 23:59:59").cast("timestamp_ntz")
     refs = refs.where("ref_id is not null").select("table_name", "row_id", "ref_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
-    states = _states(*(x.select("ref_id", F.col("ts").cast("timestamp_ntz").alias("ts")) for x in (records, removals)))
+    records, removals = (x.select("ref_id", F.col("ts").cast("timestamp_ntz").alias("ts")) for x in (records, removals))
+    states = _states(records.withColumn("ts", F.coalesce("ts", final)), removals)
     asked = refs.select("ref_id", F.coalesce(F.col("ts"), final).alias("at"), F.lit(None).cast("int").alias("state"), F.struct("table_name", "row_id", "ts").alias("ref"))
     held = states.select("ref_id", F.col("ts").alias("at"), "state", F.lit(None).cast(asked.schema["ref"].dataType).alias("ref"))
     events = held.unionByName(asked).withColumn("bucket", F.date_trunc(bucket, F.col("at")).cast("timestamp_ntz"))

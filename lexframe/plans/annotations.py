@@ -187,7 +187,7 @@ def greedy_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.span_outcomes(_gold(spark, sf_dir), _predicted(spark, sf_dir), "row_id")
+    return E.span_outcomes(_gold(spark, sf_dir), _predicted(spark, sf_dir), "row_id", table(spark, sf_dir, "ner_dataset"))
 
 
 def prf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ def brute(refs, records, removals):
         if key is None:
             continue
         at = ts or datetime.max
-        mine = [t for k, t in records if k == key and t is not None]
+        mine = [t or datetime.max for k, t in records if k == key]
         seen = [t for t in mine if t <= at]
         kind = None
         if not mine:

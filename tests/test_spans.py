@@ -124,6 +124,8 @@ def test_metrics(spark):
     outcomes = E.span_outcomes(gold, predicted)
     got = {r.label: (r.tp, r.fp, r.fn, r.support) for r in E.metrics_by_label(outcomes).collect()}
     assert got == {"X": (1, 2, 1, 2), "Y": (0, 0, 1, 1), "Z": (0, 1, 0, 0)}
+    within = {r.label: r.fp for r in E.metrics_by_label(E.span_outcomes(gold, predicted, documents=gold)).collect()}
+    assert within == {"X": 1, "Y": 0, "Z": 1}
     assert rows(E.confusion(E.boundary_errors(outcomes))) == [("Y", "Z", 1)]
     assert tuple(E.document_counts(gold, predicted).first()) == (2, 2, 1, 1, 1)
     micro = {r.average: r for r in E.micro_macro(outcomes).collect()}
