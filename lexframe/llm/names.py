@@ -136,7 +136,8 @@ def person_score(value: str, name: tuple[str, ...], near: bool) -> float:
     for form, sure in person_forms(value):
         typed = "".join(form)
         if close(typed, whole) and len(typed) > 3:
-            best = max(best, sure * ratio(typed, whole))
+            if near or len(form) != len(name) or all(len(n) > 2 or t == n for t, n in zip(form, name)):  # a short word with a slip is another one
+                best = max(best, sure * ratio(typed, whole))
         elif len(form) == len(name) and any(len(t) == 1 for t in form[:-1]):
             fits = all(t == n[:1] if len(t) == 1 else close(t, n) and t[:1] == n[:1] for t, n in zip(form[:-1], name))
             if fits and (form[-1] == name[-1] or len(name[-1]) > 3 and close(form[-1], name[-1])):
@@ -337,31 +338,35 @@ def link_persons(values: DataFrame, register: DataFrame) -> DataFrame:
     values: (value, office, office_state, title, title_state), distinct: the typed name, the entries
     that the organisation and the title beside it were linked to, and for each whether it was
     `linked`, `empty` or `unknown`. register: (entity_id, name, office, title). A person is looked for
-    in the linked organisation; without one the name must be whole and fit one person only, of the
-    linked title if there is one. Under a title that no entry has, nobody registered signs.
+    in the linked organisation; where none is given the name must be whole and fit one person only, of
+    the linked title if there is one; under an organisation that no entry has it must have no slip either.
+    Under a title that no entry has, nobody registered signs. Common suffixes are refined with the
+    organisation, or else with the title.
     """
 
-    def typed_keys(value: str, ctx: str, office: str | None) -> Iterator[tuple]:
+    def typed_keys(value: str, ctx: str, office: str | None, title: str | None) -> Iterator[tuple]:
         parts = {p for f, _ in person_forms(value) for p in f if len(p) > 1}
+        field = f"office {office}" if office is not None else f"title {title}"
         for s in suffixes(list(parts)) | {"=" + "".join(f) for f, _ in person_forms(value)}:
-            yield value, ctx, s, office
+            yield value, ctx, s, field
 
-    def entry_keys(entity: str, name: str, office: str | None) -> Iterator[tuple]:
+    def entry_keys(entity: str, name: str, office: str | None, title: str | None) -> Iterator[tuple]:
         parts = tokens(tidy(name))
         for s in suffixes(parts) | {"=" + "".join(parts)}:
-            yield entity, s, office
+            yield entity, s, f"office {office}"
+            yield entity, s, f"title {title}"
 
     ctx = F.concat_ws("|", F.coalesce("office", F.lit("")), "office_state", F.coalesce("title", F.lit("")))
     asked = values.where("value is not null and title_state <> 'unknown'").select("value", ctx.alias("ctx"), "office", "title", "office_state").distinct()
-    typed = _mapped(asked.select("value", "ctx", "office"), typed_keys, "value string, ctx string, suffix string, field string")
-    entries = _mapped(register.select("entity_id", "name", "office").where("name is not null"), entry_keys, "entity_id string, suffix string, field string")
+    typed = _mapped(asked.select("value", "ctx", "office", "title"), typed_keys, "value string, ctx string, suffix string, field string")
+    entries = _mapped(register.select("entity_id", "name", "office", "title").where("name is not null"), entry_keys, "entity_id string, suffix string, field string")
     met = _meet(typed, entries, 2 * COMMON)
     entry = register.select("entity_id", "name", F.col("office").alias("own_office"), F.col("title").alias("own_title"))
     pairs = met.join(asked, ["value", "ctx"]).join(entry, "entity_id").where("(office is null or office = own_office) and (title is null or own_title is null or title = own_title)")
 
     def scores(value: str, ctx: str, entity: str, name: str, office: str | None, state: str) -> Iterator[tuple]:
         s = person_score(value, tuple(tokens(tidy(name))), office is not None)
-        if s > (0 if office is not None or state == "empty" else 0.84):
+        if s > 0 and (office is not None or state == "empty" or s >= 0.97):
             yield value, ctx, entity, s + _accented(value, name)
 
     found = _best(_mapped(pairs.select("value", "ctx", "entity_id", "name", "office", "office_state"), scores, "value string, ctx string, entity_id string, score double"))
