@@ -104,7 +104,7 @@ def weak_spans(leaves: DataFrame, labels: DataFrame, texts: DataFrame, text: str
 
     labels: (path, name, allow_multiple). Where a label doesn't allow several, the first span of each value counts.
     """
-    wanted = leaves.join(F.broadcast(labels.select("path", "name", "allow_multiple")), "path")  # one row for each path of the schema
+    wanted = leaves.join(labels.select("path", "name", "allow_multiple"), "path")
     found = wanted.join(texts.select(*keys, F.col(text).alias("_text"), spans.folded(F.col(text)).alias("_low")), keys)
     variants = found.select(*keys, "path", "name", "allow_multiple", "value", "_text", "_low", F.explode(X.value_variants(F.col("value"))).alias("variant"))
     at = variants.select(*keys, "path", "name", "allow_multiple", "value", F.length("variant").alias("_n"), F.explode(spans.occurrences(F.col("_text"), F.col("variant"), F.col("_low"))).alias("start_char"))
@@ -119,13 +119,13 @@ def weak_spans(leaves: DataFrame, labels: DataFrame, texts: DataFrame, text: str
 def ranked_by(df: DataFrame, order: list[Column]) -> DataFrame:
     """`df` with `_rank`, the dense place from 0 in a total order, without sorting in one task.
 
-    The first key is cut into ranges by its first two characters; counts of the ranges are summed up and the
+    The first key is cut into ranges by its first four characters; counts of the ranges are summed up and the
     rows ranked within each. `order[0]` must be a string that spreads evenly, such as a digest.
     """
-    head = F.substring(order[0], 1, 2)
+    head = F.substring(order[0], 1, 4)
     rows = df.withColumn("_range", head)
     sizes = rows.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most 256 ranges of two hexadecimal digits
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most 65,536 ranges of four hexadecimal digits
     starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     own = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
     return rows.withColumn("_own", own).join(starts, "_range").withColumn("_rank", F.col("_start") + F.col("_own")).drop("_range", "_own", "_start")

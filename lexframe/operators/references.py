@@ -36,16 +36,17 @@ def reference_deltas(refs: DataFrame) -> DataFrame:
     return refs.select("ref_id", F.lit(1).alias("d_ref"), F.lit(0).alias("d_exist"))
 
 
-def existence_deltas(records: DataFrame, removals: DataFrame) -> DataFrame:
+def existence_deltas(records: DataFrame, removals: DataFrame, bucket: str = "day") -> DataFrame:
     """Signed existence deltas (ref_id, d_exist) from records and removals, both (ref_id, ts).
 
-    A record sets the count of its id to one, a removal to zero; a delta is the difference to
-    the state before, so repeated fetches and repeated removals cancel out. At one instant a
+    A record sets the count of its id to one, a removal to zero; a delta is the net change of a
+    `bucket` of time, so repeated fetches and repeated removals cancel out, and an id that a third of
+    the rows have is at most one row for each bucket before anything is put in order. At one instant a
     record wins over a removal.
     """
-    states = _states(records, removals)
-    before = F.lag("state").over(Window.partitionBy("ref_id").orderBy("ts"))
-    return states.select("ref_id", F.lit(0).alias("d_ref"), (F.col("state") - F.coalesce(before, F.lit(0))).alias("d_exist")).where("d_exist <> 0")
+    changes = _states(records, removals).groupBy("ref_id", F.date_trunc(bucket, "ts").alias("bucket")).agg(F.max_by("state", "ts").alias("state"))
+    before = F.lag("state").over(Window.partitionBy("ref_id").orderBy("bucket"))
+    return changes.select("ref_id", F.lit(0).alias("d_ref"), (F.col("state") - F.coalesce(before, F.lit(0))).alias("d_exist")).where("d_exist <> 0")
 
 
 def merge_counts(counts: DataFrame | None, deltas: DataFrame) -> DataFrame:

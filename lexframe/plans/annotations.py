@@ -32,7 +32,7 @@ def _needles(spark: SparkSession) -> DataFrame:
 
 
 def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", _needles(spark), ["doc_id"])
+    return N.find_spans(table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text"), "text", _needles(spark), ["doc_id"])
 
 
 def span_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def span_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_entities_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "vb_documents").select("record_id", "full_text")
+    docs = table(spark, sf_dir, "vb_documents", "record_id").select("record_id", "full_text")
     kept = docs.withColumn("full_text", F.array_join(F.filter(F.split("full_text", "\n"), lambda x: F.trim(x) != ""), "\n"))
     found = N.matches_of(kept, "full_text", f"(?iu)(?:{RELATION_PHRASES})", ["record_id"])
     placed = N.in_blocks(found, N.blocks_of(docs, "full_text", ["record_id"]), ["record_id"])
@@ -52,13 +52,13 @@ def rule_entities_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = Q.entity_rows(table(spark, sf_dir, "ner_dataset"), "row_id")
+    rows = Q.entity_rows(table(spark, sf_dir, "ner_dataset", "row_id"), "row_id")
     return rows.select("row_id", "entity_no", "label", "start_char", "end_char", "text", (F.col("match_score") / 100).alias("confidence"))
 
 
 def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What patterns say: numbers, kinds of documents, and the first line as the office."""
-    rows = table(spark, sf_dir, "ner_dataset").select("row_id", "text")
+    rows = table(spark, sf_dir, "ner_dataset", "row_id").select("row_id", "text")
     out = None
     for label, pattern in (("SO_HIEU", NUMBER), ("LOAI_VAN_BAN", KINDS), ("CO_QUAN", r"\A[^\n]+")):
         one = N.matches_of(rows, "text", pattern, ["row_id"]).select("row_id", F.lit(label).alias("label"), "start_char", "end_char", (F.lit(0.5) + (F.col("end_char") - F.col("start_char")) / 1000).alias("confidence"))
@@ -67,7 +67,7 @@ def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.document_summary(_gold(spark, sf_dir), table(spark, sf_dir, "ner_dataset"), "row_id").select("row_id", *_big("n_entities", "n_values"), "labels", "mean_confidence", "min_confidence", "max_confidence")
+    return E.document_summary(_gold(spark, sf_dir), table(spark, sf_dir, "ner_dataset", "row_id"), "row_id").select("row_id", *_big("n_entities", "n_values"), "labels", "mean_confidence", "min_confidence", "max_confidence")
 
 
 def json_flatten_props(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,17 +76,17 @@ def json_flatten_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_flatten_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paths of the relationship diagrams, and how often each has a leaf."""
-    raw = table(spark, sf_dir, "vb_documents").select("record_id", F.col("relationship_graph.raw").alias("raw"))
+    raw = table(spark, sf_dir, "vb_documents", "record_id").select("record_id", F.col("relationship_graph.raw").alias("raw"))
     return L.flatten_json(raw, "raw", ["record_id"]).groupBy("path", "type").agg(F.count("*").alias("n"), F.countDistinct("record_id").alias("n_records"))
 
 
 def json_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "vb_documents").select(L.shape_of(F.col("relationship_graph.raw")).alias("shape"))
+    raw = table(spark, sf_dir, "vb_documents", "record_id").select(L.shape_of(F.col("relationship_graph.raw")).alias("shape"))
     return raw.where("shape is not null").groupBy("shape").agg(F.count("*").alias("n"))
 
 
 def _leaves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, sf_dir, "vb_documents").where("full_text is not null")
+    docs = table(spark, sf_dir, "vb_documents", "record_id").where("full_text is not null")
     return L.record_leaves(docs, ATTRIBUTES, ["record_id"]), docs.select("record_id", "full_text")
 
 
@@ -110,37 +110,37 @@ def weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weak_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weak labels that stay after overlaps are resolved, by split and label."""
     accepted = N.resolve_overlaps(weak_labels(spark, sf_dir), ["record_id"]).where("accepted")
-    splits = L.split_by_digest(table(spark, sf_dir, "vb_documents").where("full_text is not null"), "record_id")
+    splits = L.split_by_digest(table(spark, sf_dir, "vb_documents", "record_id").where("full_text is not null"), "record_id")
     return accepted.join(splits, "record_id").groupBy("split", "label").agg(F.count("*").alias("n_spans"), F.countDistinct("record_id").alias("n_records"))
 
 
 def systematic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.systematic_sample(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 100)
+    return L.systematic_sample(table(spark, sf_dir, "documents", "doc_id").select("doc_id"), "doc_id", 100)
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.split_by_digest(table(spark, sf_dir, "documents"), "doc_id")
+    return L.split_by_digest(table(spark, sf_dir, "documents", "doc_id"), "doc_id")
 
 
 def reservoir_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "ner_dataset").select("row_id", "split", F.coalesce(F.size("entities"), F.lit(0)).alias("n"))
+    rows = table(spark, sf_dir, "ner_dataset", "row_id").select("row_id", "split", F.coalesce(F.size("entities"), F.lit(0)).alias("n"))
     positive = F.col("n") >= 3
     return L.sampled_negatives(rows, "row_id", positive, 0.25).select("row_id", positive.alias("positive"))
 
 
 def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.dataset_manifest(table(spark, sf_dir, "ner_dataset"), "document_id", "source_sha256")
+    return L.dataset_manifest(table(spark, sf_dir, "ner_dataset", "row_id"), "document_id", "source_sha256")
 
 
 def chunk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "ner_dataset").select("row_id", "text")
+    rows = table(spark, sf_dir, "ner_dataset", "row_id").select("row_id", "text")
     tokens = S.word_tokens(rows.where("text is not null"), "text", ["row_id"])
     every = S.chunk_windows(tokens, ["row_id"]).unionByName(S.empty_chunks(rows, tokens, ["row_id"]))
     return every.select("row_id", "chunk_id", *_big("chunk_no", "first_token", "last_token", "start_char", "end_char"))
 
 
 def _aligned(spark: SparkSession, sf_dir: str, entities: DataFrame) -> DataFrame:
-    tokens = S.word_tokens(table(spark, sf_dir, "ner_dataset").where("text is not null"), "text", ["row_id"])
+    tokens = S.word_tokens(table(spark, sf_dir, "ner_dataset", "row_id").where("text is not null"), "text", ["row_id"])
     return S.align_bio(tokens, entities, ["row_id"])
 
 
@@ -187,7 +187,7 @@ def greedy_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.span_outcomes(_gold(spark, sf_dir), _predicted(spark, sf_dir), "row_id", table(spark, sf_dir, "ner_dataset"))
+    return E.span_outcomes(_gold(spark, sf_dir), _predicted(spark, sf_dir), "row_id", table(spark, sf_dir, "ner_dataset", "row_id"))
 
 
 def prf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,16 +218,16 @@ def sequence_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "ner_dataset").select("split", "row_id", F.explode("entities").alias("e")).where("e is not null")
+    rows = table(spark, sf_dir, "ner_dataset", "row_id").select("split", "row_id", F.explode("entities").alias("e")).where("e is not null")
     return rows.groupBy("split", F.col("e.label").alias("label")).agg(F.count("*").alias("n_entities"), F.countDistinct("row_id").alias("n_rows"))
 
 
 def missing_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.missing_labels(table(spark, sf_dir, "ner_dataset"), ["CO_QUAN", "SO_HIEU", "LOAI_VAN_BAN", "NGUOI_KY"])
+    return Q.missing_labels(table(spark, sf_dir, "ner_dataset", "row_id"), ["CO_QUAN", "SO_HIEU", "LOAI_VAN_BAN", "NGUOI_KY"])
 
 
 def span_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.span_issues(table(spark, sf_dir, "ner_dataset"), "row_id", ["CO_QUAN", "SO_HIEU"]).groupBy("row_id", "issue").agg(F.count("*").alias("n"))
+    return Q.span_issues(table(spark, sf_dir, "ner_dataset", "row_id"), "row_id", ["CO_QUAN", "SO_HIEU"]).groupBy("row_id", "issue").agg(F.count("*").alias("n"))
 
 
 def overlap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,24 +241,24 @@ def dup_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def leakage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.leakage(table(spark, sf_dir, "ner_dataset"), "document_id")
+    return Q.leakage(table(spark, sf_dir, "ner_dataset", "row_id"), "document_id")
 
 
 def source_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.unaccounted(table(spark, sf_dir, "vb_documents").select("item_id"), table(spark, sf_dir, "ner_dataset").select(F.col("document_id").alias("item_id")), "item_id")
+    return Q.unaccounted(table(spark, sf_dir, "vb_documents", "record_id").select("item_id"), table(spark, sf_dir, "ner_dataset", "row_id").select(F.col("document_id").alias("item_id")), "item_id")
 
 
 def zero_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "ner_dataset").where(F.coalesce(F.size("entities"), F.lit(0)) <= 0).select("row_id", F.lit("zero_entities").alias("warning"))
+    return table(spark, sf_dir, "ner_dataset", "row_id").where(F.coalesce(F.size("entities"), F.lit(0)) <= 0).select("row_id", F.lit("zero_entities").alias("warning"))
 
 
 def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.schema_issues(table(spark, sf_dir, "ner_dataset"), "row_id", ["document_id", "source_file", "source_sha256", "text", "entities"])
+    return Q.schema_issues(table(spark, sf_dir, "ner_dataset", "row_id"), "row_id", ["document_id", "source_file", "source_sha256", "text", "entities"])
 
 
 def stale_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose hash is not the one that most rows of their document have: the cache is read again only where both agree."""
-    rows = table(spark, sf_dir, "ner_dataset").where("document_id is not null")
+    rows = table(spark, sf_dir, "ner_dataset", "row_id").where("document_id is not null")
     counts = rows.groupBy("document_id", "source_sha256").agg(F.count("*").alias("n"), F.max(F.length("text")).alias("text_length"))
     best = counts.groupBy("document_id").agg(F.max_by(F.struct("source_sha256", "text_length"), F.struct("n", F.coalesce("source_sha256", F.lit("")))).alias("b")).select("document_id", "b.*")
     outputs = rows.select("document_id", "row_id", "source_sha256", F.length("text").alias("text_length"))

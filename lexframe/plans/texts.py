@@ -20,7 +20,7 @@ _B = X.BLANKS
 
 def normalize_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = X.normalize_fast(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.length(text).cast("bigint").alias("n_chars"), F.md5(text).alias("digest"))
+    return table(spark, sf_dir, "documents", "doc_id").select("doc_id", F.length(text).cast("bigint").alias("n_chars"), F.md5(text).alias("digest"))
 
 
 _NORMAL = f"translate(text, {_q(X.PLAIN_FROM)}, {_q(X.PLAIN_TO)})"
@@ -47,7 +47,7 @@ _SAFE = r"coalesce(nullif(regexp_replace(regexp_replace(coalesce({0}, ''), '[^\p
 
 def html_text_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = X.html_text(F.col("content_html"))
-    rows = table(spark, sf_dir, "vb_documents").select("record_id", text.alias("t"))
+    rows = table(spark, sf_dir, "vb_documents", "record_id").select("record_id", text.alias("t"))
     return rows.select("record_id", F.md5("t").alias("digest"), F.length("t").cast("bigint").alias("n_chars"), F.size(F.split("t", "\n")).cast("bigint").alias("n_lines"))
 
 
@@ -65,39 +65,39 @@ def url_id_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def article_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = articles.split_articles(table(spark, sf_dir, "vb_documents"), "full_text", ["record_id"])
+    rows = articles.split_articles(table(spark, sf_dir, "vb_documents", "record_id"), "full_text", ["record_id"])
     return rows.select("record_id", F.col("article_no").cast("bigint").alias("article_no"), "article_number", "title", F.md5("content").alias("digest"))
 
 
 def sentence_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = articles.sentence_offsets(table(spark, sf_dir, "documents"), "text", ["doc_id"])
+    rows = articles.sentence_offsets(table(spark, sf_dir, "documents", "doc_id"), "text", ["doc_id"])
     return rows.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("sentence_no", "start_char", "end_char")])
 
 
 def line_blocks_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spans.blocks_of(table(spark, sf_dir, "documents"), "text", ["doc_id"])
+    rows = spans.blocks_of(table(spark, sf_dir, "documents", "doc_id"), "text", ["doc_id"])
     return rows.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("block_no", "start_char", "end_char")])
 
 
 def line_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = articles.text_lines(table(spark, sf_dir, "documents"), "text", ["doc_id"])
+    lines = articles.text_lines(table(spark, sf_dir, "documents", "doc_id"), "text", ["doc_id"])
     return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).cast("bigint").alias("n_chars"))
 
 
 def person_title_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "vb_documents").select("record_id", F.explode(F.split("full_text", "\n")).alias("line"))
+    lines = table(spark, sf_dir, "vb_documents", "record_id").select("record_id", F.explode(F.split("full_text", "\n")).alias("line"))
     flags = lines.select("record_id", X.is_signature_title(F.col("line")).cast("bigint").alias("t"), X.is_person_name(F.col("line")).cast("bigint").alias("p"))
     return flags.groupBy("record_id").agg(F.count("*").alias("n_lines"), F.sum("t").alias("n_titles"), F.sum("p").alias("n_names"))
 
 
 def signature_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "vb_documents").where("full_text is not null")
+    docs = table(spark, sf_dir, "vb_documents", "record_id").where("full_text is not null")
     return articles.signatures(articles.text_lines(docs, "full_text", ["record_id"]), ["record_id"])
 
 
 def api_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = F.filter("issuing_people", lambda p: p.isNotNull())
-    return table(spark, sf_dir, "vb_documents").where("issuing_people is not null").select("record_id", articles.column_signature(people).alias("s")).select("record_id", "s.*")
+    return table(spark, sf_dir, "vb_documents", "record_id").where("issuing_people is not null").select("record_id", articles.column_signature(people).alias("s")).select("record_id", "s.*")
 
 
 def value_variants_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,13 +107,13 @@ def value_variants_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def base64_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.rtrim(F.base64(F.col("text").cast("binary")), F.lit("="))
-    rows = table(spark, sf_dir, "documents").where("text is not null")
+    rows = table(spark, sf_dir, "documents", "doc_id").where("text is not null")
     return rows.select("doc_id", F.md5(X.payload_bytes(payload)).alias("digest"), X.hex_length(F.hex(F.length("text").cast("bigint"))).alias("n"))
 
 
 def sha_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by content hash: the first of each, and how many share it."""
-    rows = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
+    rows = table(spark, sf_dir, "documents", "doc_id").where("text is not null").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
     return rows.groupBy("sha256").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_docs"))
 
 

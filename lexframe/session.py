@@ -26,9 +26,23 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
     return spark
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table: one parquet file, or a folder of them."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: str | None = None) -> DataFrame:
+    """A supplied table: one parquet file, or a folder of them; see `spread_out` for `spread`."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df if spread is None else spread_out(df, spread)
+
+
+def spread_out(scan: DataFrame, key: str, least: int = 2 << 20) -> DataFrame:
+    """A scan for work that takes long on each row: where its files make fewer tasks than there are cores, rows are dealt out by `key`.
+
+    A collection of many files, or one below `least` bytes, is left as it is, so at scale nothing is shuffled. Filters and
+    the choice of columns still reach the scan.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    if size < least or scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
