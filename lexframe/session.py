@@ -39,7 +39,7 @@ def spread_out(scan: DataFrame, key: str, least: int = 2 << 20) -> DataFrame:
     the choice of columns still reach the scan.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if size < least or scan.rdd.getNumPartitions() >= cores:
         return scan
     return scan.repartition(cores, key)
