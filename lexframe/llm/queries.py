@@ -23,52 +23,52 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.markup_elements(table(spark, sf_dir, "vb_documents"))
+    return markup.markup_elements(table(spark, sf_dir, "vb_documents", "record_id"))
 
 
 def p3_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.markup_texts(table(spark, sf_dir, "vb_documents"))
+    return markup.markup_texts(table(spark, sf_dir, "vb_documents", "record_id"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = lookalikes.consistent_values(table(spark, sf_dir, "vb_documents"), "record_id", ["signer", "issuer", "full_text"])
+    values = lookalikes.consistent_values(table(spark, sf_dir, "vb_documents", "record_id"), "record_id", ["signer", "issuer", "full_text"])
     return values.select("record_id", "field", F.sha2(F.col("clean").cast("binary"), 256).alias("clean_sha256"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = overlaps.overlapping_rows(table(spark, sf_dir, "ner_dataset"))
+    pairs = overlaps.overlapping_rows(table(spark, sf_dir, "ner_dataset", "row_id"))
     return pairs.select(F.least("eval_id", "train_id").alias("row_a"), F.greatest("eval_id", "train_id").alias("row_b"))
 
 
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "ner_dataset")
+    rows = table(spark, sf_dir, "ner_dataset", "row_id")
     return overlaps.overlap_report(rows, overlaps.overlapping_rows(rows))
 
 
 def p5_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-same texts: the containment of an evaluation text in a training text."""
-    _, links = overlaps.containments(table(spark, sf_dir, "ner_dataset"))
+    _, links = overlaps.containments(table(spark, sf_dir, "ner_dataset", "row_id"))
     return links.select("a", "b", "shared", (F.col("shared") / F.col("n_a")).alias("containment"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = hyperminhash.member_pairs(*hyperminhash.near_duplicates(table(spark, sf_dir, "vb_documents")))
+    pairs = hyperminhash.member_pairs(*hyperminhash.near_duplicates(table(spark, sf_dir, "vb_documents", "record_id")))
     return pairs.select(F.col("row_a").alias("record_a"), F.col("row_b").alias("record_b"))
 
 
 def p7_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per record: its class, and the number of other classes that it is linked to."""
-    classes, links = hyperminhash.near_duplicates(table(spark, sf_dir, "vb_documents"))
+    classes, links = hyperminhash.near_duplicates(table(spark, sf_dir, "vb_documents", "record_id"))
     per_class = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n"))
     return classes.join(per_class, "class_id", "left").select("record_id", "class_id", F.coalesce("n", F.lit(0)).alias("n_links"))
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenize.encode_documents(table(spark, sf_dir, "documents"))
+    return tokenize.encode_documents(table(spark, sf_dir, "documents", "doc_id"))
 
 
 def p9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return containers.pack_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_sizes"))
+    return containers.pack_documents(table(spark, sf_dir, "documents", "doc_id"), table(spark, sf_dir, "pack_sizes"))
 
 
 def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +81,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.repetition(table(spark, sf_dir, "documents"))
+    return repetition.repetition(table(spark, sf_dir, "documents", "doc_id"))
 
 
 QUERIES = {
