@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import io
+import platform
+import sys
 import zipfile
 from collections.abc import Iterator
+from importlib import metadata
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _TYPES = """<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/word/document.xml" ContentType="application/vnd.openxmlformats-officedocument.wordprocessingml.document.main+xml"/></Types>"""
@@ -89,6 +92,18 @@ def write_entities(entities: DataFrame, summary: DataFrame, failures: DataFrame,
     write_report(failures, f"{folder}/failures")
 
 
+def environment_report(spark: SparkSession) -> dict[str, str]:
+    """Versions and settings that a run depends on."""
+    packages = {}
+    for name in ("pyspark", "pyarrow", "pandas", "numpy", "tiktoken"):
+        try:
+            packages[name] = metadata.version(name)
+        except metadata.PackageNotFoundError:
+            packages[name] = "not installed"
+    settings = {k: spark.conf.get(k, "") for k in ("spark.master", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.checkpoint.dir")}
+    return {"python": sys.version.split()[0], "platform": platform.platform(), **packages, **settings}
+
+
 def write_cache(documents: DataFrame, folder: str) -> None:
     """Extracted documents for `read_cached_documents`; a file's rows are found by its hash."""
     documents.write.mode("append").parquet(folder)

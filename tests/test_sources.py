@@ -121,6 +121,7 @@ def test_exports(spark, tmp_path):
     assert body == {"metadata": {"item_id": "i", "url_toanvan": None, "title": "t"}, "attributes": {"so_hieu": "", "loai_van_ban": None}}
     words = sinks.word_files(spark.createDataFrame([(1, "a\nb"), (2, None)], "id int, text string"), "id", "text").collect()
     assert [[b["text"] for b in files.docx_blocks(bytes(r.content))] for r in words] == [["a", "b"], ["(no content)"]]
+    assert sinks.environment_report(spark)["pyspark"].startswith("4")
     packed = sinks.document_archives(spark.createDataFrame([(1, "b", b"2"), (1, "a", b"1")], "id int, name string, content binary"), "id").first()
     import io
     import zipfile
