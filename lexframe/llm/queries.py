@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import BLANKS
 from ..session import table
 from . import containers, hyperminhash, lookalikes, markup, names, overlaps, repetition, tokenize
 
@@ -103,4 +104,27 @@ QUERIES = {
     "p10_repetition": p10_repetition,
 }
 
-SQL: dict[str, str] = {}
+_WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
+_BLANK_ENDS = "'" + f"^[{BLANKS}\n\r]+|[{BLANKS}\n\r]+$" + "'"
+_KNOWN = f"nullif(lower(regexp_replace({{0}}, {_BLANK_ENDS}, '', 'g')), '')"
+_SIDES = "(select row_id, {k} as k from ner_dataset where split <> 'train') e join (select row_id, {k} as k from ner_dataset where split = 'train') t on e.k = t.k where not regexp_matches(e.k, '^[0\\-\\s]*$')"
+_OVERLAPS = f"""w as (select row_id, split, {_WORDS} as w from ner_dataset where text <> '' and split is not null),
+ s as (select distinct row_id, split, array_to_string(w[i:i + 2], ' ') as g from (select row_id, split, w, unnest(range(1, len(w)::bigint - 1)) as i from w)),
+ n as (select row_id, count(*) as n from s group by 1),
+ c as (select e.row_id as eval_id, t.row_id as train_id, count(*) as c from s e join s t on e.g = t.g where e.split <> 'train' and t.split = 'train' group by 1, 2),
+ near as (select eval_id, train_id, c, a.n as n_a, b.n as n_b from c join n a on a.row_id = eval_id join n b on b.row_id = train_id where 10 * c >= 7 * (a.n + b.n - c)),
+ pairs as (select eval_id, train_id from near
+  union select e.row_id, t.row_id from {_SIDES.format(k=_KNOWN.format('document_id'))}
+  union select e.row_id, t.row_id from {_SIDES.format(k=_KNOWN.format('source_sha256'))}
+  union select e.row_id, t.row_id from ner_dataset e join ner_dataset t on e.text = t.text where e.split <> 'train' and t.split = 'train' and e.text <> '')"""
+
+#: Feasible at the scale of the correctness gate; above it the full comparison is what the operators avoid.
+SQL = {
+    "p5_found": f"with {_OVERLAPS} select least(eval_id, train_id) as row_a, greatest(eval_id, train_id) as row_b from pairs",
+    "p5_report": f"with {_OVERLAPS}, k as (select eval_id, count(*) as n from pairs group by 1) select split, source, count(*) as n_rows, count(n) as n_overlapping, coalesce(sum(n), 0)::bigint as n_pairs from ner_dataset left join k on eval_id = row_id where split <> 'train' group by 1, 2",
+    "p10_found": f"""with w as (select doc_id, {_WORDS} as w from documents where text is not null),
+ g as (select doc_id, i, array_to_string(w[i:i + 7], ' ') as g from (select doc_id, w, unnest(range(1, len(w)::bigint - 6)) as i from w)),
+ f as (select doc_id, i, min(i) over (partition by doc_id, g) as first from g),
+ m as (select doc_id, count(distinct i + k) as n from f, range(0, 8) as t(k) where first < i group by 1)
+ select w.doc_id from w join m on m.doc_id = w.doc_id where len(w) >= 40 and n * 10 >= len(w) * 3""",
+}
