@@ -106,8 +106,7 @@ def person_forms(value: str) -> tuple[tuple[tuple[str, ...], float], ...]:
     """Readings of a typed person's name, as tokens with the family name first, and how sure each is."""
     text = tidy(value)
     text = re.sub(r"^\s*\([^)]*\)\s*", "", text)  # (signed)
-    nick = re.search(r"\(([^)]*)\)\s*$", text)
-    text = re.sub(r"\([^)]*\)", " ", text)
+    text = re.sub(r"\([^)]*\)", " ", text)  # a nickname
     parts = tokens(text.replace(",", " "))
     forms: list[tuple[tuple[str, ...], float]] = [(tuple(parts), 1.0)]
     if "," in text:
@@ -120,8 +119,6 @@ def person_forms(value: str) -> tuple[tuple[tuple[str, ...], float], ...]:
         forms.append((rest, 0.98 if len(rest) > 1 else 0.9))
         if len(rest) > 2 and rest[0] in HONORIFICS:
             forms.append((rest[1:], 0.97))
-    if nick:
-        forms = [(f, s) for f, s in forms if f]
     return tuple(dict.fromkeys((f, s) for f, s in forms if f))
 
 
