@@ -94,10 +94,9 @@ def flatten_records(
     Each child row has `_key` (of the record), `_parent_place` (places of its owners, joined by
     ``.``; empty below the root), `_place` (1 for the first, null entries counted) and, for maps,
     `_map_key`. Null entries of an array give no row but keep their place; null and empty arrays
-    give no rows. Columns of the input that are called like these are kept with a trailing ``_``
-    by the caller; inside a child they are renamed the same way. Nothing is shuffled: every
-    table is a projection and explode of the same scan, of which Spark reads only the columns
-    needed.
+    give no rows; repeated records give repeated rows. Columns of the input that are called like
+    these get a trailing ``_``. Nothing is shuffled: every table is a projection and explode of
+    the same scan, of which Spark reads only the columns needed.
     """
     columns = columns or [c for c in df.columns if c != key]
     schema = T.StructType([df.schema[c] for c in columns])

@@ -118,7 +118,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     related = rows("record.related_docs", "related", place, F.coalesce("item_id", F.lit("")))
     path = F.concat(F.coalesce("_relation_type_code", F.lit("")), F.lit("/"), F.coalesce("_direction", F.lit("")), F.lit("/"), place)
     edges = rows(EDGES, "edge", path, F.col("item_id")).where("child_key <> ''")
-    return people.unionByName(related).unionByName(edges)
+    return people.unionByName(related).unionByName(edges).distinct()
 
 
 def p6_people(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,9 +151,9 @@ _P6_SQL = f"""with {_EDGES_SQL},
 people as (select record_id, unnest(issuing_people) as p, generate_subscripts(issuing_people, 1) as place from vb_documents),
 rels as (select record_id, unnest(related_docs) as p, generate_subscripts(related_docs, 1) as place from vb_documents)
 select record_id, 'person' as child, place::varchar as path, coalesce(p.person_id, '') as child_key from people where p is not null
-union all
+union
 select record_id, 'related', place::varchar, coalesce(p.item_id, '') from rels where p is not null
-union all
+union
 select record_id, 'edge', coalesce(code, '') || '/' || coalesce(direction, '') || '/' || place::varchar, id
 from (select * from listed union all select * from drawn) where id <> ''"""
 
