@@ -194,10 +194,13 @@ def near_duplicates(df: DataFrame, key: str = "record_id", head: str = "title",
 
 
 def member_pairs(classes: DataFrame, links: DataFrame, key: str = "record_id") -> DataFrame:
-    """(row_a, row_b), row_a < row_b: all pairs of rows in one class or in linked classes; large classes are spread over blocks."""
+    """(row_a, row_b), row_a < row_b, distinct: all pairs of rows in one class or in linked classes.
+
+    Large classes are spread over blocks. A row that is repeated makes no pair with itself.
+    """
     members = classes.select(F.col(key).alias("y"), F.col("class_id").alias("k"))
     several = members.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select(F.col("k").alias("a"), F.col("k").alias("b"))
     sides = links.select("a", "b").unionByName(several)
     left = sides.join(members.select(F.col("y").alias("x"), F.col("k").alias("a")), "a").select(F.col("b").alias("k"), F.struct("x", (F.col("a") == F.col("b")).alias("same")).alias("x"))
-    met = equal_pairs(left, members, "x", "y").where("not x.same or x.x < y")
-    return met.select(F.least("x.x", "y").alias("row_a"), F.greatest("x.x", "y").alias("row_b"))
+    met = equal_pairs(left, members, "x", "y").where("(not x.same or x.x < y) and x.x <> y")
+    return met.select(F.least("x.x", "y").alias("row_a"), F.greatest("x.x", "y").alias("row_b")).distinct()

@@ -33,7 +33,7 @@ def p3_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = lookalikes.consistent_values(table(spark, sf_dir, "vb_documents", "record_id"), "record_id", ["signer", "issuer", "full_text"])
-    return values.select("record_id", "field", F.sha2(F.col("clean").cast("binary"), 256).alias("clean_sha256"))
+    return values.select("record_id", "field", F.sha2(F.col("clean").cast("binary"), 256).alias("clean_sha256")).distinct()
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,7 +72,7 @@ def test_near_duplicates_against_brute_force(spark):
     texts = [(i, None if i % 17 == 0 else f"tiêu đề {i % 3}", t) for i, t in enumerate(corpus(7, 240))]
     texts += [(1000, "x", None), (1001, "x", ""), (1002, None, "ba từ thôi"), (1003, None, "ba từ thôi"), (1004, "", "hai từ"), (1005, "", "hai từ")]
     texts += [(1006, "t", "Ｍột h​аi ba bốn năm sáu"), (1007, "t", "Một hai ba bốn năm sáu")]
-    df = spark.createDataFrame([(*t, 1) for t in texts], "record_id bigint, title string, full_text string, id int")
+    df = spark.createDataFrame([(*t, 1) for t in [*texts, texts[1], texts[100]]], "record_id bigint, title string, full_text string, id int")  # two rows are repeated
     got = sorted((r.row_a, r.row_b) for r in H.member_pairs(*H.near_duplicates(df)).collect())
     full = [(i, (h or "") + "\n" + consistent(t)) for i, h, t in texts if t]
     assert got == sorted((a, b) for a, x in full for b, y in full if a < b and alike(x, y))
