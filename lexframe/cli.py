@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions.normalize import normalized
 from .operators import collection, evaluation, model, quality, references
+from .session import importable
 from .sources import files, listing, sinks
 
 
@@ -110,7 +111,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(argv)
-    return a.run(spark or SparkSession.builder.appName("lexframe").getOrCreate(), a) or 0
+    return a.run(importable(spark or SparkSession.builder.appName("lexframe").getOrCreate()), a) or 0
 
 
 if __name__ == "__main__":

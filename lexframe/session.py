@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,12 +24,26 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return importable(spark)
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """The session, whose Python workers find this package where the driver found it.
+
+    Workers import the package that a function comes from, but only know their own path. On machines where the package
+    lies elsewhere it has to be installed or sent with the job, as usual.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    known = spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([root, *paths])
     return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: str | None = None) -> DataFrame:
     """A supplied table: one parquet file, or a folder of them; see `spread_out` for `spread`."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
     return df if spread is None else spread_out(df, spread)
 
 
