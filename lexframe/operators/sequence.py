@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +23,38 @@ def word_tokens(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
     return rows.select(*keys, "token_no", "start_char", (F.col("start_char") + F.length("_text")).alias("end_char"))
 
 
+def piece_tokens(df: DataFrame, text: str, keys: list[str], encode: Callable[[str], list[tuple[int, int, int]]]) -> DataFrame:
+    """(keys, token_no, start_char, end_char, token_id) of the pieces that a tokenizer cuts texts into.
+
+    `encode` gives (id, start, end) for each piece, without special ones; a tokenizer that knows no offsets gives the
+    word's to each of its pieces. Null texts have none.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = [(*key, i, start, end, piece) for *key, t in part.itertuples(index=False) if t is not None for i, (piece, start, end) in enumerate(encode(t))]
+            yield pd.DataFrame(rows, columns=[*keys, "token_no", "start_char", "end_char", "token_id"])
+
+    fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    return df.select(*keys, text).mapInPandas(run, f"{fields}, token_no int, start_char int, end_char int, token_id int")
+
+
+def chunk_inputs(tokens: DataFrame, keys: list[str], max_length: int, stride: int, first: list[int], last: list[int]) -> DataFrame:
+    """Windows with `input_ids`, `attention_mask` and `offset_mapping`, as a model takes them.
+
+    `first` and `last` are the special ids around each window; their offsets are (0, 0). A window is at most
+    `max_length` ids, so what is gathered for one is bounded.
+    """
+    windows = chunk_windows(tokens, keys, max_length, stride, len(first) + len(last))
+    inside = windows.join(tokens.select(*keys, "token_no", "token_id", F.col("start_char").alias("_s"), F.col("end_char").alias("_e")), keys).where("token_no between first_token and last_token")
+    held = inside.groupBy(*keys, "chunk_no", "chunk_id", "start_char", "end_char").agg(F.array_sort(F.collect_list(F.struct("token_no", "token_id", "_s", "_e"))).alias("t"))
+    special = lambda ids: F.array(*[F.lit(i) for i in ids]).cast("array<int>")
+    zero = lambda n: F.expr(f"array_repeat(named_struct('start', 0, 'end', 0), {n})")
+    ids = F.concat(special(first), F.transform("t", lambda x: x["token_id"]), special(last))
+    offsets = F.concat(zero(len(first)), F.transform("t", lambda x: F.struct(x["_s"].alias("start"), x["_e"].alias("end"))), zero(len(last)))
+    return held.select(*keys, "chunk_no", "chunk_id", "start_char", "end_char", ids.alias("input_ids"), F.array_repeat(F.lit(1), F.size(ids)).alias("attention_mask"), offsets.alias("offset_mapping"))
+
+
 def chunk_windows(tokens: DataFrame, keys: list[str], max_length: int = 256, stride: int = 64, specials: int = 2) -> DataFrame:
     """(keys, chunk_no, chunk_id, first_token, last_token, start_char, end_char) of windows that overlap by `stride` tokens.
 

@@ -110,6 +110,18 @@ def test_windows(spark):
         S.chunk_windows(tokens, ["id"], max_length=4, stride=2)
 
 
+def test_model_inputs(spark):
+    import re
+
+    encode = lambda t: [(len(m.group()), m.start(), m.end()) for m in re.finditer(r"\S+", t)]
+    docs = spark.createDataFrame([(1, "a bb ccc dddd"), (2, None), (3, "")], "id int, text string")
+    tokens = S.piece_tokens(docs, "text", ["id"], encode)
+    got = S.chunk_inputs(tokens, ["id"], max_length=5, stride=1, first=[101], last=[102]).orderBy("chunk_no").collect()
+    assert [r.input_ids for r in got] == [[101, 1, 2, 3, 102], [101, 3, 4, 102]]
+    assert [len(r.attention_mask) for r in got] == [5, 4] and [tuple(x) for x in got[1].offset_mapping] == [(0, 0), (5, 8), (9, 13), (0, 0)]
+    assert [(r.chunk_id, r.start_char, r.end_char) for r in got] == [("c00000", 0, 8), ("c00001", 5, 13)]
+
+
 def test_alignment(spark):
     tokens = spark.createDataFrame([(1, 0, 0, 0), (1, 1, 0, 3), (1, 2, 4, 6), (1, 3, 7, 9), (1, 4, 10, 12)], "id int, token_no int, start_char int, end_char int")
     entities = spark.createDataFrame([(1, 0, "A", 0, 6), (1, 1, "B", 5, 9)], "id int, entity_no int, label string, start_char int, end_char int")
