@@ -121,6 +121,11 @@ def without_repeats(items: Column) -> Column:
     return F.filter(items, lambda x, i: (i == 0) | (~x.eqNullSafe(F.try_element_at(items, F.when(i > 0, i).otherwise(F.lit(1))))))
 
 
+def is_blank(c: Column) -> Column:
+    """Whether a text is empty or all white space."""
+    return c.rlike(f"^[{BLANKS}\n\r]*$")
+
+
 def html_lines(c: Column) -> Column:
     """The lines of a page, consecutive duplicates once; none for an empty page."""
     text = html_text(c)

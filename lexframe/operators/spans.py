@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import bound
+from ..functions.text import bound, is_blank
 
 
 def folded(text: Column) -> Column:
@@ -137,7 +137,7 @@ def blocks_of(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
 
     Offsets are those in the lines that are left, joined by line breaks.
     """
-    rows = df.select(*keys, F.posexplode(F.split(F.col(text), "\n")).alias("block_no", "text")).where(F.trim("text") != "")
+    rows = df.select(*keys, F.posexplode(F.split(F.col(text), "\n")).alias("block_no", "text")).where(~is_blank(F.col("text")))
     before = Window.partitionBy(*keys).orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.length("text") + 1).over(before), F.lit(0))
     return rows.withColumn("start_char", start).select(*keys, "block_no", "start_char", (F.col("start_char") + F.length("text")).alias("end_char"), "text")

@@ -12,7 +12,7 @@ from ..operators import quality as Q
 from ..operators import sequence as S
 from ..operators import spans as N
 from ..session import table
-from .texts import _LINES, _NORMAL, _q
+from .texts import _BLANK, _LINES, _NORMAL, _q
 
 # Phrases that name a relation, and titles of legal documents.
 RELATION_PHRASES = r"bản dịch|căn cứ ban hành|văn bản (?:được )?(?:dẫn chiếu|đính chính|thay thế|giải thích|sửa đổi(?:,? bổ sung)?|hợp nhất)"
@@ -45,7 +45,7 @@ def span_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_entities_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "vb_documents", "record_id").select("record_id", "full_text")
-    kept = docs.withColumn("full_text", F.array_join(F.filter(F.split("full_text", "\n"), lambda x: F.trim(x) != ""), "\n"))
+    kept = docs.withColumn("full_text", F.array_join(F.filter(F.split("full_text", "\n"), lambda x: ~X.is_blank(x)), "\n"))
     found = N.matches_of(kept, "full_text", f"(?iu)(?:{RELATION_PHRASES})", ["record_id"])
     placed = N.in_blocks(found, N.blocks_of(docs, "full_text", ["record_id"]), ["record_id"])
     return placed.select("record_id", *_big("start_char", "end_char", "block_no"), "match")
@@ -315,7 +315,7 @@ _VARIANTS = rf"""leaves as (select record_id, path, value, text from (select rec
  profile as (select path, count(distinct record_id) as documents, count(distinct record_id) / (select count(*) from vb_documents where full_text is not null) as document_rate, count(*) as "values", avg(e::int) as exact_match_rate, avg((not e and f)::int) as normalized_match_rate, avg((e or f)::int) as combined_match_rate, avg(length(value)) as average_length from hits group by 1)"""
 _ENTITY = "(combined_match_rate >= 0.2 and average_length <= 250 and not suffix(path, 'item_id') and not suffix(path, 'url_toanvan') and not starts_with(path, 'attribute_json.metadata.'))"
 _SHA = "sha256('42|' || {0}::varchar)"
-_BLOCKS = f"blocks as (select record_id, n as block_no, line, coalesce(sum(length(line) + 1) over (partition by record_id order by n rows between unbounded preceding and 1 preceding), 0)::bigint as s from ({_LINES.format(k='record_id', t='full_text', f='vb_documents')}) where trim(line) <> '')"
+_BLOCKS = f"blocks as (select record_id, n as block_no, line, coalesce(sum(length(line) + 1) over (partition by record_id order by n rows between unbounded preceding and 1 preceding), 0)::bigint as s from ({_LINES.format(k='record_id', t='full_text', f='vb_documents')}) where not regexp_matches(line, {_BLANK}))"
 
 SQL = {
     "span_search": f"with {_FOUND} select doc_id, label, count(*) as n, sum(start_char)::bigint as sum_start from found group by 1, 2",

@@ -119,6 +119,8 @@ def sha_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (normalize_fast, accent_fold_slug, safe_names, html_text_regex, url_id_extract, article_split, sentence_offsets, line_blocks_offsets, line_dedupe, person_title_predicates, signature_windows, api_signatures, value_variants_dates, base64_decode, sha_fingerprint)}
 
+#: A line of white space only, as a SQL literal.
+_BLANK = _q(f"^[{_B}\n\r]*$")
 _LINES = "select {k}, unnest(string_split({t}, chr(10))) as line, generate_subscripts(string_split({t}, chr(10)), 1) - 1 as n from {f} where {t} is not null"
 _ONE_LINE = f"trim(regexp_replace(coalesce(line, ''), {_q(f'[{_B}' + chr(10) + chr(13) + ']+')}, ' ', 'g'))"
 _TITLE = f"(length(upper({_ONE_LINE})) <= 160 and not regexp_matches(upper({_ONE_LINE}), {_q('^(?:' + X._quoted(X.RECIPIENTS) + ')')}) and regexp_matches(upper({_ONE_LINE}), {_q('^(?:' + X._quoted(X.TITLE_MARKERS) + ')')}))"
@@ -149,7 +151,7 @@ SQL = {
    select *, coalesce(sum(length(piece) + length(gap)) over (partition by doc_id order by sentence_no rows between unbounded preceding and 1 preceding), 0)::bigint as start_char from rows)""",
     "line_blocks_offsets": f"""select doc_id, n as block_no, start_char, start_char + length(line) as end_char from (
  select doc_id, n, line, coalesce(sum(length(line) + 1) over (partition by doc_id order by n rows between unbounded preceding and 1 preceding), 0)::bigint as start_char
- from ({_LINES.format(k='doc_id', t='text', f='documents')}) where trim(line) <> '')""",
+ from ({_LINES.format(k='doc_id', t='text', f='documents')}) where not regexp_matches(line, {_BLANK}))""",
     "line_dedupe": f"""select doc_id, count(*) as n_lines, sum(length(line))::bigint as n_chars from (select *, lag(line) over (partition by doc_id order by n) as b from ({_LINES.format(k='doc_id', t='text', f='documents')})) where line is distinct from b group by 1""",
     "person_title_predicates": f"select record_id, count(*) as n_lines, sum({_TITLE}::int)::bigint as n_titles, sum({_NAME}::int)::bigint as n_names from ({_LINES.format(k='record_id', t='full_text', f='vb_documents')}) group by 1",
     "api_signatures": "select record_id, coalesce(array_to_string(list_filter([p.person_name for p in issuing_people if p is not null], lambda x: coalesce(x, '') <> ''), ', '), '') as signer, coalesce(array_to_string(list_filter([p.job_title_name for p in issuing_people if p is not null], lambda x: coalesce(x, '') <> ''), ', '), '') as signer_title from vb_documents where issuing_people is not null",
