@@ -399,14 +399,37 @@ def markdown_text(text: str) -> str:
     text = re.sub(r"!?\[([^\[\]]*)\]\([^()\s]*(?:\s+\"[^\"]*\")?\)", r"\1", text)
     text = re.sub(r"<((?:https?|mailto):[^<>\s]+)>", r"\1", text)
     text = _TAG.sub("", text)
-    for mark in (r"\*\*\*", r"\*\*", r"\*"):
-        text = re.sub(rf"{mark}(?=[^\s*])(.+?)(?<=[^\s*]){mark}", r"\1", text, flags=re.S)
-    for mark in ("___", "__", "_"):
-        text = re.sub(rf"(?<!\w){mark}(?=[^\s_])(.+?)(?<=[^\s_]){mark}(?!\w)", r"\1", text, flags=re.S)
-    text = re.sub(r"~~(?=\S)(.+?)(?<=\S)~~", r"\1", text)
+    text = _without_emphasis(text)
     return re.sub("\ue005(\\d+)\ue006", lambda m: chr(int(m.group(1))), html.unescape(text))
 
 
+_RUN = re.compile(r"\*+|_+|~~")
+
+
+def _without_emphasis(text: str) -> str:
+    """The text without pairs of equal marks around words; a mark that has no partner stays. One pass, however long the text is."""
+    openers: dict[str, int] = {}
+    gone: list[tuple[int, int]] = []
+    for m in _RUN.finditer(text):
+        run, (a, b) = m.group(), m.span()
+        if len(run) > 3:
+            continue
+        before, after = text[a - 1 : a], text[b : b + 1]
+        inside = run[0] == "_" and (before.isalnum() or before == "_"), run[0] == "_" and (after.isalnum() or after == "_")
+        if run in openers and before.strip() and not inside[1] and openers[run] + len(run) < a:
+            gone += [(openers[run], openers[run] + len(run)), (a, b)]
+            del openers[run]
+        elif after.strip() and not inside[0]:
+            openers[run] = a
+    if not gone:
+        return text
+    kept, at = [], 0
+    for a, b in sorted(gone):
+        kept.append(text[at:a])
+        at = b
+    return "".join([*kept, text[at:]])
+
+
 def _parts(source: str) -> list[tuple[bool, str]]:
     """The document as runs of HTML and of other text; blocks are told apart by layout tags, at empty lines."""
     held: list[str] = []

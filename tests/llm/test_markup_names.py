@@ -82,6 +82,12 @@ def test_elements(source, expected):
     assert sorted(M.elements(source)) == sorted(expected)
 
 
+def test_emphasis():
+    cases = {"**a** b": "a b", "*a b*": "a b", "***a***": "a", "a*b*c": "abc", "snake_case_x _y_": "snake_case_x y", "2 * 3 * 4": "2 * 3 * 4", "*a": "*a", "**a *b* c**": "a b c", "__a__ ~~b~~": "a b", "** a **": "** a **", "a_": "a_"}
+    for raw, clean in cases.items():
+        assert M._without_emphasis(raw) == clean, raw
+
+
 def test_blocks_of_links_are_left_out():
     menu = "<div><ul>" + "".join(f'<li><a href="{i}">mục {i} của trang này</a></li>' for i in range(9)) + "</ul></div>"
     body = "<div><h1>Một</h1><p>" + "Nội dung, dài, của bài. " * 9 + '</p><ul><li>điều <a href="x">này</a> giữ lại</li></ul></div>'
@@ -91,7 +97,7 @@ def test_blocks_of_links_are_left_out():
 
 
 def test_long_and_broken_markup_ends():
-    for source in ("<div>" * 800 + "x", "*" * 20_000, "[" * 5_000, "$" * 5_001, "<p " * 3_000, "{" * 3_000 + "\\textbf{", "a_" * 5_000 + "\n- x", "> " * 3_000, "''" * 3_000 + "\n* x"):
+    for source in ("<div>" * 800 + "x", "*" * 20_000, "[" * 5_000, "$" * 5_001, "<p " * 3_000, "{" * 3_000 + "\\textbf{", "a_" * 5_000 + "\n- x", "> " * 3_000, "''" * 3_000 + "\n* x", "*a " * 100_000, "- " + "_a " * 100_000, "a**b " * 50_000, "~~x " * 50_000):
         M.elements(source)
 
 
