@@ -6,51 +6,38 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import BLANKS
 from ..session import checkpointed
 from .pairs import equal_pairs
-from .textvec import chunks, mix, ngrams, shingle_sets, text_lengths, words
+from .textvec import chunks, mix, shingle_sets, text_lengths
 
 #: Words of a sequence for similarity, and the share, in tenths, from which texts are near-same.
 N, TENTHS = 3, 7
-#: Words of a fingerprint's sequence, and neighbouring sequences of which the least is taken.
-LONG, WINDOW = 8, 6
-#: Texts of up to so many shingles are found by all their shingles; those a little longer are indexed so, too.
-SHORT = 40
-SHORT_INDEX = SHORT * 10 // TENTHS + 1
-#: Share of an evaluation text's fingerprints, the rarest first, that are looked up, and share of these that a candidate must have; in tenths.
-PROBED, HIT = 6, 1
+#: Common shingles, the rarest first, that two texts must have among their prefixes.
+HITS = 8
+#: Counters for the frequency of shingles, and texts at most, about, from which they are counted; they only set the order.
+COUNTERS, COUNTED = 1 << 20, 100_000
 
 
-def fingerprints(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """(long, short, n_shingles) of each text.
+def _counters(values: np.ndarray) -> np.ndarray:
+    return (mix(values) & np.uint64(COUNTERS - 1)).astype(np.int64)
 
-    long: of each `WINDOW` neighbouring sequences of `LONG` words the least hash, so texts that
-    share LONG + WINDOW - 1 words in a row share a fingerprint. short: all shingles of texts of up
-    to SHORT_INDEX shingles, else nothing.
+
+def prefixes(texts: list[str], frequency: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """(prefix, n_shingles) of each text.
+
+    prefix: its shingles in the order of their counters in `frequency`, then of their hash, which is one
+    order for all texts, as far as the `HITS`-th common shingle of a near-same text can lie.
     """
-    codes, docs, _ = words(texts)
-    grams, owner = ngrams(codes, docs, LONG)
-    real = np.flatnonzero(owner >= 0)
-    chosen = np.zeros(len(grams), dtype=bool)
-    if len(grams) >= WINDOW:
-        view = sliding_window_view(grams, WINDOW)
-        whole = (owner[: len(view)] == owner[WINDOW - 1 :]) & (owner[: len(view)] >= 0)
-        chosen[view.argmin(axis=1)[whole] + np.flatnonzero(whole)] = True
-    few = np.bincount(owner[real], minlength=len(texts)) < WINDOW  # too few sequences for a window: all are taken
-    chosen[real[few[owner[real]]]] = True
-    at = np.flatnonzero(chosen)
-    ends = np.searchsorted(owner[at], np.arange(len(texts) + 1))
     values, offsets = shingle_sets(texts, N)
     count = np.diff(offsets)
-    salted = mix(values ^ np.uint64(0xA5A5A5A5))
-    longs = [np.unique(grams[at[ends[i] : ends[i + 1]]]).view(np.int64) for i in range(len(texts))]
-    shorts = [(salted[offsets[i] : offsets[i + 1]] if count[i] <= SHORT_INDEX else salted[:0]).view(np.int64) for i in range(len(texts))]
-    return longs, shorts, count
+    owner = np.repeat(np.arange(len(texts)), count)
+    values = values[np.lexsort((values, frequency[_counters(values)], owner))].view(np.int64)
+    size = np.minimum(count - -(-count * TENTHS // 10) + HITS, count)
+    return [values[offsets[i] : offsets[i] + size[i]] for i in range(len(texts))], count
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -59,17 +46,34 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
 
 
-def _printed(df: DataFrame) -> DataFrame:
-    """(id, n_shingles, longs, shorts) of (id, text)."""
+def _frequency(df: DataFrame) -> np.ndarray:
+    """How often the shingles of each counter stand in the texts of (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            for a, b in chunks(text_lengths(batch.column(1))):
+                total += np.bincount(_counters(shingle_sets(batch.column(1).slice(a, b - a).to_pylist(), N)[0]), minlength=COUNTERS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], ["counter", "n"])
+
+    counted = df.mapInArrow(run, "counter int, n bigint").groupBy("counter").agg(F.sum("n").cast("int").alias("n")).toArrow()
+    frequency = np.zeros(COUNTERS, dtype=np.int32)
+    frequency[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
+    return frequency
+
+
+def _prefixed(df: DataFrame, frequency: np.ndarray) -> DataFrame:
+    """(id, n, rank, p) of (id, text): the shingles of the prefix, ranked from 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in chunks(text_lengths(batch.column(1))):
                 part = batch.slice(a, b - a)
-                longs, shorts, count = fingerprints(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count, pa.int32()), _lists(longs), _lists(shorts)], ["id", "n_shingles", "longs", "shorts"])
+                lists, count = prefixes(part.column(1).to_pylist(), frequency)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count, pa.int32()), _lists(lists)], ["id", "n", "prefix"])
 
-    return df.mapInArrow(run, "id bigint, n_shingles int, longs array<bigint>, shorts array<bigint>")
+    return df.mapInArrow(run, "id bigint, n int, prefix array<bigint>").select("id", "n", F.posexplode("prefix").alias("rank", "p")).withColumn("rank", F.col("rank") + 1)
 
 
 def _shingled(df: DataFrame) -> DataFrame:
@@ -100,13 +104,11 @@ def containments(df: DataFrame, key: str = "row_id", text: str = "text", train:
     all distinct shingles stand in both: shared / n_a is the containment of the evaluation text
     in the training text.
 
-    Each distinct text is handled once. The evaluation texts' fingerprints are an index,
-    partitioned by hash, that the training texts are scanned against; a text is looked up by its
-    rarest fingerprints, so a passage that a third of all texts have meets only those that have
-    little else. Near-same texts change at most a sixth of their shingles, three or more with
-    each edit, so they have most fingerprints in common; short texts are looked up by their
-    shingles, where the number of the rarest that must contain a common one is exact. What has hits
-    enough is verified on all shingles.
+    Each distinct text is handled once. The search is exact for every length: of texts with n_a and
+    n_b shingles, near-same ones have at least need = ceil(7 / 17 (n_a + n_b)) in common. In one order
+    of all shingles, about the rarest first, after the k-th common one at the places i and j at
+    most min(n_a - i, n_b - j) can follow, so k + min(n_a - i, n_b - j) >= need for it and for all
+    before it. Pairs with k = `HITS` (or need, if less) such shingles are verified on all shingles.
     """
     train = (F.col("split") == "train") if train is None else train
     rows = df.select(df[f"`{key}`"].cast("bigint").alias("id"), F.coalesce(train, F.lit(False)).alias("is_train"), df[f"`{text}`"].alias("text")).where("text <> ''")
@@ -114,23 +116,18 @@ def containments(df: DataFrame, key: str = "row_id", text: str = "text", train:
     texts = hashed.groupBy("h").agg(F.min("id").alias("a"), F.max(~F.col("is_train")).alias("asked"), F.max("is_train").alias("held"))
     members = checkpointed(hashed.join(texts, "h").select("id", "is_train", "a", "asked", "held"))
     first = members.where("id = a").select("id", "asked", "held")
-    printed = checkpointed(_printed(rows.select("id", "text").join(first.select("id"), "id", "left_semi")).join(first, "id").where("n_shingles > 0"))
-
-    prints = F.array_union("longs", "shorts")
-    held = printed.where("held").select(F.col("id").alias("b"), F.explode(prints).alias("p"))
-    frequency = held.groupBy("p").agg(F.count("*").alias("df"))
-    short = F.col("n_shingles") <= SHORT
-    asked = printed.where("asked").select(F.col("id").alias("a"), short.alias("short"), F.explode(F.when(short, F.col("shorts")).otherwise(F.col("longs"))).alias("p"))
-    order = Window.partitionBy("a").orderBy(F.coalesce("df", F.lit(0)), "p")
-    size = F.count("*").over(Window.partitionBy("a"))
-    exact = size - F.ceil(size * TENTHS / 10) + 1
-    ranked = asked.join(frequency, "p", "left").select("a", "p", "short", "df", F.row_number().over(order).alias("rank"), F.when(F.col("short"), exact).otherwise(F.ceil(size * PROBED / 10)).alias("probes"))
-    probes = ranked.where("rank <= probes and df is not null").select("a", "p", F.when(F.col("short"), F.lit(1)).otherwise(F.ceil(F.col("probes") * HIT / 10)).alias("least"))
-    hits = probes.join(held, "p").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("hits"), F.first("least").alias("least")).where("hits >= least").select("a", "b")
-    likely = checkpointed(hits)
+    texts = rows.select("id", "text")
+    every = max(1, -(-first.where("held").count() // COUNTED))
+    frequency = _frequency(texts.join(first.where("held").where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("id"), "id", "left_semi"))
+
+    x, y = (_prefixed(texts.join(first.where(side).select("id"), "id", "left_semi"), frequency).select("p", F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("rank").alias(f"rank_{i}")) for side, i in (("asked", "a"), ("held", "b")))
+    need = F.expr(f"((n_a + n_b) * {TENTHS} + {9 + TENTHS}) div {10 + TENTHS}")
+    hits = F.least(F.lit(HITS), need)
+    common = x.join(y, (x.p == y.p) & (F.col("a") != F.col("b")) & (hits + F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b")) >= need))
+    likely = checkpointed(common.groupBy("a", "b").agg(F.count("*").alias("hits"), F.first(hits).alias("least")).where("hits >= least").select("a", "b"))
 
     concerned = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    grams = _shingled(rows.select("id", "text").join(concerned, "id", "left_semi"))
+    grams = _shingled(texts.join(concerned, "id", "left_semi"))
     shared = F.size(F.array_intersect("grams_a", "grams_b"))
     links = (
         likely.join(grams.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a")

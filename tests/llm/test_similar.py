@@ -104,6 +104,19 @@ def test_overlaps_against_brute_force(spark):
     assert O.overlapping_rows(df.limit(0)).count() == 0
 
 
+def test_edits_all_over_a_text_are_found(spark):
+    rnd = random.Random(3)
+    base = [[f"w{rnd.randint(0, 3000)}" for _ in range(rnd.randint(120, 500))] for _ in range(60)]
+    rows = [(i, "train", " ".join(w)) for i, w in enumerate(base)]
+    for step in (9, 12, 14, 16, 20):  # a word put in after every so many
+        rows += [(step * 1000 + i, "test", " ".join(x for k in range(0, len(w), step) for x in (*w[k : k + step], f"n{rnd.randint(0, 10**6)}"))) for i, w in enumerate(base)]
+    df = spark.createDataFrame(rows, "row_id bigint, split string, text string")
+    expected = {(a, b) for a, x, t in rows if x == "test" for b, y, u in rows if y == "train" and alike(t, u)}
+    assert len(expected) > 150
+    _, links = O.containments(df)
+    assert {(r.a, r.b) for r in links.collect()} == expected
+
+
 def repeated(t, n=8):
     w = words(t or "")
     seen, marked = set(), [False] * len(w)
