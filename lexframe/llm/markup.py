@@ -27,6 +27,10 @@ _LAYOUT = re.compile(r"</?(?:p|div|ul|ol|li|table|t[rdh]|h[1-6]|html|body|blockq
 _GUARDED = re.compile(r"<!--.*?-->|<(pre|script|style|source|syntaxhighlight)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?</\1\s*>|^ {0,3}(```+|~~~+)[^\n]*\n.*?^ {0,3}\2[`~]*[ \t]*$|\\begin\{(verbatim|lstlisting)\*?\}.*?\\end\{\3\*?\}", re.S | re.I | re.M)
 _HOLD, _HELD = "\ue000{}\ue001", re.compile("\ue000(\\d+)\ue001")
 _WHITE = re.compile(r"\s+")
+#: Attributes before the text of a wiki table's cell.
+_ATTRIBUTES = re.compile(r"\s*(?:[A-Za-z][\w:-]*\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'|]++)\s*+|(?:nowrap|noresize)\b\s*+)*", re.I)
+#: Wiki tables within each other; the rows of those further in join those of the last.
+DEEPEST = 30
 
 
 class Node:
@@ -217,41 +221,68 @@ class Reader:
         text = re.sub(r"<!--.*?-->", "", text, flags=re.S)
         text = re.sub(r"<math\b[^>]*>(.*?)</math\s*>", lambda m: self.formula(m.group(1)), text, flags=re.S | re.I)
         text = re.sub(r"<ref\b[^>/]*/>|<ref\b[^>]*>.*?</ref\s*>|\{\{[^{}]*\}\}", "", text, flags=re.S | re.I)
-        table = 0
+        lines = text.split("\n")
+        closed = _closed_tables(lines)
+        tables: list[_Table] = []
         paragraph: list[str] = []
         lists: list[Node] = []
 
+        def put(node: Node) -> None:
+            (tables[-1].block() if tables else root).kids.append(node)
+
         def flush() -> None:
             if paragraph:
-                root.kids.append(Node("p", [wiki_text("\n".join(paragraph))]))
+                put(Node("p", [wiki_text("\n".join(paragraph))]))
                 paragraph.clear()
 
-        for line in text.split("\n"):
+        for at, line in enumerate(lines):
             code = re.fullmatch("\\s*\ue002(\\d+)\ue003\\s*", line)
             if code:
                 flush()
                 lists = []
-                root.kids.append(Node("pre", [codes[int(code.group(1))]]))
-                continue
-            if line.startswith("{|"):
-                table += 1
-            if table:
-                table -= line.startswith("|}")
+                put(Node("pre", [codes[int(code.group(1))]]))
                 continue
             heading = re.match(r"(={1,6})\s*(.+?)\s*\1\s*$", line)
+            if tables and not tables[-1].closed and (heading or not line.strip()):
+                flush()
+                tables.clear()  # what holds an open table is open, too
+            bare = line.strip()
+            if re.match(r":*\s*\{\|", bare):
+                flush()
+                lists = []
+                if len(tables) < DEEPEST:
+                    put(node := Node("table"))
+                else:
+                    node = tables[-1].node
+                tables.append(_Table(node, at in closed))
+                continue
+            if tables and bare.startswith(("|", "!")):
+                flush()
+                lists = []
+                if bare.startswith("|}"):
+                    tables.pop()
+                    if bare[2:].strip():
+                        paragraph.append(bare[2:])
+                else:
+                    tables[-1].read(bare)
+                continue
             item = None if heading else re.match(r"([*#]+)[:;]*\s*(.*)", line)
             if heading or item or not line.strip():
                 flush()
             if heading:
                 lists = []
-                root.kids.append(Node("h2", [wiki_text(heading.group(2))]))
+                put(Node("h2", [wiki_text(heading.group(2))]))
+            elif item and tables and tables[-1].cell is None:
+                put(Node("p", [wiki_text(item.group(2))]))  # in a table, but in none of its cells
             elif item:
                 depth = len(item.group(1))
                 lists = lists[:depth]
                 while len(lists) < depth:
                     node = Node("ol" if item.group(1)[len(lists)] == "#" else "ul")
-                    owner = lists[-1].kids[-1] if lists and lists[-1].kids else lists[-1] if lists else root
-                    owner.kids.append(node)
+                    if lists:
+                        (lists[-1].kids[-1] if lists[-1].kids else lists[-1]).kids.append(node)
+                    else:
+                        put(node)
                     lists.append(node)
                 lists[-1].kids.append(Node("li", [wiki_text(item.group(2))]))
             else:
@@ -352,6 +383,54 @@ class Reader:
         flush()
 
 
+class _Table:
+    """A wiki table while it is read."""
+
+    __slots__ = ("cell", "closed", "node", "row")
+
+    def __init__(self, node: Node, closed: bool):
+        self.node, self.closed = node, closed
+        self.row: Node | None = None
+        self.cell: Node | None = None
+
+    def read(self, line: str) -> None:
+        """A line that begins a row, a caption or cells."""
+        self.cell = None
+        if line.startswith("|-"):
+            self.row = None
+            return
+        caption, head = line.startswith("|+"), line.startswith("!")
+        if self.row is None and not caption:
+            self.row = Node("tr")
+            self.node.kids.append(self.row)
+        for text in [line[2:]] if caption else (line.replace("!!", "||") if head else line)[1:].split("||"):
+            attributes, bar, content = text.partition("|")
+            if bar and _ATTRIBUTES.fullmatch(attributes):
+                text = content
+            self.cell = Node("p" if caption else "th" if head else "td", [wiki_text(text)] if text.strip() else [])
+            (self.node if caption else self.row).kids.append(self.cell)
+
+    def block(self) -> Node:
+        """Where a block goes: into the cell, the text of which becomes a block as well, or else into the table."""
+        if self.cell is None:
+            return self.node
+        if self.cell.tag != "div":
+            self.cell.tag, self.cell.kids = "div", [Node("p", self.cell.kids)] if self.cell.kids else []
+        return self.cell
+
+
+def _closed_tables(lines: list[str]) -> set[int]:
+    """The lines that begin a wiki table which is closed further down."""
+    begun: list[int] = []
+    out = set()
+    for i, line in enumerate(lines):
+        if re.match(r"\s*:*\s*\{\|", line):
+            begun.append(i)
+        elif begun and line.lstrip().startswith("|}"):
+            out.add(begun.pop())
+    return out
+
+
 def _after_braces(text: str, at: int) -> int:
     """The place after the group in braces that begins at `at`, or `at` where none does."""
     if text[at : at + 1] != "{":

@@ -82,6 +82,38 @@ def test_elements(source, expected):
     assert sorted(M.elements(source)) == sorted(expected)
 
 
+def test_wiki_tables():
+    table = """== Biểu ==
+{| class="wikitable"
+|+ Mức '''phí'''
+|-
+! Tên !! colspan="2" | Mức
+|- style="x"
+| một || align=right | 5 <math>a|b</math>
+|
+* hai
+** con
+=== Trong ===
+{|
+| [[Trang|sâu]] || x | y
+|}
+| <source lang="x">
+k = 1
+</source>
+| ba
+
+cuối
+|}
+Sau"""
+    assert M.elements(table) == [("heading", "Biểu"), ("formula", "a|b"), ("list_item", "hai"), ("list_item", "con"), ("heading", "Trong"), ("code", "k = 1")]
+    assert M.clean_text(table).split("\n") == ["# Biểu", "Mức phí", "Tên", "Mức", "một", "5 a|b", "- hai", "  - con", "# Trong", "sâu", "x | y", "```", "k = 1", "```", "ba", "cuối", "Sau"]
+    open_end = "== A ==\n{|\n| một\n{|\n| hai\n|}\n\n== B ==\n* ba <math>c</math>\n{|\n! bốn\n== C ==\nhết"
+    assert M.clean_text(open_end).split("\n") == ["# A", "một", "hai", "# B", "- ba c", "bốn", "# C", "hết"]
+    assert [k for k, _ in M.elements(open_end)] == ["heading", "heading", "list_item", "formula", "heading"]
+    for source in ("== A ==\n" + "{|\n| x\n" * 3_000, "== A ==\n" + "{|\n| x\n" * 2_000 + "|}\n" * 2_000, "== A ==\n{|\n|" + " a=b" * 20_000 + " ' | x"):
+        assert "x" in M.clean_text(source)
+
+
 def test_emphasis():
     cases = {"**a** b": "a b", "*a b*": "a b", "***a***": "a", "a*b*c": "abc", "snake_case_x _y_": "snake_case_x y", "2 * 3 * 4": "2 * 3 * 4", "*a": "*a", "**a *b* c**": "a b c", "__a__ ~~b~~": "a b", "** a **": "** a **", "a_": "a_"}
     for raw, clean in cases.items():
