@@ -330,14 +330,15 @@ def link_register(values: DataFrame, register: DataFrame, kind: str) -> DataFram
 
 
 def link_persons(values: DataFrame, register: DataFrame) -> DataFrame:
-    """(value, office, title, entity_id) for the persons that typed names denote.
+    """(value, office, title, office_state, title_state, entity_id) for the persons that typed names denote.
 
     values: (value, office, office_state, title, title_state), distinct: the typed name, the entries
     that the organisation and the title beside it were linked to, and for each whether it was
     `linked`, `empty` or `unknown`. register: (entity_id, name, office, title). A person is looked for
     in the linked organisation; where none is given the name must be whole and fit one person only, of
     the linked title if there is one; under an organisation that no entry has it must have no slip either.
-    Under a title that no entry has, nobody registered signs. Common suffixes are refined with the
+    Under a title that was linked to no entry the name must have no slip, and fit one person only of the
+    linked organisation, or of all where there is none. Common suffixes are refined with the
     organisation, or else with the title.
     """
 
@@ -353,21 +354,21 @@ def link_persons(values: DataFrame, register: DataFrame) -> DataFrame:
             yield entity, s, f"office {office}"
             yield entity, s, f"title {title}"
 
-    ctx = F.concat_ws("|", F.coalesce("office", F.lit("")), "office_state", F.coalesce("title", F.lit("")))
-    asked = values.where("value is not null and title_state <> 'unknown'").select("value", ctx.alias("ctx"), "office", "title", "office_state").distinct()
+    ctx = F.concat_ws("|", F.coalesce("office", F.lit("")), "office_state", F.coalesce("title", F.lit("")), "title_state")
+    asked = values.where("value is not null").select("value", ctx.alias("ctx"), "office", "title", "office_state", "title_state").distinct()
     typed = _mapped(asked.select("value", "ctx", "office", "title"), typed_keys, "value string, ctx string, suffix string, field string")
     entries = _mapped(register.select("entity_id", "name", "office", "title").where("name is not null"), entry_keys, "entity_id string, suffix string, field string")
     met = _meet(typed, entries, 2 * COMMON)
     entry = register.select("entity_id", "name", F.col("office").alias("own_office"), F.col("title").alias("own_title"))
     pairs = met.join(asked, ["value", "ctx"]).join(entry, "entity_id").where("(office is null or office = own_office) and (title is null or own_title is null or title = own_title)")
 
-    def scores(value: str, ctx: str, entity: str, name: str, office: str | None, state: str) -> Iterator[tuple]:
+    def scores(value: str, ctx: str, entity: str, name: str, office: str | None, state: str, title_state: str) -> Iterator[tuple]:
         s = person_score(value, tuple(tokens(tidy(name))), office is not None)
-        if s > 0 and (office is not None or state == "empty" or s >= 0.97):
+        if s > 0 and (s >= 0.97 or title_state != "unknown" and (office is not None or state == "empty")):
             yield value, ctx, entity, s + _accented(value, name)
 
-    found = _best(_mapped(pairs.select("value", "ctx", "entity_id", "name", "office", "office_state"), scores, "value string, ctx string, entity_id string, score double"))
-    return found.join(asked, ["value", "ctx"]).select("value", "office", "title", "office_state", "entity_id")
+    found = _best(_mapped(pairs.select("value", "ctx", "entity_id", "name", "office", "office_state", "title_state"), scores, "value string, ctx string, entity_id string, score double"))
+    return found.join(asked, ["value", "ctx"]).select("value", "office", "title", "office_state", "title_state", "entity_id")
 
 
 def link_documents(docs: DataFrame, officials: DataFrame, agencies: DataFrame, titles: DataFrame) -> DataFrame:
@@ -391,9 +392,9 @@ def link_documents(docs: DataFrame, officials: DataFrame, agencies: DataFrame, t
 
     known = known.select("record_id", "signer", "issuer", "signer_title", "office", "title", state("issuer", "office").alias("office_state"), state("signer_title", "title").alias("title_state"))
     persons = checkpointed(link_persons(known.select(F.col("signer").alias("value"), "office", "office_state", "title", "title_state").distinct(), people))
-    signers = known.where("title_state <> 'unknown'").alias("k").join(
+    signers = known.alias("k").join(
         persons.alias("p"),
-        F.expr("k.signer = p.value and k.office <=> p.office and k.title <=> p.title and k.office_state = p.office_state"),
+        F.expr("k.signer = p.value and k.office <=> p.office and k.title <=> p.title and k.office_state = p.office_state and k.title_state = p.title_state"),
     )
     found = [
         signers.select("record_id", F.lit("signer").alias("field"), F.col("k.signer").alias("value"), "entity_id"),

@@ -207,3 +207,16 @@ def test_linking(spark):
     assert title == {1: "T1", 2: "T1", 3: "T2", 4: "T2", 13: "T1"}
     for empty in ((docs.limit(0), officials, agencies, titles), (docs, officials.limit(0), agencies.limit(0), titles.limit(0))):
         assert N.link_documents(*empty).where(F.col("entity_id").isNotNull()).count() == 0
+
+
+def test_signers_under_titles_without_entry(spark):
+    officials = spark.createDataFrame([("P1", "Trần Tuấn Đoan", "A1", "T1"), ("P3", "Trần Tuấn Đoan", "A2", "T1"), ("P4", "Hồ Bá Ấn", "A2", "T1")], "person_id string, full_name string, agency_id string, title_id string")
+    agencies = spark.createDataFrame([("A1", "Bộ Thủy văn và Đê điều", "BTVĐĐ"), ("A2", "Sở Địa bạ tỉnh Lâm Vụ", None)], "agency_id string, name string, short_name string")
+    titles = spark.createDataFrame([("T1", "Bộ trưởng"), ("T2", "Thứ trưởng")], "title_id string, title string")
+    typed = [
+        (1, "TRẦN TUẤN ĐOAN", "Bộ Thủy văn và Đê điều", "Quyền Giám đốc kho"), (2, "Hồ Bá Ấn", None, "Tổ trưởng tổ kho"), (3, "Trần Tuấn Đoan", None, "Tổ trưởng tổ kho"), (4, "Hồ Bá Ân Anh", "Sở Địa bạ tỉnh Lâm Vụ", "Tổ trưởng tổ kho"),
+        (5, "Hồ Bá Ấn", "Bộ Thủy văn và Đê điều", "Tổ trưởng tổ kho"),
+    ]
+    docs = spark.createDataFrame(typed, "record_id bigint, signer string, issuer string, signer_title string")
+    got = {(r.record_id, r.field): r.entity_id for r in N.link_documents(docs, officials, agencies, titles).collect() if r.field != "issuer"}
+    assert got == {(1, "signer"): "P1", (2, "signer"): "P4"}
