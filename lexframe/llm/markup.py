@@ -3,7 +3,8 @@
 Every notation is read into one kind of tree (sections, paragraphs, headings, lists, code,
 tables). Paragraphs pass points for their length and commas to their ancestors, discounted by
 the share of their text that is links; the best container is kept with its siblings and those of
-its ancestors, except blocks that are mostly links. What is kept is given as text and as elements.
+its ancestors, except blocks that are mostly links. What is kept is given as text; the elements of
+a row are those of the whole tree.
 """
 
 from __future__ import annotations
@@ -613,9 +614,9 @@ def kept(root: Node) -> Node:
 # --- output -------------------------------------------------------------------------------------
 
 
-def elements(source: str | None) -> list[tuple[str, str]]:
-    """(kind, content) of every heading, list_item, code and formula, in order; nothing for null and empty."""
-    return _walk(source)[0]
+def elements(source: str | None, whole: bool = False) -> list[tuple[str, str]]:
+    """(kind, content) of every heading, list_item, code and formula, in order, `whole` those in blocks of links too; nothing for null and empty."""
+    return _walk(source, whole)[0]
 
 
 def clean_text(source: str | None) -> str | None:
@@ -623,11 +624,13 @@ def clean_text(source: str | None) -> str | None:
     return None if source is None else "\n".join(_walk(source)[1])
 
 
-def _walk(source: str | None) -> tuple[list[tuple[str, str]], list[str]]:
+def _walk(source: str | None, whole: bool = False) -> tuple[list[tuple[str, str]], list[str]]:
     if not source or not source.strip():
         return [], []
     reader = Reader()
-    root = kept(reader.read(source))
+    root = reader.read(source)
+    if not whole:
+        root = kept(root)
     found: list[tuple[str, str]] = []
     lines: list[str] = []
 
@@ -695,14 +698,14 @@ def _walk(source: str | None) -> tuple[list[tuple[str, str]], list[str]]:
 
 
 def markup_elements(df: DataFrame, key: str = "record_id", field: str = "content_html") -> DataFrame:
-    """(key, place, kind, content) for the elements of every row; null, empty and plain texts have none. No shuffle."""
+    """(key, place, kind, content) for the elements of every row, those in blocks of links included; null, empty and plain texts have none. No shuffle."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, places, kinds, contents = [], [], [], []
             for r, source in enumerate(batch.column(1).to_pylist()):
-                for place, (k, c) in enumerate(elements(source), 1):
+                for place, (k, c) in enumerate(elements(source, whole=True), 1):
                     rows.append(r)
                     places.append(place)
                     kinds.append(k)

@@ -140,6 +140,13 @@ def test_markup_of_rows(spark):
     assert M.markup_elements(df.limit(0)).count() == 0
 
 
+def test_rows_have_the_elements_of_link_blocks(spark):
+    source = '<div><ul><li><a href="1">văn bản liên quan số 1</a></li></ul></div><div><h1>Một</h1><p>' + "Nội dung, dài, của bài. " * 9 + "</p></div>"
+    df = spark.createDataFrame([(1, source)], "record_id bigint, content_html string")
+    assert [(r.kind, r.content) for r in M.markup_elements(df).collect()] == [("list_item", "văn bản liên quan số 1"), ("heading", "Một")]
+    assert "liên quan" not in M.markup_texts(df).first().text
+
+
 # --- look-alikes --------------------------------------------------------------------------------
 
 
