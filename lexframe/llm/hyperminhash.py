@@ -17,6 +17,8 @@ from .textvec import chunks, mix, shingle_sets, text_lengths
 #: Sketches of one set, buckets of a sketch, mantissa bits of a register, registers of a band.
 SKETCHES, BUCKETS, MANTISSA, BAND = 8, 32, 10, 5
 REGISTERS = SKETCHES * BUCKETS
+#: Sets of up to so many values meet exactly, by a prefix of their values, whatever their registers.
+SHORT = 40
 _LOW = np.uint64((1 << 59) - 1)
 
 
@@ -75,6 +77,14 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def prefix_keys(values: np.ndarray, offsets: np.ndarray, tenths: int = 7) -> list[np.ndarray]:
+    """For each set of up to `SHORT` values the least values, one of which any set alike to `tenths` tenths has among its own; nothing for the others."""
+    count = np.diff(offsets)
+    size = np.where(count <= SHORT, np.minimum(count - -(-count * tenths // 10) + 1, count), 0)
+    salted = mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).view(np.int64)
+    return [salted[a : a + n] for a, n in zip(offsets[:-1], size)]
+
+
 def estimated_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard similarity from two register arrays, corrected for registers that agree by chance."""
     chance = 0.17 / (1 << MANTISSA) + 2.0**-MANTISSA / 6
@@ -82,12 +92,12 @@ def estimated_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return max(0.0, (share - chance) / (1 - chance))
 
 
-def sketches(df: DataFrame, key: str, head: str, body: str, n: int = 3) -> DataFrame:
+def sketches(df: DataFrame, key: str, head: str, body: str, n: int = 3, tenths: int = 7) -> DataFrame:
     """(key, n_shingles, class_a, class_b, sketch, bands) of every row whose `body` is neither null nor empty.
 
     The text is `head` (nothing where null), a line break and the consistent form of `body`.
     class_a and class_b are sums over the set of shingles: equal for equal sets. Rows with fewer
-    than `n` words have no shingles, class 0 and no bands.
+    than `n` words have no shingles, class 0 and no bands. Short texts have their prefix among the bands.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +108,8 @@ def sketches(df: DataFrame, key: str, head: str, body: str, n: int = 3) -> DataF
                 bands = band_keys(sketch)
                 count = np.diff(offsets)
                 some = count > 0
-                ends = np.concatenate([[0], np.cumsum(np.where(some, bands.shape[1], 0))])
+                keys = [np.concatenate([x, y]) if k else y for k, x, y in zip(some, bands, prefix_keys(values, offsets, tenths))]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
                 sums = []
                 for salt in (0, 0x5851F42D4C957F2D):
                     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values ^ np.uint64(salt)))])
@@ -109,7 +120,7 @@ def sketches(df: DataFrame, key: str, head: str, body: str, n: int = 3) -> DataF
                         pa.array(count, pa.int32()),
                         *sums,
                         pa.array([row.tobytes() for row in sketch], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands[some].ravel(), pa.int64())),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys), pa.int64())),
                     ],
                     [key, "n_shingles", "class_a", "class_b", "sketch", "bands"],
                 )
@@ -150,14 +161,14 @@ def near(grams_a: Column, grams_b: Column, tenths: int) -> Column:
 
 
 def _estimates(pairs: DataFrame, least: float) -> DataFrame:
-    """The (a, b) of `pairs` (a, b, sketch_a, sketch_b) whose estimated similarity is `least` or more."""
+    """The (a, b) of `pairs` (a, b, sketch_a, sketch_b, short) that are short or whose estimated similarity is `least` or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [i for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())) if estimated_jaccard(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)) >= least]
+            keep = [i for i, (x, y, short) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))) if short or estimated_jaccard(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)) >= least]
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    return pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, pairs.select("a", "b").schema)
+    return pairs.select("a", "b", "sketch_a", "sketch_b", "short").mapInArrow(run, pairs.select("a", "b").schema)
 
 
 def near_duplicates(df: DataFrame, key: str = "record_id", head: str = "title", body: str = "full_text", n: int = 3, tenths: int = 7, margin: float = 0.2) -> tuple[DataFrame, DataFrame]:
@@ -169,18 +180,20 @@ def near_duplicates(df: DataFrame, key: str = "record_id", head: str = "title",
 
     Copies are one row before anything is compared. Classes meet where a band of registers is the
     same: at 0.7 a pair is missed by all bands with a probability of 1e-4, at 0.75 of 1e-6.
+    Registers of few shingles depend on each other, so texts of up to `SHORT` shingles meet by an exact
+    prefix as well, and pairs of them are verified whatever the estimate.
     Pairs whose sketches estimate less than the threshold by `margin` (seven standard errors)
     are left out, the others are verified on their shingles, which are made anew for the rows
     concerned only. No group is gathered in one task: pairs come from an equi-join on the band, in blocks.
     """
-    made = checkpointed(sketches(df, key, head, body, n)).where("n_shingles > 0").withColumnRenamed(key, "id")
+    made = checkpointed(sketches(df, key, head, body, n, tenths)).where("n_shingles > 0").withColumnRenamed(key, "id")
     classes = made.groupBy("class_a", "class_b", "n_shingles").agg(F.min("id").alias("class_id"))
     members = checkpointed(made.select("id", "class_a", "class_b", "n_shingles").join(classes, ["class_a", "class_b", "n_shingles"]).select("id", "class_id"))
     first = made.join(members.where("id = class_id").select("id"), "id", "left_semi")
     banded = first.select("id", F.explode("bands").alias("band"))
     met = equal_pairs(banded.select(F.col("band").alias("k"), F.col("id").alias("a")), banded.select(F.col("band").alias("k"), F.col("id").alias("b")), "a", "b").where("a < b").distinct()
-    sketch = first.select("id", "sketch")
-    pairs = met.join(sketch.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a")), "a").join(sketch.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+    sketch = first.select("id", "sketch", (F.col("n_shingles") <= SHORT).alias("short"))
+    pairs = met.join(sketch.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"), F.col("short").alias("short_a")), "a").join(sketch.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"), F.col("short").alias("short_b")), "b").withColumn("short", F.col("short_a") & F.col("short_b"))
     likely = checkpointed(_estimates(pairs, tenths / 10 - margin))
     concerned = likely.select(F.explode(F.array("a", "b")).alias(key)).distinct()
     sets = shingles(df.select(df[f"`{key}`"], df[f"`{head}`"], df[f"`{body}`"]).join(concerned, key, "left_semi"), key, head, body, n)

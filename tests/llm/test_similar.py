@@ -79,6 +79,22 @@ def test_near_duplicates_against_brute_force(spark):
     assert H.member_pairs(*H.near_duplicates(df.limit(0))).count() == 0
 
 
+def test_short_sets_meet_exactly():
+    rnd = random.Random(5)
+    missed = 0
+    for _ in range(3000):
+        union = rnd.randint(7, 30)
+        common = -(-union * 7 // 10)
+        u = np.array([rnd.getrandbits(64) for _ in range(union)], dtype=np.uint64)
+        side = np.array([rnd.random() < 0.5 for _ in range(union - common)], dtype=bool)
+        a, b = np.sort(np.concatenate([u[:common], u[common:][side]])), np.sort(np.concatenate([u[:common], u[common:][~side]]))
+        offsets = np.array([0, len(a), len(a) + len(b)])
+        x, y = H.prefix_keys(np.concatenate([a, b]), offsets)
+        missed += not set(x.tolist()) & set(y.tolist())
+    assert not missed
+    assert [len(k) for k in H.prefix_keys(np.arange(H.SHORT + 1, dtype=np.uint64), np.array([0, 0, H.SHORT + 1]))] == [0, 0]
+
+
 def test_overlaps_against_brute_force(spark):
     rnd = random.Random(8)
     zero, blank = "0" * 64, None
