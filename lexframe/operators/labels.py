@@ -15,13 +15,26 @@ METADATA = ("attribute_json.metadata.", "schema_json.current_document.")
 # End of the fixed values.
 
 
-def flatten_json(df: DataFrame, column: str, keys: list[str], depth: int = 8) -> DataFrame:
+def json_depth(df: DataFrame, column: str) -> int:
+    """The most containers within each other in the JSON texts of a column; 0 where there are none. Brackets in strings don't count."""
+    marks = F.col(column)
+    for pattern in (r"(?s)\\.", r'(?s)"[^"]*"', r"[^\[\]{}]"):
+        marks = F.regexp_replace(marks, F.lit(pattern), F.lit(""))
+    step = lambda a, m: F.when(m.isin("{", "["), a["now"] + 1).otherwise(a["now"] - 1)
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    deepest = F.aggregate(F.split(marks, ""), start, lambda a, m: F.when(m == "", a).otherwise(F.struct(step(a, m).alias("now"), F.greatest(a["most"], step(a, m)).alias("most"))), lambda a: a["most"])
+    return df.where(F.try_parse_json(F.col(column)).isNotNull()).select(F.max(deepest)).first()[0] or 0
+
+
+def flatten_json(df: DataFrame, column: str, keys: list[str], depth: int | None = None) -> DataFrame:
     """(keys, path, value, type) of the leaves of JSON texts, `[]` in a path for the entries of an array.
 
-    Null leaves are kept, empty containers and unreadable texts have none. What is nested deeper than
-    `depth` comes as one leaf, JSON text of its type. Levels are arrays of one row, so there is one scan
+    Null leaves are kept, empty containers and unreadable texts have none. Without
+    `depth` every level is read, as many as the deepest text has, which is looked for first; else what
+    is nested deeper comes as one leaf, JSON text of its type. Levels are arrays of one row, so there is one scan
     and one explode, and no shuffle.
     """
+    depth = json_depth(df, column) if depth is None else depth
     leaf = "struct<path:string,value:string,type:string>"
     kind = lambda n: F.schema_of_variant(n["v"])
     inner = lambda n: kind(n).rlike("^(OBJECT|ARRAY)")

@@ -66,6 +66,11 @@ def test_flattening(spark):
     assert rows(L.flatten_json(df, "j", ["id"]).select("id", "path", "value")) == [(1, "a.b[]", "1"), (1, "a.b[].c", "x"), (1, "d", None), (4, "", "5")]
     deep = spark.createDataFrame([(1, '{"a": {"b": {"c": 1}}}')], "id int, j string")
     assert rows(L.flatten_json(deep, "j", ["id"], depth=1).select("path", "value")) == [("a", '{"b":{"c":1}}')]
+    nested = '{"s": "[[{\\\\\\"[", "a": ' + '{"b": ' * 10 + '[1, {"c": "x"}]' + "}" * 10 + "}"
+    very = spark.createDataFrame([(1, nested), (2, "[" * 30), (3, None)], "id int, j string")
+    at = "a" + ".b" * 10 + "[]"
+    assert L.json_depth(very, "j") == 13
+    assert rows(L.flatten_json(very, "j", ["id"]).select("path", "value")) == sorted([(at, "1"), (at + ".c", "x"), ("s", '[[{\\"[')])
 
 
 def test_splits_and_samples(spark):
