@@ -1,16 +1,21 @@
 """Texts of varying length in containers of fixed capacity, with little room left.
 
 The lengths' histogram is all that the plan needs: a linear program over configurations (which
-lengths a container holds), solved by multiplicative weights. Prices of lengths start in
-proportion to them and fall with what is covered; knapsack dynamic programming finds the
-configuration of the highest price. The fractional solution is rounded down, and what is left is
-fitted best, longest first, still on the histogram. Documents then take the places that the plan
-has for their length, by rank, without any of them seeing another.
+lengths a container holds), solved by multiplicative weights. Lengths are grouped into at most
+`GRAINS` classes. Each round prices the classes, a knapsack by dynamic programming over the room finds the
+configuration of the highest price and, for each class, the best one that holds it; those of nearly the
+best price are taken as often as the classes have items left, so amounts are whole numbers,
+and the price of a class falls with the share of it that is covered. Rounds go on until all but `REST` of
+the volume is covered, however many there are. Configurations of classes are then spelled out in lengths
+that sum up to the capacity, and the remainder is fitted best, longest first, into the room left and into
+further containers. Documents take the places that the plan has for their length, by rank,
+without any of them seeing another.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,8 +26,12 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from .tokenize import FOLDER, count_tokens
 
-#: Pricing rounds times (capacity * distinct lengths) are kept under this; rounds at most and at least; the step.
-WORK, ROUNDS, STEP = 2_000_000_000, (20, 200), 0.25
+#: Classes of lengths at most; share of the volume left to best fit; share by which a price may stay below the best.
+GRAINS, REST, NEAR = 512, 0.05, 0.02
+#: Growth of the first prices over the length, fall of a price with the share covered.
+SLOPE, FALL = 0.2, 0.2
+#: Room, as a share of the capacity, that a configuration may leave: from none, in steps, where no other is left.
+SLACK = (0.0, 0.002, 0.006, 0.014, 0.03, 0.06, 0.12)
 #: Rows of one length that are ranked together.
 RANKED = 1_000_000
 
@@ -35,57 +44,134 @@ class Configuration:
     copies: int
 
 
-def _knapsack(lengths: np.ndarray, prices: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of the highest price, at most `most` of each length; by dynamic programming over the room."""
-    best = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1, dtype=np.int64)
-    price = np.full(capacity + 1, -np.inf)
-    price[lengths] = prices
-    place = np.zeros(capacity + 1, dtype=np.int64)
-    place[lengths] = np.arange(len(lengths))
-    for room in range(1, capacity + 1):
-        gains = best[:room][::-1] + price[1 : room + 1]  # of each length up to the room, with the rest filled at best
-        i = int(gains.argmax())
-        if gains[i] > best[room - 1] + 1e-12:
-            best[room], taken[room] = gains[i], place[i + 1]
+class Knapsack:
+    """Dynamic programming over the room: the best price for every room, with at most `most` items of each size."""
+
+    def __init__(self, sizes: np.ndarray, prices: np.ndarray, most: np.ndarray, room: int):
+        self.pieces: list[tuple[int, int, int]] = []  # (class, items, size): bounds as sums of powers of two
+        for k, (size, bound) in enumerate(zip(sizes.tolist(), most.tolist())):
+            left, items = min(bound, room // size), 1
+            while left > 0:
+                items = min(items, left)
+                self.pieces.append((k, items, size * items))
+                left -= items
+                items *= 2
+        self.best = np.zeros(room + 1)
+        self.taken = np.zeros((len(self.pieces), room + 1), dtype=bool)
+        for row, (k, items, size) in zip(self.taken, self.pieces):
+            gain = self.best[: room + 1 - size] + prices[k] * items
+            better = gain > self.best[size:] + 1e-12
+            row[size:] = better
+            np.copyto(self.best[size:], gain, where=better)
+
+    def content(self, room: int) -> dict[int, int]:
+        """Class -> items of the best configuration for this room."""
+        out: dict[int, int] = {}
+        for row, (k, items, size) in zip(self.taken[::-1], self.pieces[::-1]):
+            if row[room]:
+                out[k] = out.get(k, 0) + items
+                room -= size
+        return out
+
+
+def _program(sizes: np.ndarray, demand: np.ndarray, room: int) -> list[tuple[dict[int, int], int]]:
+    """Configurations (size -> items) and how often each is taken, for classes of items of the given sizes."""
+    left, total = demand.copy(), int((sizes * demand).sum())
+    weight = (sizes / room) ** SLOPE
+    out: list[tuple[dict[int, int], int]] = []
+    slack = 0
+    while (left * sizes).sum() > REST * total and slack < len(SLACK):
+        live = np.flatnonzero(left)
+        size, price = sizes[live], (weight * sizes)[live]
+        sack = Knapsack(size, price, left[live], room)
+        value = price + sack.best[room - size]  # of the best configurations that hold each class
+        covered, least = np.zeros(len(live)), None
+        for k in [-1, *np.argsort(-value, kind="stable").tolist()]:
+            worth = sack.best[room] if k < 0 else value[k]
+            if k >= 0 and least is not None and worth < least:
+                break
+            content = sack.content(room if k < 0 else room - int(size[k]))
+            if k >= 0:
+                content[k] = content.get(k, 0) + 1
+            if not content:
+                break
+            at, items = np.array(list(content)), np.array(list(content.values()))
+            if (size[at] * items).sum() < room * (1 - SLACK[slack]):
+                continue
+            least = worth * (1 - NEAR) if least is None else least
+            copies = int((left[live[at]] // items).min())
+            if copies:
+                left[live[at]] -= copies * items
+                covered[at] += copies * items / demand[live[at]]
+                out.append(({int(size[i]): n for i, n in content.items()}, copies))
+        if covered.any():
+            weight[live] *= np.exp(-FALL * covered)
         else:
-            best[room] = best[room - 1]
-    content: dict[int, int] = {}
-    room = capacity
-    while room > 0:
-        i = taken[room]
-        if i < 0:
-            room -= 1
-            continue
-        n = int(lengths[i])
-        content[n] = content.get(n, 0) + 1
-        room -= n
-    return {n: min(c, int(most[np.searchsorted(lengths, n)])) for n, c in content.items()}
-
-
-def _fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations and their amounts, by multiplicative weights."""
-    rounds = int(np.clip(WORK // max(1, capacity * len(lengths)), *ROUNDS))
-    weight = np.ones(len(lengths))
-    covered = np.zeros(len(lengths))
-    out: dict[tuple, list] = {}
-    for _ in range(rounds):
-        content = _knapsack(lengths, weight * lengths / capacity, counts, capacity)
-        if not content:
-            break
-        at = np.searchsorted(lengths, list(content))
-        number = np.array(list(content.values()), dtype=float)
-        amount = STEP * float((counts[at] / number).min())
-        out.setdefault(tuple(sorted(content.items())), [content, 0.0])[1] += amount
-        covered[at] += amount * number / counts[at]
-        weight[at] *= np.exp(-amount * number / counts[at])
-        if covered.min() >= 1:
-            break
-    return [(c, a) for c, a in out.values()]
-
-
-def _best_fit(left: dict[int, int], capacity: int) -> list[Configuration]:
-    """What is left, longest first, each where the least room remains; equal containers are handled together."""
+            slack += 1
+    return out
+
+
+class _Shelf:
+    """The lengths of one class, ascending, of which items are left."""
+
+    def __init__(self) -> None:
+        self.lengths: list[int] = []
+
+    def nearest(self, wanted: int, free: Callable[[int], bool]) -> int | None:
+        """The length nearest to the wanted one among those with a free item."""
+        return min((n for n in self.lengths if free(n)), key=lambda n: abs(n - wanted), default=None)
+
+    def most(self, room: int, free: Callable[[int], bool]) -> int | None:
+        """The greatest length that fits, among those with a free item."""
+        return next((n for n in self.lengths[bisect_right(self.lengths, room) - 1 :: -1] if free(n)), None) if self.lengths and self.lengths[0] <= room else None
+
+
+def _class(length: int, grain: int, room: int) -> int:
+    """The size of a length in grains, rounded to the nearest; 0 for those too short for the program."""
+    return min((length + grain // 2) // grain, room)
+
+
+def _spelled(columns: list[tuple[dict[int, int], int]], left: dict[int, int], capacity: int, grain: int) -> list[Configuration]:
+    """Configurations of classes as such of lengths; `left` (length -> number) is what remains.
+
+    Lengths are chosen so that their differences from the middle of their classes cancel out, the last
+    one as great as fits. Equal containers are made together, so there are at most as many
+    configurations as columns and lengths.
+    """
+    room_of = capacity // grain
+    shelves: dict[int, _Shelf] = {}
+    for n in sorted(left):
+        shelves.setdefault(_class(n, grain, room_of), _Shelf()).lengths.append(n)
+    plan = []
+    for content, copies in columns:
+        sizes = [k for k in sorted(content, reverse=True) for _ in range(content[k])]
+        while copies:
+            used: dict[int, int] = {}
+            room, off = capacity, 0
+            for i, k in enumerate(sizes):
+                free = lambda n: left[n] > used.get(n, 0)  # noqa: B023, E731
+                n = shelves[k].most(room, free) if i == len(sizes) - 1 else shelves[k].nearest(k * grain - off, free)
+                if n is None or n > room:
+                    continue
+                used[n] = used.get(n, 0) + 1
+                room -= n
+                off += n - k * grain
+            if not used:
+                break
+            same = min(copies, *(left[n] // q for n, q in used.items()))
+            plan.append(Configuration(used, same))
+            copies -= same
+            for n, q in used.items():
+                left[n] -= q * same
+                if not left[n]:
+                    shelves[_class(n, grain, room_of)].lengths.remove(n)
+    for n in [n for n, c in left.items() if not c]:
+        del left[n]
+    return plan
+
+
+def _best_fit(left: dict[int, int], capacity: int, begun: list[Configuration] | None = None) -> list[Configuration]:
+    """`begun` and what is left, longest first, each where the least room remains; equal containers are handled together."""
     by_room: dict[int, list[Configuration]] = {}
     rooms = np.zeros(capacity + 1, dtype=bool)
 
@@ -93,6 +179,8 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[Configuration]:
         by_room.setdefault(room, []).append(c)
         rooms[room] = True
 
+    for c in begun or []:
+        put(c, capacity - sum(n * q for n, q in c.content.items()))
     for n in sorted(left, reverse=True):
         todo = left[n]
         while todo:
@@ -123,33 +211,49 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[Configuration]:
 def plan_containers(histogram: dict[int, int], capacity: int) -> list[Configuration]:
     """Configurations that together hold exactly the items of `histogram` (length -> number), none longer than `capacity`."""
     left = {n: c for n, c in histogram.items() if c > 0 and 0 < n <= capacity}
-    if not left:
+    return _best_fit(left, capacity, program(left, capacity))
+
+
+def program(left: dict[int, int], capacity: int) -> list[Configuration]:
+    """The containers that the linear program fills; `left` (length -> number) is changed to what remains."""
+    grain = -(-capacity // GRAINS)
+    room = capacity // grain
+    demand: dict[int, int] = {}
+    for n, c in left.items():
+        k = _class(n, grain, room)
+        if k:
+            demand[k] = demand.get(k, 0) + c
+    if not demand:
         return []
-    lengths = np.array(sorted(left), dtype=np.int64)
-    counts = np.array([left[n] for n in lengths], dtype=np.int64)
-    plan = []
-    ranked = sorted(_fractional(lengths, counts, capacity), key=lambda x: sum(n * c for n, c in x[0].items()), reverse=True)
-    for content, amount in ranked:
-        if sum(n * c for n, c in content.items()) < capacity * 0.995:
-            continue  # the rest is fitted better one by one
-        copies = min([int(amount), *(left[n] // c for n, c in content.items())])
-        if copies > 0:
-            plan.append(Configuration(content, copies))
-            for n, c in content.items():
-                left[n] -= c * copies
-    return plan + _best_fit({n: c for n, c in left.items() if c}, capacity)
-
-
-def _places(plan: list[Configuration], first: int) -> tuple[dict[int, tuple[np.ndarray, ...]], int]:
-    """For each length: (first rank, first container, number in a container) of runs of places, and the next free container."""
-    runs: dict[int, list[tuple[int, int, int]]] = {}
-    used: dict[int, int] = {}
-    for c in plan:
-        for n, k in c.content.items():
-            runs.setdefault(n, []).append((used.get(n, 0), first, k))
-            used[n] = used.get(n, 0) + k * c.copies
-        first += c.copies
-    return {n: tuple(np.array(x, dtype=np.int64) for x in zip(*r)) for n, r in runs.items()}, first
+    sizes = np.array(sorted(demand), dtype=np.int64)
+    return _spelled(_program(sizes, np.array([demand[k] for k in sizes.tolist()], dtype=np.int64), room), left, capacity, grain)
+
+
+class Places:
+    """The places that a plan has for each length, in the order of ranks, as arrays."""
+
+    def __init__(self, plan: list[Configuration]):
+        runs: dict[int, list[tuple[int, int, int]]] = {}
+        used: dict[int, int] = {}
+        self.containers = 0
+        for c in plan:
+            for n, k in c.content.items():
+                runs.setdefault(n, []).append((used.get(n, 0), self.containers, k))
+                used[n] = used.get(n, 0) + k * c.copies
+            self.containers += c.copies
+        self.base = np.zeros(max(runs, default=0) + 1, dtype=np.int64)  # where the ranks of each length begin
+        at, rows = 0, []
+        for n in sorted(runs):
+            self.base[n] = at
+            rows += [(at + rank, container, k) for rank, container, k in runs[n]]
+            at += used[n]
+        self.first, self.container, self.each = np.array(rows, dtype=np.int64).reshape(-1, 3).T
+
+    def of(self, lengths: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+        """The container of the item of each length and rank."""
+        at = self.base[lengths] + ranks
+        run = np.searchsorted(self.first, at, side="right") - 1
+        return self.container[run] + (at - self.first[run]) // self.each[run]
 
 
 def pack_documents(documents: DataFrame, pack_sizes: DataFrame, key: str = "doc_id", text: str = "text", folder: str = FOLDER) -> DataFrame:
@@ -181,11 +285,7 @@ def pack_documents(documents: DataFrame, pack_sizes: DataFrame, key: str = "doc_
     rows = rows.withColumn("rest", F.col("n_tokens") - F.col("whole") * F.col("capacity"))
 
     sums = rows.groupBy("pack_kind", "rest").agg(F.count("*").alias("n"), F.sum("whole").alias("whole")).collect()  # at most a row for each length up to the capacities
-    places: dict[str, dict[int, tuple]] = {}
-    after: dict[str, int] = {}
-    for k in kinds:
-        histogram = {int(r.rest): int(r.n) for r in sums if r.pack_kind == k.pack_kind}
-        places[k.pack_kind], after[k.pack_kind] = _places(plan_containers(histogram, int(k.capacity_tokens)), 0)
+    places = {k.pack_kind: Places(plan_containers({int(r.rest): int(r.n) for r in sums if r.pack_kind == k.pack_kind}, int(k.capacity_tokens))) for k in kinds}
     buckets = max(16, sum(r.n for r in sums) // RANKED)
 
     bucket = F.pmod(F.xxhash64("id"), F.lit(buckets))
@@ -200,12 +300,11 @@ def pack_documents(documents: DataFrame, pack_sizes: DataFrame, key: str = "doc_
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, lengths, ranks = batch.column(0).to_pylist(), batch.column(4).to_numpy(), batch.column(5).to_numpy()
+            names, lengths, ranks = batch.column(0).to_numpy(zero_copy_only=False), batch.column(4).to_numpy(), batch.column(5).to_numpy()
             found = np.empty(len(ranks), dtype=np.int64)
-            for i, (name, n, r) in enumerate(zip(names, lengths.tolist(), ranks.tolist())):
-                first, container, each = places[name][n]
-                j = int(np.searchsorted(first, r, side="right")) - 1
-                found[i] = container[j] + (r - first[j]) // each[j]
+            for name in set(names.tolist()):
+                own = names == name
+                found[own] = places[name].of(lengths[own], ranks[own])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), *(batch.column(i) for i in (1, 2, 3, 4))], ["pack_kind", "container_id", key, "part", "start_token", "n_tokens"])
 
     packed = ranked.mapInArrow(placed, schema)
@@ -215,7 +314,7 @@ def pack_documents(documents: DataFrame, pack_sizes: DataFrame, key: str = "doc_
     before = Window.partitionBy("pack_kind").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     lone_starts = lone_sizes.select("pack_kind", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     own = Window.partitionBy("pack_kind", "bucket").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = F.create_map(*[x for k in kinds for x in (F.lit(k.pack_kind), F.lit(after[k.pack_kind]).cast("bigint"))])
+    firsts = F.create_map(*[x for k in kinds for x in (F.lit(k.pack_kind), F.lit(places[k.pack_kind].containers).cast("bigint"))])
     lone = lone_sums.withColumn("own", F.coalesce(F.sum("whole").over(own), F.lit(0))).join(lone_starts, ["pack_kind", "bucket"])
     lone = lone.select("pack_kind", "id", "capacity", (firsts[F.col("pack_kind")] + F.col("before") + F.col("own")).alias("first"), F.posexplode(F.sequence(F.lit(1), F.col("whole"))).alias("part", "_"))
     lone = lone.select("pack_kind", (F.col("first") + F.col("part")).alias("container_id"), F.col("id").alias(key), "part", (F.col("part") * F.col("capacity")).alias("start_token"), F.col("capacity").alias("n_tokens"))

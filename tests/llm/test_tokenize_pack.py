@@ -4,6 +4,7 @@ import base64
 import random
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from lexframe.llm import containers as C
@@ -73,6 +74,24 @@ def test_plans_hold_everything_and_leave_little():
     assert C.plan_containers({}, 10) == [] and C.plan_containers({5: 3}, 4) == []
 
 
+@pytest.mark.parametrize("capacity, spread", [(512, 512), (2048, 700), (8192, 1200)])
+def test_the_program_fills_nearly_all_containers(capacity, spread):
+    rnd = random.Random(capacity)
+    for scale in (1, 100):
+        items = [min(capacity, 1 + int(rnd.expovariate(1 / spread))) for _ in range(8000)]
+        histogram = {n: items.count(n) * scale for n in set(items)}
+        made = sum(c.copies for c in C.program(dict(histogram), capacity))
+        bins = sum(c.copies for c in C.plan_containers(histogram, capacity))
+        alone = sum(c.copies for c in C._best_fit(histogram, capacity))
+        assert made >= 0.9 * bins and bins <= alone * 1.002 + 1
+
+
+def test_places_of_ranks():
+    plan = [C.Configuration({3: 2, 5: 1}, 2), C.Configuration({3: 1}, 3)]
+    places = C.Places(plan)
+    assert places.of(np.array([3] * 7 + [5] * 2), np.array([*range(7), 0, 1])).tolist() == [0, 0, 1, 1, 2, 3, 4, 0, 1] and places.containers == 5
+
+
 def test_knapsack_against_brute_force():
     import itertools
 
@@ -81,10 +100,13 @@ def test_knapsack_against_brute_force():
     rnd = random.Random(1)
     for _ in range(30):
         lengths = np.array(sorted(rnd.sample(range(1, 12), 3)))
-        prices, most = np.array([rnd.random() for _ in lengths]), np.array([9, 9, 9])
-        content = C._knapsack(lengths, prices, most * 10, 13)
-        best = max(sum(k * p for k, p in zip(ks, prices)) for ks in itertools.product(range(14), repeat=3) if sum(k * n for k, n in zip(ks, lengths)) <= 13)
-        assert abs(sum(k * prices[list(lengths).index(n)] for n, k in content.items()) - best) < 1e-9
+        prices, most = np.array([rnd.random() for _ in lengths]), np.array([rnd.randint(1, 6) for _ in lengths])
+        sack = C.Knapsack(lengths, prices, most, 13)
+        for room in range(14):
+            content = sack.content(room)
+            assert all(c <= most[k] for k, c in content.items()) and sum(c * lengths[k] for k, c in content.items()) <= room
+            best = max(sum(c * p for c, p in zip(cs, prices)) for cs in itertools.product(*(range(m + 1) for m in most)) if sum(c * n for c, n in zip(cs, lengths)) <= room)
+            assert abs(sum(c * prices[k] for k, c in content.items()) - best) < 1e-9 and abs(sack.best[room] - best) < 1e-9
 
 
 def test_packing(spark):
