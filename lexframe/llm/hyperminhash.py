@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpointed
 from .lookalikes import consistent
-from .pairs import equal_pairs
+from .pairs import equal_pairs, self_pairs
 from .textvec import chunks, mix, shingle_sets, text_lengths
 
 #: Sketches of one set, buckets of a sketch, mantissa bits of a register, registers of a band.
@@ -85,11 +85,22 @@ def prefix_keys(values: np.ndarray, offsets: np.ndarray, tenths: int = 7) -> lis
     return [salted[a : a + n] for a, n in zip(offsets[:-1], size)]
 
 
-def estimated_jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity from two register arrays, corrected for registers that agree by chance."""
-    chance = 0.17 / (1 << MANTISSA) + 2.0**-MANTISSA / 6
-    share = float(np.mean(a == b))
-    return max(0.0, (share - chance) / (1 - chance))
+def chance(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """The share of registers of two sets of these sizes that agree though the sets have nothing in common.
+
+    With k and l values in a bucket the least ones, as parts of the range, have the densities k(1-x)^(k-1) and
+    l(1-x)^(l-1), and registers agree where both fall into one cell: 2^MANTISSA cells between 2^-i and 2^(1-i).
+    """
+    k, m = (np.maximum(np.asarray(n, dtype=np.float64) / BUCKETS, 1.0)[:, None] for n in (n_a, n_b))
+    low = 2.0 ** -np.arange(1, 60)[None, :]
+    rest = k + m - 1
+    return (k * m / rest * low * ((1 - low) ** rest - (1 - 2 * low) ** rest)).sum(axis=1) / (1 << MANTISSA)
+
+
+def estimated_jaccard(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Jaccard similarities from arrays of registers (pairs, REGISTERS) and set sizes, corrected for registers that agree by chance."""
+    by_chance = chance(n_a, n_b)
+    return np.maximum(0.0, ((a == b).mean(axis=1) - by_chance) / (1 - by_chance))
 
 
 def sketches(df: DataFrame, key: str, head: str, body: str, n: int = 3, tenths: int = 7) -> DataFrame:
@@ -160,15 +171,25 @@ def near(grams_a: Column, grams_b: Column, tenths: int) -> Column:
     return both * 10 >= (F.size(grams_a) + F.size(grams_b) - both) * tenths
 
 
+def _registers_of(column: pa.Array) -> np.ndarray:
+    """Sketches of one batch as an array; all have the same size."""
+    data = np.frombuffer(column.buffers()[2], dtype=np.uint16)
+    first = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset] // 2
+    return data[first : first + len(column) * REGISTERS].reshape(len(column), REGISTERS)
+
+
 def _estimates(pairs: DataFrame, least: float) -> DataFrame:
-    """The (a, b) of `pairs` (a, b, sketch_a, sketch_b, short) that are short or whose estimated similarity is `least` or more."""
+    """The (a, b) of `pairs` (a, b, sketch_a, sketch_b, n_a, n_b) that are short or whose estimated similarity is `least` or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [i for i, (x, y, short) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))) if short or estimated_jaccard(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)) >= least]
-            yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
+            n_a, n_b = batch.column(4).to_numpy(), batch.column(5).to_numpy()
+            keep = np.maximum(n_a, n_b) <= SHORT
+            keep |= estimated_jaccard(_registers_of(batch.column(2)), _registers_of(batch.column(3)), n_a, n_b) >= least
+            yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return pairs.select("a", "b", "sketch_a", "sketch_b", "short").mapInArrow(run, pairs.select("a", "b").schema)
+    pairs = pairs.select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b")
+    return pairs.mapInArrow(run, pairs.select("a", "b").schema)
 
 
 def near_duplicates(df: DataFrame, key: str = "record_id", head: str = "title", body: str = "full_text", n: int = 3, tenths: int = 7, margin: float = 0.2) -> tuple[DataFrame, DataFrame]:
@@ -184,16 +205,22 @@ def near_duplicates(df: DataFrame, key: str = "record_id", head: str = "title",
     prefix as well, and pairs of them are verified whatever the estimate.
     Pairs whose sketches estimate less than the threshold by `margin` (seven standard errors)
     are left out, the others are verified on their shingles, which are made anew for the rows
-    concerned only. No group is gathered in one task: pairs come from an equi-join on the band, in blocks.
+    concerned only. No group is gathered in one task: pairs come from an equi-join on the band, in blocks, and each
+    pair at the first band only that both share.
     """
     made = checkpointed(sketches(df, key, head, body, n, tenths)).where("n_shingles > 0").withColumnRenamed(key, "id")
     classes = made.groupBy("class_a", "class_b", "n_shingles").agg(F.min("id").alias("class_id"))
     members = checkpointed(made.select("id", "class_a", "class_b", "n_shingles").join(classes, ["class_a", "class_b", "n_shingles"]).select("id", "class_id"))
     first = made.join(members.where("id = class_id").select("id"), "id", "left_semi")
-    banded = first.select("id", F.explode("bands").alias("band"))
-    met = equal_pairs(banded.select(F.col("band").alias("k"), F.col("id").alias("a")), banded.select(F.col("band").alias("k"), F.col("id").alias("b")), "a", "b").where("a < b").distinct()
-    sketch = first.select("id", "sketch", (F.col("n_shingles") <= SHORT).alias("short"))
-    pairs = met.join(sketch.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"), F.col("short").alias("short_a")), "a").join(sketch.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"), F.col("short").alias("short_b")), "b").withColumn("short", F.col("short_a") & F.col("short_b"))
+    banded = first.select("id", F.explode("bands").alias("k"))
+    shared = banded.join(banded.groupBy("k").count().where("count > 1"), "k", "left_semi")
+    listed = shared.groupBy("id").agg(F.sort_array(F.collect_set("k")).alias("bands"))  # at most as many as a row has bands
+    seen = listed.select("id", "bands", F.posexplode("bands").alias("at", "k")).select("k", "id", F.slice("bands", 1, F.col("at")).alias("seen"))
+    met = self_pairs(seen, "id", once="seen")
+    sketch = first.select("id", "sketch", F.col("n_shingles").alias("n"))
+    pairs = met
+    for side in "ab":
+        pairs = pairs.join(sketch.select(F.col("id").alias(side), F.col("sketch").alias(f"sketch_{side}"), F.col("n").alias(f"n_{side}")), side)
     likely = checkpointed(_estimates(pairs, tenths / 10 - margin))
     concerned = likely.select(F.explode(F.array("a", "b")).alias(key)).distinct()
     sets = shingles(df.select(df[f"`{key}`"], df[f"`{head}`"], df[f"`{body}`"]).join(concerned, key, "left_semi"), key, head, body, n)
