@@ -18,8 +18,8 @@ from .textvec import chunks, mix, shingle_sets, text_lengths
 N, TENTHS = 3, 7
 #: Common shingles, the rarest first, that two texts must have among their prefixes.
 HITS = 8
-#: Counters for the frequency of shingles, and texts at most, about, from which they are counted; they only set the order.
-COUNTERS, COUNTED = 1 << 20, 100_000
+#: Counters of shingles, of which texts count each once; they only set the order. Bits that tell which shingles a side has.
+COUNTERS, BITS = 1 << 22, 1 << 24
 
 
 def _counters(values: np.ndarray) -> np.ndarray:
@@ -47,33 +47,85 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _frequency(df: DataFrame) -> np.ndarray:
-    """How often the shingles of each counter stand in the texts of (id, text)."""
+    """In how many of all texts of (id, text) the shingles of each counter stand, on a scale of logarithms in one byte."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
             for a, b in chunks(text_lengths(batch.column(1))):
-                total += np.bincount(_counters(shingle_sets(batch.column(1).slice(a, b - a).to_pylist(), N)[0]), minlength=COUNTERS)
+                at = _counters(shingle_sets(batch.column(1).slice(a, b - a).to_pylist(), N)[0])
+                np.add.at(total, at, 1)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], ["counter", "n"])
-
-    counted = df.mapInArrow(run, "counter int, n bigint").groupBy("counter").agg(F.sum("n").cast("int").alias("n")).toArrow()
-    frequency = np.zeros(COUNTERS, dtype=np.int32)
-    frequency[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
+        for a in range(0, len(some), 100_000):
+            part = some[a : a + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part], pa.int64())], ["counter", "n"])
+
+    scaled = F.round(F.log2(F.sum("n") + 1) * 6).cast("tinyint")
+    counted = df.mapInArrow(run, "counter int, n bigint").groupBy("counter").agg(scaled.alias("n")).toArrow()  # a row for each counter at most
+    frequency = np.zeros(COUNTERS, dtype=np.uint8)
+    frequency[counted.column(0).to_numpy()] = counted.column(1).to_numpy().view(np.uint8)
     return frequency
 
 
 def _prefixed(df: DataFrame, frequency: np.ndarray) -> DataFrame:
-    """(id, n, rank, p) of (id, text): the shingles of the prefix, ranked from 1."""
+    """(id, asked, held, n, prefix) of (id, asked, held, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in chunks(text_lengths(batch.column(1))):
+            for a, b in chunks(text_lengths(batch.column(3))):
                 part = batch.slice(a, b - a)
-                lists, count = prefixes(part.column(1).to_pylist(), frequency)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count, pa.int32()), _lists(lists)], ["id", "n", "prefix"])
+                lists, count = prefixes(part.column(3).to_pylist(), frequency)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(count, pa.int32()), _lists(lists)], ["id", "asked", "held", "n", "prefix"])
+
+    return df.mapInArrow(run, "id bigint, asked boolean, held boolean, n int, prefix array<bigint>")
+
+
+def _bits(prefix: DataFrame) -> np.ndarray:
+    """Which shingles stand in the prefixes of (prefix), as `BITS` bits: a mark may stand for others as well, none is missing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(BITS, dtype=bool)
+        for batch in batches:
+            own[_bit(batch.column(0).flatten().to_numpy())] = True
+        packed = np.packbits(own).view(np.int64)
+        some = np.flatnonzero(packed)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed[some], pa.int64())], ["word", "bits"])
+
+    found = prefix.mapInArrow(run, "word int, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # BITS / 64 rows at most
+    packed = np.zeros(BITS // 64, dtype=np.int64)
+    packed[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return packed.view(np.uint8)
 
-    return df.mapInArrow(run, "id bigint, n int, prefix array<bigint>").select("id", "n", F.posexplode("prefix").alias("rank", "p")).withColumn("rank", F.col("rank") + 1)
+
+def _bit(values: np.ndarray) -> np.ndarray:
+    return (mix(values.view(np.uint64)) >> np.uint64(40)).astype(np.int64)
+
+
+def _meeting(prefixed: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(id, n, rank, p) of (id, n, prefix): the shingles that the other side has, with their rank in the prefix, from 1.
+
+    A text with fewer of them than any near-same one must share with it gives no row.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            values, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            count = np.diff(ends)
+            owner = np.repeat(np.arange(len(count)), count)
+            rank = np.arange(len(values)) - ends[owner] + 1
+            at = _bit(values)
+            there = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+            n = batch.column(1).to_numpy()
+            least = np.minimum(HITS, -(-n * TENTHS // 10))
+            there &= np.bincount(owner[there], minlength=len(count))[owner] >= least[owner]
+            keep = np.flatnonzero(there)
+            for a in range(0, len(keep), 100_000):
+                some = keep[a : a + 100_000]
+                own = owner[some]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array(n[own], pa.int32()), pa.array(rank[some], pa.int32()), pa.array(values[some], pa.int64())], ["id", "n", "rank", "p"])
+
+    return prefixed.select("id", "n", "prefix").mapInArrow(run, "id bigint, n int, rank int, p bigint")
 
 
 def _shingled(df: DataFrame) -> DataFrame:
@@ -109,6 +161,9 @@ def containments(df: DataFrame, key: str = "row_id", text: str = "text", train:
     of all shingles, about the rarest first, after the k-th common one at the places i and j at
     most min(n_a - i, n_b - j) can follow, so k + min(n_a - i, n_b - j) >= need for it and for all
     before it. Pairs with k = `HITS` (or need, if less) such shingles are verified on all shingles.
+    Shingles of these prefixes that no text of the other side has among its own are dropped before anything is
+    shuffled, by a bit map of fixed size that is broadcast, and so are texts that have too few left.
+    Shingles that many texts have meet in blocks of either side.
     """
     train = (F.col("split") == "train") if train is None else train
     rows = df.select(df[f"`{key}`"].cast("bigint").alias("id"), F.coalesce(train, F.lit(False)).alias("is_train"), df[f"`{text}`"].alias("text")).where("text <> ''")
@@ -117,13 +172,17 @@ def containments(df: DataFrame, key: str = "row_id", text: str = "text", train:
     members = checkpointed(hashed.join(texts, "h").select("id", "is_train", "a", "asked", "held"))
     first = members.where("id = a").select("id", "asked", "held")
     texts = rows.select("id", "text")
-    every = max(1, -(-first.where("held").count() // COUNTED))
-    frequency = _frequency(texts.join(first.where("held").where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("id"), "id", "left_semi"))
-
-    x, y = (_prefixed(texts.join(first.where(side).select("id"), "id", "left_semi"), frequency).select("p", F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("rank").alias(f"rank_{i}")) for side, i in (("asked", "a"), ("held", "b")))
+    distinct = texts.join(first, "id")
+    prefixed = checkpointed(_prefixed(distinct.select("id", "asked", "held", "text"), _frequency(distinct.select("id", "text"))))
+    asked, held = prefixed.where("asked"), prefixed.where("held")
+    sides = []
+    for side, other, i in ((asked, held, "a"), (held, asked, "b")):
+        met = _meeting(side, _bits(other.select("prefix")))
+        sides.append(met.select(F.col("p").alias("k"), F.struct(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("rank").alias(f"rank_{i}")).alias(f"at_{i}")))
     need = F.expr(f"((n_a + n_b) * {TENTHS} + {9 + TENTHS}) div {10 + TENTHS}")
     hits = F.least(F.lit(HITS), need)
-    common = x.join(y, (x.p == y.p) & (F.col("a") != F.col("b")) & (hits + F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b")) >= need))
+    common = equal_pairs(*sides, "at_a", "at_b").select("at_a.*", "at_b.*")
+    common = common.where((F.col("a") != F.col("b")) & (hits + F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b")) >= need))
     likely = checkpointed(common.groupBy("a", "b").agg(F.count("*").alias("hits"), F.first(hits).alias("least")).where("hits >= least").select("a", "b"))
 
     concerned = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
