@@ -14,6 +14,8 @@ from .textvec import chunks, mix, ngrams, text_lengths, words
 
 #: Words of a passage, share of repeated words from which a document fails, words below which none is judged.
 PASSAGE, SHARE_TENTHS, LEAST_WORDS = 8, 3, 40
+#: Bounds of the correlation of documents of one host: the prior counts as many documents as its inverse, less one.
+LEAST_ALIKE, MOST_ALIKE = 1e-6, 0.5
 
 
 def repeated_words(texts: list[str], passage: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
@@ -54,21 +56,28 @@ def measure_repetition(df: DataFrame, key: str = "doc_id", text: str = "text", p
 
 
 def host_verdicts(measures: DataFrame, host: str = "source", limit: float = 0.1) -> DataFrame:
-    """(host, n_docs, n_failed, rate, bad) from documents with a column `failed`.
-
-    The failure rates of hosts are shrunk by a beta prior fitted to them (its mean and variance are
-    those of the hosts' rates): a host with few documents stays near the mean. `bad` is a shrunk
-    rate above `limit`. Documents without a host count for none. Sums are combined before the
-    shuffle, so a host with a third of the documents is one row per task.
+    """(host, n_docs, n_failed, rate, bad) from documents with a column `failed`, one row for each host and one for none.
+
+    The failure rates of hosts are shrunk by a beta prior fitted to them by moments: its mean is the rate of
+    all documents, and its weight is that at which the hosts' rates, weighted by their documents, vary
+    as much as they do beyond what chance adds for hosts of their sizes, but one document at least. A host
+    with few documents stays near the mean. `bad` is a shrunk rate above `limit`. Documents without a host count for none: their
+    row has neither rate nor verdict. Sums are combined before the shuffle, so a host with a third of
+    the documents is one row per task.
     """
-    sums = measures.where(F.col(host).isNotNull()).groupBy(host).agg(F.count("*").alias("n_docs"), F.sum(F.col("failed").cast("bigint")).alias("n_failed"))
-    raw = F.col("n_failed") / F.col("n_docs")
-    mean = F.avg(raw)
-    spread = F.greatest(F.coalesce(F.var_pop(raw), F.lit(0.0)), F.lit(1e-6))
-    weight = F.least(F.greatest(mean * (1 - mean) / spread - 1, F.lit(0.5)), F.lit(1000.0))
-    prior = sums.agg(mean.alias("mean"), weight.alias("weight"))
+    sums = measures.groupBy(host).agg(F.count("*").alias("n_docs"), F.sum(F.col("failed").cast("bigint")).alias("n_failed"))
+    hosts = sums.where(F.col(host).isNotNull())
+    n, failed = F.col("n_docs"), F.col("n_failed")
+    total = hosts.agg(F.sum("n_docs").alias("docs"), F.sum("n_failed").alias("bad"), F.sum(n * n).alias("squares"), F.count("*").alias("hosts"), F.sum(failed * failed / n).alias("spread"))
+    mean = F.col("bad") / F.col("docs")
+    noise = mean * (1 - mean)
+    between = 1 - F.col("squares") / (F.col("docs") * F.col("docs"))  # sum of w (1 - w), w being a host's share of the documents
+    within = (F.col("hosts") - 1) / F.col("docs")  # sum of w (1 - w) / n
+    seen = F.col("spread") / F.col("docs") - mean * mean  # sum of w (rate - mean)^2
+    alike = F.least(F.greatest(F.coalesce((seen - noise * within) / F.when(noise * (between - within) > 0, noise * (between - within)), F.lit(LEAST_ALIKE)), F.lit(LEAST_ALIKE)), F.lit(MOST_ALIKE))
+    prior = total.select(mean.alias("mean"), (1 / alike - 1).alias("weight"))
     mean, weight = (prior.select(c).scalar() for c in ("mean", "weight"))
-    rate = (F.col("n_failed") + mean * weight) / (F.col("n_docs") + weight)
+    rate = F.when(F.col(host).isNotNull(), (failed + mean * weight) / (n + weight))
     return sums.select(host, "n_docs", "n_failed", rate.alias("rate"), (rate > limit).alias("bad"))
 
 
@@ -82,5 +91,5 @@ def repetition(df: DataFrame, key: str = "doc_id", text: str = "text", host: str
     rows = checkpointed(measure_repetition(df.select(df[f"`{key}`"], df[f"`{text}`"], df[f"`{host}`"]), key, text))
     failed = (F.col("n_words") >= LEAST_WORDS) & (F.col("n_repeated") * 10 >= F.col("n_words") * SHARE_TENTHS)
     rows = rows.withColumn("share", F.when(F.col("n_words") > 0, F.col("n_repeated") / F.col("n_words")).otherwise(0.0)).withColumn("failed", failed)
-    verdicts = host_verdicts(rows, host, limit).select(host, F.col("rate").alias("host_rate"), F.col("bad").alias("host_bad"))
-    return rows.join(verdicts, host, "left").select(key, host, "n_words", "n_repeated", "share", "failed", "host_rate", "host_bad")
+    verdicts = host_verdicts(rows, host, limit).select(F.col(host).alias("_host"), F.col("rate").alias("host_rate"), F.col("bad").alias("host_bad"))
+    return rows.join(verdicts, F.col(host).eqNullSafe(F.col("_host"))).select(key, host, "n_words", "n_repeated", "share", "failed", "host_rate", "host_bad")
