@@ -49,7 +49,7 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-same texts: the containment of an evaluation text in a training text."""
     _, links = overlaps.containments(table(spark, sf_dir, "ner_dataset", "row_id"))
-    return links.select("a", "b", "shared", (F.col("shared") / F.col("n_a")).alias("containment"))
+    return links.select("a", "b", "shared", F.round(F.col("shared") / F.col("n_a"), 9).alias("containment"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,9 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.repetition(table(spark, sf_dir, "documents", "doc_id"))
+    """Every document with its repetition and the verdict on its source."""
+    rows = repetition.repetition(table(spark, sf_dir, "documents", "doc_id"))
+    return rows.withColumns({c: F.round(c, 9) for c in ("share", "host_rate")})
 
 
 QUERIES = {
@@ -122,6 +124,23 @@ _OVERLAPS = f"""w as (select row_id, split, {_WORDS} as w from ner_dataset where
 SQL = {
     "p5_found": f"with {_OVERLAPS} select least(eval_id, train_id) as row_a, greatest(eval_id, train_id) as row_b from pairs",
     "p5_report": f"with {_OVERLAPS}, k as (select eval_id, count(*) as n from pairs group by 1) select split, source, count(*) as n_rows, count(n) as n_overlapping, coalesce(sum(n), 0)::bigint as n_pairs from ner_dataset left join k on eval_id = row_id where split <> 'train' group by 1, 2",
+    "p5_containment": f"""with t as (select text, min(row_id) as id, bool_or(split is null or split <> 'train') as asked, bool_or(split = 'train') as held from ner_dataset where text <> '' group by 1),
+ w as (select id, asked, held, {_WORDS} as w from t),
+ s as (select distinct id, asked, held, array_to_string(w[i:i + 2], ' ') as g from (select *, unnest(range(1, len(w)::bigint - 1)) as i from w)),
+ n as (select id, count(*) as n from s group by 1),
+ c as (select e.id as a, t.id as b, count(*)::bigint as shared from s e join s t on e.g = t.g and e.id <> t.id where e.asked and t.held group by 1, 2)
+ select a, b, shared::int as shared, round(shared / x.n, 9) as containment from c join n x on x.id = a join n y on y.id = b where 10 * shared >= 7 * (x.n + y.n - shared)""",
+    "p10_repetition": f"""with w as (select doc_id, source, {_WORDS} as w from documents),
+ g as (select doc_id, i, array_to_string(w[i:i + 7], ' ') as g from (select doc_id, w, unnest(range(1, len(w)::bigint - 6)) as i from w)),
+ f as (select doc_id, i, min(i) over (partition by doc_id, g) as first from g),
+ m as (select doc_id, count(distinct i + k) as n from f, range(0, 8) as t(k) where first < i group by 1),
+ d as (select w.doc_id, source, coalesce(len(w), 0)::bigint as n_words, coalesce(n, 0)::bigint as n_repeated from w left join m on m.doc_id = w.doc_id),
+ r as (select *, case when n_words > 0 then n_repeated / n_words else 0.0 end as share, n_words >= 40 and n_repeated * 10 >= n_words * 3 as failed from d),
+ h as (select source, count(*) as n, count(*) filter (where failed) as bad from r where source is not null group by 1),
+ t as (select sum(n) as docs, sum(bad) / sum(n) as mean, 1 - sum(n * n) / (sum(n) * sum(n)) as between_hosts, (count(*) - 1) / sum(n) as within_hosts, sum(bad * bad / n) / sum(n) - (sum(bad) / sum(n)) * (sum(bad) / sum(n)) as seen from h),
+ p as (select mean, 1 / least(greatest((seen - mean * (1 - mean) * within_hosts) / (mean * (1 - mean) * (between_hosts - within_hosts)), 1e-6), 0.5) - 1 as weight from t),
+ v as (select source, (bad + mean * weight) / (n + weight) as host_rate from h, p)
+ select doc_id, r.source, n_words, n_repeated, round(share, 9) as share, failed, round(host_rate, 9) as host_rate, host_rate > 0.1 as host_bad from r left join v on v.source = r.source""",
     "p10_found": f"""with w as (select doc_id, {_WORDS} as w from documents where text is not null),
  g as (select doc_id, i, array_to_string(w[i:i + 7], ' ') as g from (select doc_id, w, unnest(range(1, len(w)::bigint - 6)) as i from w)),
  f as (select doc_id, i, min(i) over (partition by doc_id, g) as first from g),

@@ -12,7 +12,7 @@ from lexframe.llm import overlaps as O
 from lexframe.llm import repetition as R
 from lexframe.llm import textvec as V
 from lexframe.llm.lookalikes import consistent
-from lexframe.llm.pairs import equal_pairs
+from lexframe.llm.pairs import equal_pairs, self_pairs
 
 
 def words(t):
@@ -64,10 +64,22 @@ def test_sketches_estimate_similarity():
         common = int(2000 * share)
         a, b = np.sort(values[: common + (2000 - common) // 2]), np.sort(np.concatenate([values[:common], values[common + (2000 - common) // 2 :]]))
         regs = H.registers(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
-        assert abs(H.estimated_jaccard(regs[0], regs[1]) - share) < 0.13
+        size = np.array([len(a)])
+        assert abs(H.estimated_jaccard(regs[:1], regs[1:], size, size)[0] - share) < 0.13
     assert not H.registers(np.zeros(0, np.uint64), np.array([0, 0])).any()
 
 
+def test_chance_agreement_of_registers():
+    rnd = np.random.default_rng(2)
+    for n, m in ((64, 64), (2000, 2000), (3000, 300)):
+        sets = 600
+        sizes = np.tile([n, m], sets)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        regs = H.registers(rnd.integers(0, 1 << 63, offsets[-1], dtype=np.uint64), offsets)
+        seen, told = (regs[::2] == regs[1::2]).mean(), H.chance(np.array([n]), np.array([m]))[0]
+        assert abs(seen - told) < 4 * (told / (sets * H.REGISTERS)) ** 0.5, (n, m, seen, told)
+
+
 def test_near_duplicates_against_brute_force(spark):
     texts = [(i, None if i % 17 == 0 else f"tiêu đề {i % 3}", t) for i, t in enumerate(corpus(7, 240))]
     texts += [(1000, "x", None), (1001, "x", ""), (1002, None, "ba từ thôi"), (1003, None, "ba từ thôi"), (1004, "", "hai từ"), (1005, "", "hai từ")]
@@ -122,13 +134,22 @@ def test_overlaps_against_brute_force(spark):
 
 def test_edits_all_over_a_text_are_found(spark):
     rnd = random.Random(3)
-    base = [[f"w{rnd.randint(0, 3000)}" for _ in range(rnd.randint(120, 500))] for _ in range(60)]
+    base = [[f"w{rnd.randint(0, 3000)}" for _ in range(n)] for n in (60, 100, 200, 400, 1000) for _ in range(8)]
+    new = lambda: f"n{rnd.randint(0, 10**6)}"
     rows = [(i, "train", " ".join(w)) for i, w in enumerate(base)]
-    for step in (9, 12, 14, 16, 20):  # a word put in after every so many
-        rows += [(step * 1000 + i, "test", " ".join(x for k in range(0, len(w), step) for x in (*w[k : k + step], f"n{rnd.randint(0, 10**6)}"))) for i, w in enumerate(base)]
+    for step in (9, 12, 14, 16, 17, 20):  # a word put in, or another one, after every so many
+        for k, change in enumerate((lambda part: [*part, new()], lambda part: [*part[:-1], new()])):
+            rows += [(step * 1000 + 500 * k + i, "test", " ".join(x for j in range(0, len(w), step) for x in change(w[j : j + step]))) for i, w in enumerate(base)]
+    for i, w in enumerate(base):
+        for k in range(4):  # changes at random places, and all in one place
+            scattered, cut = list(w), rnd.randrange(len(w))
+            for _ in range(int(len(w) * rnd.uniform(0.02, 0.08))):
+                scattered[rnd.randrange(len(w))] = new()
+            rows += [(40000 + 10 * i + k, "test", " ".join(scattered)), (50000 + 10 * i + k, "test", " ".join(w[:cut] + [new() for _ in range(int(len(w) * rnd.uniform(0.05, 0.2)))] + w[cut:]))]
     df = spark.createDataFrame(rows, "row_id bigint, split string, text string")
-    expected = {(a, b) for a, x, t in rows if x == "test" for b, y, u in rows if y == "train" and alike(t, u)}
-    assert len(expected) > 150
+    sets = {i: shingles(t) for i, _, t in rows}
+    expected = {(a, b) for a, x, _ in rows if x == "test" for b, y, _ in rows if y == "train" and 10 * len(sets[a] & sets[b]) >= 7 * len(sets[a] | sets[b])}
+    assert len(expected) > 400
     _, links = O.containments(df)
     assert {(r.a, r.b) for r in links.collect()} == expected
 
@@ -160,11 +181,30 @@ def test_hosts(spark):
     assert got[0].failed and not got[9].failed and got[9].host_bad and got[501].n_words == 0 and not got[502].failed and got[503].failed
     rates = {r.source: r.host_rate for r in got.values()}
     assert rates["one"] < 1 and rates["spam"] > rates["clean"]
+    assert abs(rates["one"] - (1 + 55 / 362) / 2) < 1e-9  # hosts this unlike leave the prior the weight of one document
     assert R.repetition(df.limit(0)).count() == 0
     measured = R.measure_repetition(df.select("doc_id", "text", "source"))
     assert measured.where(F.col("n_words") > 0).count() == len(rows) - 2
 
 
+@pytest.mark.parametrize("share", [0.05, 0.3])
+def test_prior_of_hosts(spark, share):
+    rnd = random.Random(2)
+    rates = {f"h{i}": min(1.0, max(0.0, rnd.gauss(share, 0.03))) for i in range(60)} | {f"s{i}": share for i in range(300)}
+    n = {h: rnd.randint(50, 400) if h[0] == "h" else rnd.randint(1, 3) for h in rates}
+    bad = {h: sum(rnd.random() < rates[h] for _ in range(n[h])) for h in rates}
+    df = spark.createDataFrame([(h, i < bad[h]) for h in n for i in range(n[h])], "source string, failed boolean")
+    got = {r.source: r.rate for r in R.host_verdicts(df).collect()}
+    docs, mean = sum(n.values()), sum(bad.values()) / sum(n.values())
+    w = {h: n[h] / docs for h in n}
+    seen = sum(w[h] * (bad[h] / n[h] - mean) ** 2 for h in n)
+    within, between = sum(w[h] * (1 - w[h]) / n[h] for h in n), sum(w[h] * (1 - w[h]) for h in n)
+    alike = (seen - mean * (1 - mean) * within) / (mean * (1 - mean) * (between - within))
+    weight = 1 / alike - 1
+    assert 10 < weight < 2000  # not pulled down by the many hosts with one document
+    assert all(abs(got[h] - (bad[h] + mean * weight) / (n[h] + weight)) < 1e-9 for h in n)
+
+
 @pytest.mark.parametrize("lengths", [[], [5], [3, 3, 3], [100, 1, 1]])
 def test_chunks_cover_all(lengths):
     parts = list(V.chunks(lengths, limit=6))
@@ -176,3 +216,13 @@ def test_pairs_in_blocks(spark):
     right = spark.createDataFrame([("a", 100 + i) for i in range(25)] + [("b", 7), ("b", 7), (None, 2)], "k string, y int")
     got = sorted((r.x, r.y) for r in equal_pairs(left, right, "x", "y", block=4).collect())
     assert got == sorted([(i, 100 + j) for i in range(30) for j in range(25)] + [(99, 7)] * 2)
+
+
+def test_each_pair_once_at_its_first_shared_key(spark):
+    rnd = random.Random(6)
+    keys = {i: sorted({rnd.choice([0, 0, 1, *range(2, 12)]) for _ in range(3)}) for i in range(40)}
+    rows = spark.createDataFrame([(k, i, ks[:at]) for i, ks in keys.items() for at, k in enumerate(ks)], "k int, x int, seen array<int>")
+    expected = sorted((a, b) for a in keys for b in keys if a < b and set(keys[a]) & set(keys[b]))
+    for block in (3, 1000):
+        assert sorted((r.a, r.b) for r in self_pairs(rows, "x", once="seen", block=block).collect()) == expected
+        assert {(r.a, r.b) for r in self_pairs(rows, "x", block=block).collect()} == set(expected)
