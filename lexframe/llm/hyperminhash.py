@@ -17,6 +17,8 @@ from .textvec import chunks, mix, shingle_sets, text_lengths
 #: Sketches of one set, buckets of a sketch, mantissa bits of a register, registers of a band.
 SKETCHES, BUCKETS, MANTISSA, BAND = 8, 32, 10, 5
 REGISTERS = SKETCHES * BUCKETS
+#: Classes with the same band, beyond which its pairs are kept from coming again at their other bands.
+FEW = 16
 #: Sets of up to so many values meet exactly, by a prefix of their values, whatever their registers.
 SHORT = 40
 _LOW = np.uint64((1 << 59) - 1)
@@ -205,18 +207,20 @@ def near_duplicates(df: DataFrame, key: str = "record_id", head: str = "title",
     prefix as well, and pairs of them are verified whatever the estimate.
     Pairs whose sketches estimate less than the threshold by `margin` (seven standard errors)
     are left out, the others are verified on their shingles, which are made anew for the rows
-    concerned only. No group is gathered in one task: pairs come from an equi-join on the band, in blocks, and each
-    pair at the first band only that both share.
+    concerned only. No group is gathered in one task: pairs come from an equi-join on the band, in blocks. Of the
+    bands that more than `FEW` classes have, a pair comes at the first only that both share.
     """
     made = checkpointed(sketches(df, key, head, body, n, tenths)).where("n_shingles > 0").withColumnRenamed(key, "id")
     classes = made.groupBy("class_a", "class_b", "n_shingles").agg(F.min("id").alias("class_id"))
     members = checkpointed(made.select("id", "class_a", "class_b", "n_shingles").join(classes, ["class_a", "class_b", "n_shingles"]).select("id", "class_id"))
     first = made.join(members.where("id = class_id").select("id"), "id", "left_semi")
     banded = first.select("id", F.explode("bands").alias("k"))
-    shared = banded.join(banded.groupBy("k").count().where("count > 1"), "k", "left_semi")
-    listed = shared.groupBy("id").agg(F.sort_array(F.collect_set("k")).alias("bands"))  # at most as many as a row has bands
+    shared = checkpointed(banded.join(banded.groupBy("k").agg(F.count("*").alias("n")).where("n > 1"), "k"))
+    crowded = shared.where(F.col("n") > FEW)
+    listed = crowded.groupBy("id").agg(F.sort_array(F.collect_set("k")).alias("bands"))  # at most as many as a row has bands
     seen = listed.select("id", "bands", F.posexplode("bands").alias("at", "k")).select("k", "id", F.slice("bands", 1, F.col("at")).alias("seen"))
-    met = self_pairs(seen, "id", once="seen")
+    seen = seen.unionByName(shared.where(F.col("n") <= FEW).select("k", "id", F.array().cast("array<bigint>").alias("seen")))
+    met = self_pairs(seen, "id", once="seen").distinct()
     sketch = first.select("id", "sketch", F.col("n_shingles").alias("n"))
     pairs = met
     for side in "ab":
