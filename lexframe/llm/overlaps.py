@@ -20,6 +20,8 @@ N, TENTHS = 3, 7
 HITS = 8
 #: Counters of shingles, of which texts count each once; they only set the order. Bits that tell which shingles a side has.
 COUNTERS, BITS = 1 << 22, 1 << 24
+#: Texts with a shingle, as counted, that make a block of its own; counts are kept as logarithms with so many steps to a doubling.
+BLOCK, STEPS = 5_000, 6
 
 
 def _counters(values: np.ndarray) -> np.ndarray:
@@ -47,20 +49,20 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _frequency(df: DataFrame) -> np.ndarray:
-    """In how many of all texts of (id, text) the shingles of each counter stand, on a scale of logarithms in one byte."""
+    """In how many of all texts of (text) the shingles of each counter stand, on a scale of logarithms in one byte."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
-            for a, b in chunks(text_lengths(batch.column(1))):
-                at = _counters(shingle_sets(batch.column(1).slice(a, b - a).to_pylist(), N)[0])
+            for a, b in chunks(text_lengths(batch.column(0))):
+                at = _counters(shingle_sets(batch.column(0).slice(a, b - a).to_pylist(), N)[0])
                 np.add.at(total, at, 1)
         some = np.flatnonzero(total)
         for a in range(0, len(some), 100_000):
             part = some[a : a + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part], pa.int64())], ["counter", "n"])
 
-    scaled = F.round(F.log2(F.sum("n") + 1) * 6).cast("tinyint")
+    scaled = F.ceil(F.log2(F.sum("n") + 1) * STEPS).cast("tinyint")
     counted = df.mapInArrow(run, "counter int, n bigint").groupBy("counter").agg(scaled.alias("n")).toArrow()  # a row for each counter at most
     frequency = np.zeros(COUNTERS, dtype=np.uint8)
     frequency[counted.column(0).to_numpy()] = counted.column(1).to_numpy().view(np.uint8)
@@ -101,10 +103,11 @@ def _bit(values: np.ndarray) -> np.ndarray:
     return (mix(values.view(np.uint64)) >> np.uint64(40)).astype(np.int64)
 
 
-def _meeting(prefixed: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(id, n, rank, p) of (id, n, prefix): the shingles that the other side has, with their rank in the prefix, from 1.
+def _meeting(prefixed: DataFrame, bits: np.ndarray, frequency: np.ndarray) -> DataFrame:
+    """(id, n, rank, p, blocks) of (id, n, prefix): the shingles that the other side has, with their rank in the prefix, from 1.
 
-    A text with fewer of them than any near-same one must share with it gives no row.
+    blocks: into how many the texts with the shingle are dealt. A text with fewer shingles left than any near-same one
+    must share with it gives no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,9 +126,11 @@ def _meeting(prefixed: DataFrame, bits: np.ndarray) -> DataFrame:
             for a in range(0, len(keep), 100_000):
                 some = keep[a : a + 100_000]
                 own = owner[some]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array(n[own], pa.int32()), pa.array(rank[some], pa.int32()), pa.array(values[some], pa.int64())], ["id", "n", "rank", "p"])
+                blocks = np.ceil(np.exp2(frequency[_counters(values[some].view(np.uint64))] / STEPS) / BLOCK)
+                columns = [pa.array(n[own], pa.int32()), pa.array(rank[some], pa.int32()), pa.array(values[some], pa.int64()), pa.array(blocks.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), *columns], ["id", "n", "rank", "p", "blocks"])
 
-    return prefixed.select("id", "n", "prefix").mapInArrow(run, "id bigint, n int, rank int, p bigint")
+    return prefixed.select("id", "n", "prefix").mapInArrow(run, "id bigint, n int, rank int, p bigint, blocks bigint")
 
 
 def _shingled(df: DataFrame) -> DataFrame:
@@ -172,16 +177,16 @@ def containments(df: DataFrame, key: str = "row_id", text: str = "text", train:
     members = checkpointed(hashed.join(texts, "h").select("id", "is_train", "a", "asked", "held"))
     first = members.where("id = a").select("id", "asked", "held")
     texts = rows.select("id", "text")
-    distinct = texts.join(first, "id")
-    prefixed = checkpointed(_prefixed(distinct.select("id", "asked", "held", "text"), _frequency(distinct.select("id", "text"))))
+    frequency = _frequency(texts.select("text"))
+    prefixed = checkpointed(_prefixed(texts.join(first, "id").select("id", "asked", "held", "text"), frequency))
     asked, held = prefixed.where("asked"), prefixed.where("held")
     sides = []
     for side, other, i in ((asked, held, "a"), (held, asked, "b")):
-        met = _meeting(side, _bits(other.select("prefix")))
-        sides.append(met.select(F.col("p").alias("k"), F.struct(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("rank").alias(f"rank_{i}")).alias(f"at_{i}")))
+        met = _meeting(side, _bits(other.select("prefix")), frequency)
+        sides.append(met.select(F.col("p").alias("k"), "blocks", F.struct(F.col("id").alias(i), F.col("n").alias(f"n_{i}"), F.col("rank").alias(f"rank_{i}")).alias(f"at_{i}")))
     need = F.expr(f"((n_a + n_b) * {TENTHS} + {9 + TENTHS}) div {10 + TENTHS}")
     hits = F.least(F.lit(HITS), need)
-    common = equal_pairs(*sides, "at_a", "at_b").select("at_a.*", "at_b.*")
+    common = equal_pairs(*sides, "at_a", "at_b", blocks="blocks").select("at_a.*", "at_b.*")
     common = common.where((F.col("a") != F.col("b")) & (hits + F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b")) >= need))
     likely = checkpointed(common.groupBy("a", "b").agg(F.count("*").alias("hits"), F.first(hits).alias("least")).where("hits >= least").select("a", "b"))
 

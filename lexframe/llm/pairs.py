@@ -22,17 +22,19 @@ def _range(first: Column, last: Column, name: str) -> Column:
     return F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))).alias(name)
 
 
-def equal_pairs(left: DataFrame, right: DataFrame, x: str, y: str, key: str = "k", block: int = BLOCK) -> DataFrame:
+def equal_pairs(left: DataFrame, right: DataFrame, x: str, y: str, key: str = "k", block: int = BLOCK, blocks: str | None = None) -> DataFrame:
     """(x, y) for all rows of `left` (key, x) and `right` (key, y) with the same key; nulls match nothing.
 
     Rows of a key with more than `block` on a side are dealt to blocks, and every block of one side meets every
     block of the other in a place of its own: n * m pairs are made in places of about block * block, at the price of
     n * m / block rows shuffled for each side. Only such keys are looked up; the others pass as they are.
+    Where both sides have a column `blocks` with the blocks of the key, that is taken and nothing is counted.
     """
-    crowded = _blocks(left, key, "_l", block).join(_blocks(right, key, "_r", block), key, "full")
+    crowded = None if blocks else _blocks(left, key, "_l", block).join(_blocks(right, key, "_r", block), key, "full")
 
     def dealt(side: DataFrame, value: str, own: tuple[str, str], other: tuple[str, str]) -> DataFrame:
-        return side.join(crowded, key, "left").select(key, value, F.pmod(F.xxhash64(value), _many(own[0])).alias(own[1]), _range(F.lit(0), _many(other[0]) - 1, other[1]))
+        sized = side.withColumns({"_l": F.col(blocks), "_r": F.col(blocks)}) if blocks else side.join(crowded, key, "left")
+        return sized.select(key, value, F.pmod(F.xxhash64(value), _many(own[0])).alias(own[1]), _range(F.lit(0), _many(other[0]) - 1, other[1]))
 
     i, j = ("_l", "_i"), ("_r", "_j")
     return dealt(left, x, i, j).join(dealt(right, y, j, i), [key, "_i", "_j"]).select(x, y)
