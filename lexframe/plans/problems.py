@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import BLANKS
 from ..operators import inlining, references
-from ..session import table
+from ..session import checkpointed, table
 
 
 # --- p2 -----------------------------------------------------------------------------------------
@@ -43,10 +43,25 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.orphan_report(references.orphan_references(_references(spark, sf_dir), *_existence(spark, sf_dir)))
 
 
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return references.change_log(_references(spark, sf_dir), *_existence(spark, sf_dir))
+
+
 def p2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orphans as of now, from the signed counts of two batches: records, then references."""
-    counts = references.merge_counts(None, references.existence_deltas(*_existence(spark, sf_dir)))
-    counts = references.merge_counts(counts, references.reference_deltas(_references(spark, sf_dir)))
+    """Orphans as of now, from the signed counts of one batch."""
+    return references.current_orphans(references.merge_counts(None, references.count_deltas(_changes(spark, sf_dir), None)))
+
+
+def p2_current_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from three batches, the time cut in three: the counts that a batch leaves are what the next one starts from."""
+    changes = _changes(spark, sf_dir)
+    dated = changes.where(F.col("ts") < F.lit(references.FINAL).cast("timestamp_ntz"))
+    bounds = dated.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    first, last = (bounds.select(F.unix_timestamp(c)).scalar() for c in "ab")
+    slice_of = F.least(F.greatest(F.floor((F.unix_timestamp("ts") - first) * 3 / (last - first + 1)), F.lit(0)), F.lit(2))
+    counts = None
+    for i in range(3):
+        counts = checkpointed(references.merge_counts(counts, references.count_deltas(changes.where(slice_of == i), counts)))
     return references.current_orphans(counts)
 
 
@@ -161,18 +176,22 @@ QUERIES = {
     "p2_found": p2_found,
     "p2_report": p2_report,
     "p2_current": p2_current,
+    "p2_current_batches": p2_current_batches,
     "p6_found": p6_found,
     "p6_people": p6_people,
     "p6_related": p6_related,
 }
 
+_CURRENT_SQL = f"""with {_REFS_SQL},
+last as (select ref_id, max(ts) as ts from recs where ref_id is not null group by 1),
+alive as (select l.ref_id from last l where not exists (select 1 from rems m where m.ref_id = l.ref_id and m.ts > l.ts))
+select ref_id, count(*) as n_ref from refs where ref_id not in (select ref_id from alive) group by 1"""
+
 SQL = {
     "p2_found": f"with {_ORPHANS_SQL} select distinct * from orphans",
     "p2_report": f"with {_ORPHANS_SQL} select table_name, period, kind, count(*) as n_refs, count(distinct ref_id) as n_ids from orphans group by all",
-    "p2_current": f"""with {_REFS_SQL},
-last as (select ref_id, max(ts) as ts from recs where ref_id is not null group by 1),
-alive as (select l.ref_id from last l where not exists (select 1 from rems m where m.ref_id = l.ref_id and m.ts > l.ts))
-select ref_id, count(*) as n_ref from refs where ref_id not in (select ref_id from alive) group by 1""",
+    "p2_current": _CURRENT_SQL,
+    "p2_current_batches": _CURRENT_SQL,
     "p6_found": _P6_SQL,
     "p6_people": "select record_id, place::int as place, p.agency_id, p.agency_name, p.person_id, p.person_name, p.job_title_id, p.job_title_code, p.job_title_name, p.order_index from (select record_id, unnest(issuing_people) as p, generate_subscripts(issuing_people, 1) as place from vb_documents) where p is not null",
     "p6_related": "select record_id, place::int as place, p.item_id, p.title, p.doc_number, p.url from (select record_id, unnest(related_docs) as p, generate_subscripts(related_docs, 1) as place from vb_documents) where p is not null",

@@ -67,16 +67,24 @@ def ingest_listing(spark: SparkSession, source: str, schema: str, target: KeyedT
 
 
 def orphan_counts_stream(spark: SparkSession, source: str, target: KeyedTable, checkpoint: str) -> None:
-    """Signed counts per id from files of deltas (ref_id, d_ref, d_exist), kept in `target` (ref_id, n_ref, n_exist, batch)."""
-    from ..operators.references import merge_counts
+    """Signed counts per id from files of changes (ref_id, change, ts), kept in `target` (ref_id, n_ref, n_exist, exist_at, batch).
 
-    deltas = spark.readStream.schema("ref_id string, d_ref bigint, d_exist bigint").json(source)
+    change: reference, withdrawn, record or removal; see `operators.references`. Each batch is counted against what the
+    table holds, and only the rows of the ids that it names are merged in.
+    """
+    from ..operators import references
+
+    changes = spark.readStream.schema("ref_id string, change string, ts timestamp_ntz").json(source)
 
     def put(batch: DataFrame, number: int) -> None:
         old = target.read()
-        counts = merge_counts(None if old is None else old.select("ref_id", "n_ref", "n_exist"), batch)
-        gone = None if old is None else old.join(counts, "ref_id", "left_anti").select("ref_id", F.lit(0).cast("bigint").alias("n_ref"), F.lit(0).cast("bigint").alias("n_exist"))
-        rows = counts if gone is None else counts.unionByName(gone)
+        batch = batch.where("ref_id is not null and ts is not null")
+        kept = None if old is None else old.select("ref_id", "n_ref", "n_exist", "exist_at").join(batch.select("ref_id").distinct(), "ref_id", "left_semi")
+        deltas = references.count_deltas(batch, kept)
+        rows = deltas.select("ref_id", F.col("d_ref").alias("n_ref"), F.col("d_exist").alias("n_exist"), "exist_at")
+        if kept is not None:
+            rows = rows.unionByName(kept)
+        rows = rows.groupBy("ref_id").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_exist").alias("n_exist"), F.max("exist_at").alias("exist_at"))
         target.merge(rows.withColumn("batch", F.lit(number)), number)
 
-    deltas.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    changes.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

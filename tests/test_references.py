@@ -55,13 +55,35 @@ def test_empty_tables(spark):
 
 
 def test_counts_from_batches_equal_the_whole(spark):
-    records = spark.createDataFrame([("a", T0), ("a", T0 + timedelta(1)), ("b", T0), ("c", T0)], EVENTS)
-    removals = spark.createDataFrame([("b", T0 + timedelta(1)), ("b", T0 + timedelta(2)), ("c", T0 - timedelta(1))], EVENTS)
-    refs = spark.createDataFrame([("t", i, k, T0) for i, k in enumerate("aabbcdd")], REFS)
-    exist, refer = R.existence_deltas(records, removals), R.reference_deltas(refs)
-    counts = R.merge_counts(R.merge_counts(None, refer), exist)
-    assert {tuple(r) for r in counts.collect()} == {("a", 2, 1), ("b", 2, 0), ("c", 1, 1), ("d", 2, 0)}
-    assert {tuple(r) for r in R.current_orphans(counts).collect()} == {("b", 2), ("d", 2)}
+    rnd = random.Random(7)
+    keys = ["hot"] * 8 + list("abcdefghij")
+    changes = [(rnd.choice(keys), rnd.choice(["reference"] * 3 + ["withdrawn", "record", "record", "removal", "removal"]), T0 + timedelta(hours=rnd.randint(0, 60))) for _ in range(300)]
+    ids = {k for k, _, _ in changes}
+    expected = {}
+    for k in ids:
+        mine = [(t, c == "record") for x, c, t in changes if x == k and c in ("record", "removal")]
+        refs = sum({"reference": 1, "withdrawn": -1}.get(c, 0) for x, c, _ in changes if x == k)
+        expected[k] = (refs, int(max(mine)[1]) if mine else 0)
+    log = "ref_id string, change string, ts timestamp_ntz"
+    for cut in range(3):  # all at once, in the order of time, and at random
+        parts = [changes] if not cut else [[c for i, c in enumerate(changes) if (c[2].day % 3 if cut == 1 else i % 4) == n] for n in range(4)]
+        counts = None
+        for part in parts:
+            counts = R.merge_counts(counts, R.count_deltas(spark.createDataFrame(part, log), counts))
+        got = {r.ref_id: (r.n_ref, r.n_exist) for r in counts.collect()}
+        assert {k: v for k, v in got.items() if v != (0, 0)} == {k: v for k, v in expected.items() if v != (0, 0)}
+        assert {tuple(r) for r in R.current_orphans(counts).collect()} == {(k, n) for k, (n, e) in expected.items() if n > 0 and not e}
+
+
+def test_a_removal_in_a_later_batch(spark):
+    log = "ref_id string, change string, ts timestamp_ntz"
+    day = lambda n: T0 + timedelta(n)
+    counts = None
+    seen = []
+    for batch in ([("a", "record", day(0)), ("a", "reference", day(0))], [("a", "record", day(2))], [("a", "removal", day(1))], [("a", "removal", day(3))], [("a", "withdrawn", day(4))], [("a", "record", day(5))]):
+        counts = R.merge_counts(counts, R.count_deltas(spark.createDataFrame(batch, log), counts))
+        seen.append((*counts.select("n_ref", "n_exist").first(), R.current_orphans(counts).count()))
+    assert seen == [(1, 1, 0), (1, 1, 0), (1, 1, 0), (1, 0, 1), (0, 0, 0), (0, 1, 0)]
 
 
 def test_ids_of_addresses(spark):

@@ -109,10 +109,14 @@ def test_resuming_stream_reads_files_once(spark, tmp_path):
 
 def test_orphan_counts_from_a_stream(spark, tmp_path):
     target = resume.KeyedTable(spark, str(tmp_path / "state"), "ref_id", "batch")
-    for i, lines in enumerate(('{"ref_id": "a", "d_ref": 1, "d_exist": 0}\n{"ref_id": "b", "d_ref": 1, "d_exist": 1}\n', '{"ref_id": "a", "d_ref": 0, "d_exist": 1}\n{"ref_id": "b", "d_ref": -1, "d_exist": -1}\n')):
+    change = lambda k, c, day: json.dumps({"ref_id": k, "change": c, "ts": f"2024-01-0{day}T00:00:00"}) + "\n"
+    batches = (change("a", "reference", 1) + change("b", "reference", 1) + change("b", "record", 1), change("a", "record", 2) + change("b", "withdrawn", 2) + change("b", "removal", 2), change("a", "removal", 3) + change("b", "record", 1))
+    seen = []
+    for i, lines in enumerate(batches):
         write(tmp_path / "in" / f"{i}.json", lines)
         resume.orphan_counts_stream(spark, str(tmp_path / "in"), target, str(tmp_path / "cp"))
-    assert rows(target.read().select("ref_id", "n_ref", "n_exist")) == [("a", 1, 1), ("b", 0, 0)]
+        seen.append(rows(target.read().select("ref_id", "n_ref", "n_exist")))
+    assert seen == [[("a", 1, 0), ("b", 1, 1)], [("a", 1, 1), ("b", 0, 0)], [("a", 1, 0), ("b", 0, 0)]]
 
 
 def test_exports(spark, tmp_path):
