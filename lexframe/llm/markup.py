@@ -2,9 +2,11 @@
 
 Every notation is read into one kind of tree (sections, paragraphs, headings, lists, code,
 tables). Paragraphs pass points for their length and commas to their ancestors, discounted by
-the share of their text that is links; the best container is kept with its siblings and those of
-its ancestors, except blocks that are mostly links. What is kept is given as text; the elements of
-a row are those of the whole tree.
+the share of their text that is links, and names of tags and classes add or take some; the best container is kept
+with its siblings and those of its ancestors. Blocks that are mostly links go, and where such blocks or others that
+name themselves as menus, footers or comments show that a level holds the frame of a page, everything on it that has
+few points beside the best. What is kept is given as text; elements are those of the whole tree and
+say whether they stand in what is kept.
 """
 
 from __future__ import annotations
@@ -21,6 +23,10 @@ BLOCK = {"p", "div", "ul", "ol", "li", "table", "tr", "td", "th", "thead", "tbod
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "col", "area", "base", "embed", "source", "track"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 HIDDEN = {"style", "script", "head", "title", "noscript", "template"}
+FRAME = {"nav", "aside", "header", "footer", "form"}
+# Words in the class, id or role of a block that speak for content, and for the frame of a page.
+CONTENT_WORDS = {"article", "body", "content", "entry", "main", "post", "story", "text"}
+FRAME_WORDS = {"ad", "ads", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "contact", "cookie", "footer", "header", "login", "menu", "nav", "navbar", "navigation", "pagination", "promo", "related", "search", "share", "sidebar", "social", "sponsor", "widget"}
 # End of the fixed values.
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -37,11 +43,12 @@ DEEPEST = 30
 class Node:
     """A tag with its children, nodes and strings."""
 
-    __slots__ = ("kids", "tag")
+    __slots__ = ("kids", "tag", "weight")
 
-    def __init__(self, tag: str, kids: list | None = None):
+    def __init__(self, tag: str, kids: list | None = None, weight: int = 0):
         self.tag = tag
         self.kids: list = kids if kids is not None else []
+        self.weight = weight
 
 
 class Reader:
@@ -139,7 +146,7 @@ class Reader:
                     if stack[i].tag == tag or tag in ("dt", "dd") and stack[i].tag in ("dt", "dd"):
                         del stack[i:]
                         break
-            node = Node(tag)
+            node = Node(tag, weight=_weight(tag, attributes))
             stack[-1].kids.append(node)
             stack.append(node)
         pending.append(text[at:])
@@ -559,64 +566,97 @@ def notation(text: str) -> str:
 # --- scoring ------------------------------------------------------------------------------------
 
 
-def _measure(node: Node, scores: dict[int, float], shape: dict[int, tuple[int, int]], above: tuple[Node, ...], linked: bool) -> tuple[int, int]:
-    """(letters, of these in links) below a node; paragraphs score for their ancestors."""
-    letters = links = 0
-    for kid in node.kids:
-        if isinstance(kid, str):
-            n = len(kid.strip())
-            letters += n
-            links += n * linked
-        elif kid.tag not in HIDDEN:
-            a, b = _measure(kid, scores, shape, (node, *above), linked or kid.tag == "a")
-            letters += a
-            links += b
-    shape[id(node)] = (letters, links)
-    if node.tag in ("p", "li", "pre", "td", "blockquote") and letters >= 25:
-        commas = sum(k.count(",") for k in node.kids if isinstance(k, str))
-        points = 1 + commas + min(letters // 100, 3)
-        for k, ancestor in enumerate(above):
-            scores[id(ancestor)] = scores.get(id(ancestor), 0.0) + points / (1 if k == 0 else 2 if k == 1 else 3 * k)
-    return letters, links
-
-
-def kept(root: Node) -> Node:
-    """The tree without what surrounds the content: the best container, its siblings and those of its ancestors, but for blocks of links."""
-    scores: dict[int, float] = {}
-    shape: dict[int, tuple[int, int]] = {}
-    _measure(root, scores, shape, (), False)
-
-    def density(n: Node) -> float:
-        letters, links = shape.get(id(n), (0, 0))
-        return links / letters if letters else 0.0
-
-    best, top, way = root, -1.0, []
-
-    def search(n: Node, path: list[Node]) -> None:
-        nonlocal best, top, way
-        value = scores.get(id(n), 0.0) * (1 - density(n))
-        if value > top:
-            best, top, way = n, value, path
-        for k in n.kids:
-            if isinstance(k, Node) and id(k) in scores:
-                search(k, [*path, n])
-
-    search(root, [])
-    chain = {id(n) for n in [*way, best]}
-
-    def prune(n: Node) -> Node:
-        kids = [k for k in n.kids if isinstance(k, str) or id(k) in chain or k.tag in HEADINGS or density(k) <= 0.5 or not shape[id(k)][0]]
-        return Node(n.tag, [prune(k) if isinstance(k, Node) and id(k) in chain and k is not best else k for k in kids])
-
-    return prune(root)
+_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_PARTS = re.compile(r"[A-Za-z][a-z]*")
+#: Points for a name, levels of ancestors that a paragraph scores for, share of the best score that others need in a page's frame.
+NAMED, LEVELS, SHARE = 25, 5, 0.2
+
+
+def _weight(tag: str, attributes: str) -> int:
+    """Points that a block has from its tag and the names in its attributes."""
+    if tag == "a":
+        return 0
+    names = {w.lower() for m in _NAMES.finditer(attributes) for w in _PARTS.findall(m.group(m.lastindex) if m.lastindex else "")} if attributes.strip() else set()
+    if tag in FRAME or names & FRAME_WORDS:
+        return -NAMED
+    return NAMED if tag in ("article", "main") or names & CONTENT_WORDS else 0
+
+
+class Scores:
+    """What the blocks of a tree are worth; without recursion, as pages can be nested thousands of levels deep."""
+
+    def __init__(self, root: Node):
+        self.letters: dict[int, int] = {}
+        self.links: dict[int, int] = {}
+        self.points: dict[int, float] = {}  # passed on by paragraphs below, to the containers above
+        self.own: dict[int, float] = {}  # of all paragraphs below
+        way: list[Node] = []
+        stack: list[tuple[Node, bool, bool]] = [(root, False, False)]
+        while stack:
+            node, linked, done = stack.pop()
+            if not done:
+                way.append(node)
+                stack.append((node, linked, True))
+                stack += [(k, linked or k.tag == "a", False) for k in node.kids if not isinstance(k, str) and k.tag not in HIDDEN]
+                continue
+            way.pop()
+            here = sum(len(k.strip()) for k in node.kids if isinstance(k, str))
+            below = [k for k in node.kids if not isinstance(k, str)]
+            letters = here + sum(self.letters.get(id(k), 0) for k in below)
+            self.letters[id(node)] = letters
+            self.links[id(node)] = here * linked + sum(self.links.get(id(k), 0) for k in below)
+            own = sum(self.own.get(id(k), 0.0) for k in below)
+            if node.tag in ("p", "li", "pre", "td", "blockquote") and letters >= 25:
+                points = 1 + sum(k.count(",") for k in node.kids if isinstance(k, str)) + min(letters // 100, 3)
+                own += points
+                for k, ancestor in enumerate(way[: -LEVELS - 1 : -1]):
+                    self.points[id(ancestor)] = self.points.get(id(ancestor), 0.0) + points / (1 if k == 0 else 2 if k == 1 else 3 * k)
+            self.own[id(node)] = own
+
+    def density(self, node: Node) -> float:
+        """The share of a block's text that is links."""
+        letters = self.letters.get(id(node), 0)
+        return self.links[id(node)] / letters if letters else 0.0
+
+    def best(self, root: Node) -> tuple[list[Node], float]:
+        """The way from the root to the container with the highest score, and this score."""
+        top, found = -1.0, [root]
+        above: dict[int, Node] = {}
+        stack = [root]
+        while stack:
+            node = stack.pop()
+            score = (self.points.get(id(node), 0.0) + node.weight) * (1 - self.density(node)) if id(node) in self.points else 0.0
+            if score > top:
+                top, found = score, [node]
+            for k in reversed(node.kids):
+                if isinstance(k, Node) and id(k) in self.points:
+                    above[id(k)] = node
+                    stack.append(k)
+        while id(found[0]) in above:
+            found.insert(0, above[id(found[0])])
+        return found, top
+
+
+def dropped(root: Node) -> set[int]:
+    """The blocks (by id) that surround the content: of the siblings of the best container and of its ancestors, those of links or of a page's frame."""
+    scores = Scores(root)
+    way, top = scores.best(root)
+    out: set[int] = set()
+    for node, inner in zip(way, way[1:]):
+        kids = [k for k in node.kids if isinstance(k, Node) and k is not inner and k.tag not in HEADINGS and scores.letters.get(id(k))]
+        links = [k for k in kids if scores.density(k) > 0.5]
+        out.update(id(k) for k in links)
+        if links or any(k.weight < 0 for k in kids):
+            out.update(id(k) for k in kids if (scores.own[id(k)] + k.weight) * (1 - scores.density(k)) < SHARE * top)
+    return out
 
 
 # --- output -------------------------------------------------------------------------------------
 
 
 def elements(source: str | None, whole: bool = False) -> list[tuple[str, str]]:
-    """(kind, content) of every heading, list_item, code and formula, in order, `whole` those in blocks of links too; nothing for null and empty."""
-    return _walk(source, whole)[0]
+    """(kind, content) of every heading, list_item, code and formula that is kept, in order, `whole` of all; nothing for null and empty."""
+    return [(kind, content) for kind, content, inside in _walk(source)[0] if inside or whole]
 
 
 def clean_text(source: str | None) -> str | None:
@@ -624,95 +664,102 @@ def clean_text(source: str | None) -> str | None:
     return None if source is None else "\n".join(_walk(source)[1])
 
 
-def _walk(source: str | None, whole: bool = False) -> tuple[list[tuple[str, str]], list[str]]:
+def _own_text(node: Node) -> str:
+    """The text of a block without that of lists, code and tables in it; blocks in it are set off by blanks."""
+    out: list[str] = []
+    stack: list[str | Node] = [node]
+    while stack:
+        k = stack.pop()
+        if isinstance(k, str):
+            out.append(k)
+        elif k is node or k.tag == "a":
+            stack += k.kids[::-1]
+        elif k.tag not in ("ul", "ol", "li", "pre", "table", *HIDDEN):
+            stack += [" ", *k.kids[::-1], " "]
+    return "".join(out)
+
+
+_INNER = {"li": {"ul", "ol", "li", "pre", "table"}, "p": {"ul", "ol", "li", "pre", "table", *HEADINGS}} | {h: {"ul", "ol", "pre", "table"} for h in HEADINGS}
+_INNER |= {t: _INNER["p"] for t in ("td", "th", "a")}
+
+
+def _walk(source: str | None) -> tuple[list[tuple[str, str, bool]], list[str]]:
+    """(kind, content, whether it is kept) of all elements, and the lines of what is kept."""
     if not source or not source.strip():
         return [], []
     reader = Reader()
     root = reader.read(source)
-    if not whole:
-        root = kept(root)
-    found: list[tuple[str, str]] = []
+    gone = dropped(root)
+    found: list[tuple[str, str, bool]] = []
     lines: list[str] = []
 
     def shown(text: str) -> str:
         return _WHITE.sub(" ", _HELD.sub(lambda m: reader.formulas[int(m.group(1))], text)).strip()
 
-    def own_text(node: Node) -> str:
-        out = []
-        for k in node.kids:
-            if isinstance(k, str):
-                out.append(k)
-            elif k.tag not in ("ul", "ol", "li", "pre", "table", *HIDDEN):
-                out.append(own_text(k) if k.tag == "a" else f" {own_text(k)} ")
-        return "".join(out)
-
-    def element(kind: str, content: str) -> None:
+    def element(kind: str, content: str, inside: bool) -> None:
         if content:
-            found.append((kind, content))
-
-    def formulas(text: str) -> None:
+            found.append((kind, content, inside))
+
+    def text_of(text: str, inside: bool, mark: str = "", kind: str = "") -> None:
+        clean = shown(text)
+        if kind:
+            element(kind, clean, inside)
+        if inside and (clean or mark):
+            lines.append(mark + clean)
         for m in _HELD.finditer(text):
-            element("formula", reader.formulas[int(m.group(1))])
-
-    def visit(node: Node, depth: int) -> None:
+            element("formula", reader.formulas[int(m.group(1))], inside)
+
+    stack: list[tuple[str | Node, int, bool]] = [(root, 0, True)]
+    while stack:
+        node, depth, inside = stack.pop()
+        if isinstance(node, str):
+            if shown(node):
+                text_of(node, inside)
+            continue
         tag = node.tag
         if tag in HIDDEN:
-            return
+            continue
+        inside = inside and id(node) not in gone
         if tag == "pre":
             code = "".join(k for k in node.kids if isinstance(k, str)).replace("\ue004", "")
-            element("code", _WHITE.sub(" ", code).strip())
-            lines.extend(["```", code.strip("\n"), "```"])
-            return
-        if tag in HEADINGS:
-            text = own_text(node)
-            element("heading", shown(text))
-            lines.append("# " + shown(text))
-            formulas(text)
-            inner = [k for k in node.kids if isinstance(k, Node) and k.tag in ("ul", "ol", "pre", "table")]
-        elif tag == "li":
-            text = own_text(node)
-            element("list_item", shown(text))
-            lines.append("  " * depth + "- " + shown(text))
-            formulas(text)
-            inner = [k for k in node.kids if isinstance(k, Node) and k.tag in ("ul", "ol", "li", "pre", "table")]
-        elif tag in ("p", "td", "th", "a"):
-            text = own_text(node)
-            if shown(text):
-                lines.append(shown(text))
-            formulas(text)
-            inner = [k for k in node.kids if isinstance(k, Node) and k.tag in ("ul", "ol", "li", "pre", "table", *HEADINGS)]
+            element("code", _WHITE.sub(" ", code).strip(), inside)
+            if inside:
+                lines.extend(["```", code.strip("\n"), "```"])
+            continue
+        if tag in _INNER:
+            if tag in HEADINGS:
+                text_of(_own_text(node), inside, "# ", "heading")
+            elif tag == "li":
+                text_of(_own_text(node), inside, "  " * depth + "- ", "list_item")
+            else:
+                text_of(_own_text(node), inside)
+            inner = [(k, depth + (tag == "li"), inside) for k in node.kids if isinstance(k, Node) and k.tag in _INNER[tag]]
         else:
-            inner = []
-            for k in node.kids:
-                if isinstance(k, str):
-                    if shown(k):
-                        lines.append(shown(k))
-                        formulas(k)
-                else:
-                    visit(k, depth + (tag in ("ul", "ol") and k.tag in ("ul", "ol")))
-        for k in inner:
-            visit(k, depth + (tag == "li"))
-
-    visit(root, 0)
+            inner = [(k, depth if isinstance(k, str) else depth + (tag in ("ul", "ol") and k.tag in ("ul", "ol")), inside) for k in node.kids]
+        stack += inner[::-1]
     return found, lines
 
 
 def markup_elements(df: DataFrame, key: str = "record_id", field: str = "content_html") -> DataFrame:
-    """(key, place, kind, content) for the elements of every row, those in blocks of links included; null, empty and plain texts have none. No shuffle."""
+    """(key, place, kind, content, kept) for all elements of every row; null, empty and plain texts have none. No shuffle.
+
+    kept: whether it stands in the best container or beside it, and so in the clean text, or in what surrounds it.
+    """
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places, kinds, contents = [], [], [], []
+            rows, places, kinds, contents, kept = [], [], [], [], []
             for r, source in enumerate(batch.column(1).to_pylist()):
-                for place, (k, c) in enumerate(elements(source, whole=True), 1):
+                for place, (k, c, inside) in enumerate(_walk(source)[0], 1):
                     rows.append(r)
                     places.append(place)
                     kinds.append(k)
                     contents.append(c)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.int32()), pa.array(kinds, pa.string()), pa.array(contents, pa.string())], [key, "place", "kind", "content"])
+                    kept.append(inside)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.int32()), pa.array(kinds, pa.string()), pa.array(contents, pa.string()), pa.array(kept, pa.bool_())], [key, "place", "kind", "content", "kept"])
 
-    return df.select(df[f"`{key}`"], df[f"`{field}`"]).mapInArrow(run, f"`{key}` {kind}, place int, kind string, content string")
+    return df.select(df[f"`{key}`"], df[f"`{field}`"]).mapInArrow(run, f"`{key}` {kind}, place int, kind string, content string, kept boolean")
 
 
 def markup_texts(df: DataFrame, key: str = "record_id", field: str = "content_html") -> DataFrame:

@@ -128,6 +128,43 @@ def test_blocks_of_links_are_left_out():
     assert M.clean_text(menu + body).startswith("# Một") and M.clean_text(None) is None and M.clean_text("") == ""
 
 
+SENTENCE = "Điều này quy định, theo luật, các mức phí, lệ phí và thời hạn nộp hồ sơ của tổ chức. "
+FOOTER = "Bản quyền thuộc cổng thông tin, ghi rõ nguồn khi dùng lại, giấy phép số 12."
+COMMENTS = "".join(f"<p>Cảm ơn bài viết số {i}, rất hữu ích, mong có thêm.</p>" for i in range(3))
+ARTICLE = "<h1>Thông tư</h1>" + "".join(f"<p>{SENTENCE * 3}</p>" for _ in range(8))
+LINKS = "<ul>" + "".join(f'<li><a href="{i}">chuyên mục số {i}</a></li>' for i in range(6)) + "</ul>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div>{LINKS}</div><div>{ARTICLE}</div><div><p>{FOOTER}</p></div><div>{COMMENTS}</div>",  # told by links beside it
+        f'<div class="page"><div>{ARTICLE}</div><div class="list-comments">{COMMENTS}</div><footer><p>{FOOTER}</p></footer></div>',  # told by names
+        f"<nav>{LINKS}</nav><main><section>{ARTICLE}</section><aside><p>{FOOTER}</p></aside></main><form>{COMMENTS}</form>",
+        f"<div><div><div>{LINKS}</div><div><div>{ARTICLE}</div></div></div><div>{COMMENTS}</div></div><footer><p>{FOOTER}</p></footer>",
+    ],
+)
+def test_the_frame_of_a_page_is_left_out(page):
+    text, everything = M.clean_text(page), M.elements(page, whole=True)
+    assert text.startswith("# Thông tư") and text.count("Điều này quy định") == 24
+    assert "chuyên mục" not in text and "Bản quyền" not in text and "hữu ích" not in text
+    assert len(everything) > len(M.elements(page)) or "<li>" not in page  # elements are those of the whole page
+
+
+def test_fragments_keep_what_stands_beside_the_best_container():
+    assert "Nơi nhận" in M.clean_text(f"<div>{ARTICLE}</div><table><tr><td>Nơi nhận: Lưu VT.</td><td>KT. BỘ TRƯỞNG</td></tr></table>")
+    assert "Lời đầu" in M.clean_text(f"<div><p>Lời đầu.</p></div><div>{ARTICLE}</div>")
+    assert M.clean_text(f'<div class="comments">{COMMENTS}</div>').count("hữu ích") == 3  # nothing better is there
+
+
+def test_pages_nested_deeply():
+    for depth in (3_000, 20_000):
+        page = "<div>" * depth + f"<p>{SENTENCE}<ul><li>một" + "</div>" * depth
+        assert M.elements(page) == [("list_item", "một")] and SENTENCE.strip() in M.clean_text(page)
+    assert M.clean_text("<p>x<blockquote>" * 4_000).count("x") == 4_000
+    assert M.elements("<ul><li>a" * 3_000, whole=True) == [("list_item", "a")] * 3_000
+
+
 def test_long_and_broken_markup_ends():
     for source in ("<div>" * 800 + "x", "*" * 20_000, "[" * 5_000, "$" * 5_001, "<p " * 3_000, "{" * 3_000 + "\\textbf{", "a_" * 5_000 + "\n- x", "> " * 3_000, "''" * 3_000 + "\n* x", "*a " * 100_000, "- " + "_a " * 100_000, "a**b " * 50_000, "~~x " * 50_000):
         M.elements(source)
@@ -135,7 +172,7 @@ def test_long_and_broken_markup_ends():
 
 def test_markup_of_rows(spark):
     df = spark.createDataFrame([(1, "<h1>a</h1><h1>a</h1>", "x"), (2, None, None), (3, "", "")], "record_id bigint, content_html string, kind string")
-    assert [tuple(r) for r in M.markup_elements(df).collect()] == [(1, 1, "heading", "a"), (1, 2, "heading", "a")]
+    assert [tuple(r) for r in M.markup_elements(df).collect()] == [(1, 1, "heading", "a", True), (1, 2, "heading", "a", True)]
     assert [tuple(r) for r in M.markup_texts(df).orderBy("record_id").collect()] == [(1, "# a\n# a"), (2, None), (3, "")]
     assert M.markup_elements(df.limit(0)).count() == 0
 
@@ -143,7 +180,7 @@ def test_markup_of_rows(spark):
 def test_rows_have_the_elements_of_link_blocks(spark):
     source = '<div><ul><li><a href="1">văn bản liên quan số 1</a></li></ul></div><div><h1>Một</h1><p>' + "Nội dung, dài, của bài. " * 9 + "</p></div>"
     df = spark.createDataFrame([(1, source)], "record_id bigint, content_html string")
-    assert [(r.kind, r.content) for r in M.markup_elements(df).collect()] == [("list_item", "văn bản liên quan số 1"), ("heading", "Một")]
+    assert [(r.kind, r.content, r.kept) for r in M.markup_elements(df).collect()] == [("list_item", "văn bản liên quan số 1", False), ("heading", "Một", True)]
     assert "liên quan" not in M.markup_texts(df).first().text
 
 
