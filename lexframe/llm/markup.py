@@ -4,8 +4,8 @@ Every notation is read into one kind of tree (sections, paragraphs, headings, li
 tables). Paragraphs pass points for their length and commas to their ancestors, discounted by
 the share of their text that is links, and names of tags and classes add or take some; the best container is kept
 with its siblings and those of its ancestors. Blocks that are mostly links go, and where such blocks or others that
-name themselves as menus, footers or comments show that a level holds the frame of a page, everything on it that has
-few points beside the best. What is kept is given as text; elements are those of the whole tree and
+name themselves as menus, footers or comments show the frame of a page, everything beside the way to the best that
+has few points compared with it. What is kept is given as text; elements are those of the whole tree and
 say whether they stand in what is kept.
 """
 
@@ -641,13 +641,10 @@ def dropped(root: Node) -> set[int]:
     """The blocks (by id) that surround the content: of the siblings of the best container and of its ancestors, those of links or of a page's frame."""
     scores = Scores(root)
     way, top = scores.best(root)
-    out: set[int] = set()
-    for node, inner in zip(way, way[1:]):
-        kids = [k for k in node.kids if isinstance(k, Node) and k is not inner and k.tag not in HEADINGS and scores.letters.get(id(k))]
-        links = [k for k in kids if scores.density(k) > 0.5]
-        out.update(id(k) for k in links)
-        if links or any(k.weight < 0 for k in kids):
-            out.update(id(k) for k in kids if (scores.own[id(k)] + k.weight) * (1 - scores.density(k)) < SHARE * top)
+    beside = [k for node, inner in zip(way, way[1:]) for k in node.kids if isinstance(k, Node) and k is not inner and k.tag not in HEADINGS and scores.letters.get(id(k))]
+    out = {id(k) for k in beside if scores.density(k) > 0.5}
+    if out or any(k.weight < 0 for k in beside):
+        out |= {id(k) for k in beside if (scores.own[id(k)] + k.weight) * (1 - scores.density(k)) < SHARE * top}
     return out
 
 
