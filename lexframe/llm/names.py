@@ -1,10 +1,10 @@
 """Links names as people typed them to the register entries that they denote.
 
 Names meet by token suffixes: typed and registered names are exploded into the suffixes of
-their tokens and joined on them. A suffix that more than a given number of entries have is first
-refined with another field (the kind of office of an organisation, the organisation of a person)
-and left out only if it is still common then. Pairs that meet are compared by the ratio of their
-longest common subsequence, on forms without accents in which the keystrokes of the usual input
+their tokens and joined on them. Of each suffix there is a key alone and keys with another field (the kind of office of
+an organisation, the organisation or the title of a person). A suffix that more than a given number of entries
+have counts only with such a field, and is left out only if it is still common then. Pairs that meet are compared by
+the ratio of their longest common subsequence, on forms without accents in which the keystrokes of the usual input
 methods (doubled letters, w, tone letters and digits) are resolved.
 """
 
@@ -14,6 +14,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import groupby, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -66,6 +67,12 @@ def tidy(value: str) -> str:
     return re.sub(r"\s+", " ", "".join(out)).strip()
 
 
+@lru_cache(maxsize=50_000)
+def registered(name: str) -> tuple[str, ...]:
+    """The tokens of a registered name."""
+    return tuple(tokens(tidy(name)))
+
+
 def tokens(text: str) -> list[str]:
     return [c for w in re.findall(r"[^\W_]+|&", text) if (c := "va" if w == "&" else canonical(w))]
 
@@ -187,8 +194,8 @@ def abbreviations(name: str) -> frozenset[str]:
 
 
 def office_score(value: str, name: str, short_name: str | None) -> float:
-    registered = tuple(tokens(tidy(name)))
-    whole, bare = "".join(registered), _without_level(registered)
+    own = registered(name)
+    whole, bare = "".join(own), _without_level(own)
     best = 0.0
     for form in office_forms(value):
         typed = "".join(form)
@@ -222,18 +229,18 @@ def _same_short_words(value: str, name: str) -> bool:
     return all(len(b) > 2 or canonical(a) == canonical(b) or close(a, b) and a[-1] == b[-1] for a, b in zip(mine, theirs))
 
 
-def title_score(value: str, name: str, _: str | None = None) -> float:
-    registered = tokens(tidy(name))
-    whole = "".join(registered)
+def title_score(value: str, name: str) -> float:
+    own = registered(name)
+    whole = "".join(own)
     best = 0.0
     for form in title_forms(value):
         typed = "".join(form)
         if close(typed, whole, 2 if len(whole) > 20 else 1) and _same_short_words(value, name):
             best = max(best, ratio(typed, whole))
-        elif len(form) == 1 and typed in abbreviations(name) or len(form) == 1 and typed == "".join(t[0] for t in registered):
+        elif len(form) == 1 and typed in abbreviations(name) or len(form) == 1 and typed == "".join(t[0] for t in own):
             best = max(best, 0.9)
-        elif form[:1] in (("kt",), ("tm",), ("tl",), ("tuq",)) and len(form) > len(registered):
-            tail = "".join(form[-len(registered) :])
+        elif form[:1] in (("kt",), ("tm",), ("tl",), ("tuq",)) and len(form) > len(own):
+            tail = "".join(form[-len(own) :])
             if close(tail, whole):  # the longest title that the name ends with is the signer's own
                 best = max(best, 0.8 * ratio(tail, whole) + len(whole) / 1000)
     return best
@@ -247,46 +254,76 @@ def suffixes(parts: tuple[str, ...] | list[str]) -> set[str]:
     return {p[i:] for p in parts for i in range(len(p)) if i == 0 or len(p) - i >= LEAST}
 
 
-def _mapped(df: DataFrame, f: Callable[..., Iterator[tuple]], schema: str) -> DataFrame:
-    """Rows of `f` for each row of `df`."""
-    names = [c.split()[0] for c in schema.split(", ")]
+_KINDS = {"string": pa.string(), "double": pa.float64(), "bigint": pa.int64()}
+
+
+def _mapped(df: DataFrame, f: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """What `f` makes of the rows of each partition."""
+    names, kinds = zip(*((c.split()[0], _KINDS[c.split()[1]]) for c in schema.split(", ")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [out for row in zip(*(c.to_pylist() for c in batch.columns)) for out in f(*row)]
-            columns = zip(*rows) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), kinds[n]) for n, c in zip(names, columns)], names)
+        out = f(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        while rows := list(islice(out, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names)
 
-    kinds = {c.split()[0]: {"string": pa.string(), "double": pa.float64()}[c.split()[1]] for c in schema.split(", ")}
     return df.mapInArrow(run, schema)
 
 
-def _meet(typed: DataFrame, entries: DataFrame, common: int) -> DataFrame:
-    """(value, ctx, entity_id): pairs that share a suffix which is not common.
+# Keys begin with the kind of register: a name of an office meets no title.
+OFFICE, TITLE, PERSON = "office", "title", "person"
 
-    typed: (value, ctx, suffix, field), entries: (entity_id, suffix, field), distinct. A suffix that
-    more than `common` entries have counts together with the field only, and not at all where
-    that is common too.
-    """
-    alone = entries.groupBy("suffix").agg(F.countDistinct("entity_id").alias("n"))
-    rare = entries.join(alone.where(F.col("n") <= common), "suffix").select("entity_id", F.col("suffix").alias("key"))
-    refined = entries.join(alone.where(F.col("n") > common), "suffix").where("field is not null").select("entity_id", F.concat_ws("|", "suffix", "field").alias("key"))
-    crowded = refined.groupBy("key").agg(F.countDistinct("entity_id").alias("n")).where(F.col("n") > 2 * common).select("key")
-    index = rare.unionByName(refined.join(crowded, "key", "left_anti")).distinct()
-    keys = F.array(F.col("suffix"), F.concat_ws("|", "suffix", F.coalesce("field", F.lit("-"))))
-    return typed.select("value", "ctx", F.explode(keys).alias("key")).join(index, "key").select("value", "ctx", "entity_id").distinct()
 
+def _keys(kind: str, suffix: str, fields: tuple[str, ...]) -> Iterator[str]:
+    """The key of a suffix alone and those of it with each field."""
+    yield f"{kind}:{suffix}"
+    for f in fields:
+        yield f"{kind}:{suffix}|{f}"
 
-def _best(scored: DataFrame) -> DataFrame:
-    """(value, ctx, entity_id) of the best entry; none where two are equally good."""
-    top = scored.groupBy("value", "ctx").agg(F.max("score").alias("top"))
-    kept = scored.join(top, ["value", "ctx"]).where("score >= top - 1e-9")
-    return kept.groupBy("value", "ctx").agg(F.min("entity_id").alias("entity_id"), F.count("*").alias("n")).where("n = 1").drop("n")
 
+def _entry_keys(rows: Iterator[tuple]) -> Iterator[tuple]:
+    for kind, entity, name, short, office, title in rows:
+        parts = registered(name)
+        exact: set[str] = set()
+        if kind == PERSON:
+            fields: tuple[str, ...] = (f"office {office}", f"title {title}")
+            exact = {"".join(parts)}
+        else:
+            fields = (parts[0],) if parts else ()
+            exact = abbreviations(name) | {"".join(p[0] for p in parts)} | ({canonical(short)} if short else set())
+        for s in suffixes(parts) | {"=" + e for e in exact}:
+            for key in _keys(kind, s, fields):
+                yield key, kind, entity, name, short, office, title
 
-def _spellings(column: Column) -> Column:
-    """The value, or null for an empty name."""
-    return F.when(~F.trim(column).isin("", "--"), column)
+
+_ENTRY = "kind string, entity_id string, name string, short_name string, office string, title string"
+
+
+def register_index(register: DataFrame) -> DataFrame:
+    """(key, and the columns of the register) for the keys by which an entry is found.
+
+    register: (kind, entity_id, name, short_name, office, title). A suffix alone is a key while at most `COMMON` entries have
+    it, twice as many for persons; with a field while at most twice as many have both.
+    """
+    keys = _mapped(register.where("name is not null and entity_id is not null"), _entry_keys, f"key string, {_ENTRY}").distinct()
+    most = F.lit(COMMON) * F.when(F.col("key").startswith(PERSON), 2).otherwise(1) * F.when(F.col("key").contains("|"), 2).otherwise(1)
+    usable = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("key")
+    return keys.join(usable, "key")
+
+
+def _typed_keys(rows: Iterator[tuple]) -> Iterator[tuple]:
+    for kind, value, ctx, office, title in rows:
+        seen: set[str] = set()
+        if kind == PERSON:
+            forms = [f for f, _ in person_forms(value)]
+            field = f"office {office}" if office is not None else f"title {title}"
+            for s in suffixes([p for f in forms for p in f if len(p) > 1]) | {"=" + "".join(f) for f in forms}:
+                seen.update(_keys(kind, s, (field,)))
+        else:
+            for f in (office_forms if kind == OFFICE else title_forms)(value):
+                for s in {"=" + "".join(f)} | suffixes(f):
+                    seen.update(_keys(kind, s, (f[0],)))
+        for key in seen:
+            yield key, value, ctx, office, title
 
 
 def _accented(value: str, name: str) -> float:
@@ -294,112 +331,92 @@ def _accented(value: str, name: str) -> float:
     return ratio(tidy(value).lower().replace(" ", ""), tidy(name).lower().replace(" ", "")) / 1000
 
 
-def link_register(values: DataFrame, register: DataFrame, kind: str) -> DataFrame:
-    """(value, entity_id) for the values that denote an entry of an `office` or `title` register.
-
-    values: (value), distinct; register: (entity_id, name, short_name). Values that no entry, or more
-    than one, fits as well give no row; so do nulls and empty tables.
-    """
-    forms, score = {"office": (office_forms, office_score), "title": (title_forms, title_score)}[kind]
-
-    def typed_keys(value: str) -> Iterator[tuple]:
-        seen = set()
-        for f in forms(value):
-            whole = "".join(f)
-            for s in {"=" + whole} | suffixes(f):
-                if (s, f[0]) not in seen:
-                    seen.add((s, f[0]))
-                    yield value, "", s, f[0]
-
-    def entry_keys(entity: str, name: str, short: str | None) -> Iterator[tuple]:
-        parts = tokens(tidy(name))
-        exact = {"=" + a for a in abbreviations(name)} | {"=" + "".join(p[0] for p in parts)} | ({"=" + canonical(short)} if short else set())
-        for s in suffixes(parts) | exact:
-            yield entity, s, parts[0] if parts else None
-
-    typed = _mapped(values.select("value").where("value is not null"), typed_keys, "value string, ctx string, suffix string, field string")
-    entries = _mapped(register.select("entity_id", "name", "short_name").where("name is not null"), entry_keys, "entity_id string, suffix string, field string")
-    met = _meet(typed, entries, COMMON).join(register.select("entity_id", "name", "short_name"), "entity_id")
-
-    def scores(value: str, entity: str, name: str, short: str | None) -> Iterator[tuple]:
-        s = score(value, name, short)
-        if s > 0:
-            yield value, "", entity, s + _accented(value, name)
-
-    return _best(_mapped(met.select("value", "entity_id", "name", "short_name"), scores, "value string, ctx string, entity_id string, score double")).select("value", "entity_id")
-
-
-def link_persons(values: DataFrame, register: DataFrame) -> DataFrame:
-    """(value, office, title, office_state, title_state, entity_id) for the persons that typed names denote.
-
-    values: (value, office, office_state, title, title_state), distinct: the typed name, the entries
-    that the organisation and the title beside it were linked to, and for each whether it was
-    `linked`, `empty` or `unknown`. register: (entity_id, name, office, title). A person is looked for
-    in the linked organisation; where none is given the name must be whole and fit one person only, of
-    the linked title if there is one; under an organisation that no entry has it must have no slip either.
-    Under a title that was linked to no entry the name must have no slip, and fit one person only of the
-    linked organisation, or of all where there is none. Common suffixes are refined with the
-    organisation, or else with the title.
+def _score(kind: str, value: str, ctx: str, name: str, short: str | None) -> float:
+    """How well a value denotes an entry; 0 if it doesn't. ctx: the states of the office and the title beside a person's name."""
+    if kind == OFFICE:
+        s = office_score(value, name, short)
+    elif kind == TITLE:
+        s = title_score(value, name)
+    else:
+        state, title_state = ctx.split("|")[1::2]
+        s = person_score(value, registered(name), state == "linked")
+        if s < 0.97 and (title_state == "unknown" or state == "unknown"):
+            return 0.0
+    return s + _accented(value, name) if s > 0 else 0.0
+
+
+def _best(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """The best entry of each value, whose rows follow each other; null where several are equally good, with their number."""
+    for (kind, value, ctx), group in groupby(rows, key=lambda r: r[:3]):
+        entries = {entity: (name, short) for _, _, _, entity, name, short in group}  # they meet on several keys
+        scores = {entity: _score(kind, value, ctx, *entry) for entity, entry in entries.items()}
+        top = max(scores.values())
+        found = [(entity, entries[entity][0]) for entity, s in scores.items() if s >= top - 1e-9]
+        if top > 0:
+            yield kind, value, ctx, *(found[0] if len(found) == 1 else (None, None)), len(found)
+
+
+def link_values(values: DataFrame, index: DataFrame) -> DataFrame:
+    """(kind, value, ctx, entity_id, name, n) for the values that denote entries of `index`, see `register_index`.
+
+    values: (kind, value, ctx, office, title), distinct; ctx, office and title are those of persons. n is the number of
+    entries that fit equally well; where it is more than one, entity_id is null. Values that no entry fits give no row; so do
+    nulls and empty tables. A person is looked for in the linked organisation; where none is given the name must
+    be whole and fit one person only, of the linked title if there is one; under an organisation or a title
+    that no entry has it must have no slip either.
     """
+    typed = _mapped(values.where("value is not null").select("kind", "value", "ctx", "office", "title"), _typed_keys, "key string, value string, ctx string, asked_office string, asked_title string")
+    met = typed.join(index, "key").where("(asked_office is null or asked_office = office) and (asked_title is null or title is null or asked_title = title)")
+    rows = met.select("kind", "value", "ctx", "entity_id", "name", "short_name").repartition("value", "ctx").sortWithinPartitions("kind", "value", "ctx")
+    return _mapped(rows, _best, "kind string, value string, ctx string, entity_id string, name string, n bigint")
 
-    def typed_keys(value: str, ctx: str, office: str | None, title: str | None) -> Iterator[tuple]:
-        parts = {p for f, _ in person_forms(value) for p in f if len(p) > 1}
-        field = f"office {office}" if office is not None else f"title {title}"
-        for s in suffixes(list(parts)) | {"=" + "".join(f) for f, _ in person_forms(value)}:
-            yield value, ctx, s, field
 
-    def entry_keys(entity: str, name: str, office: str | None, title: str | None) -> Iterator[tuple]:
-        parts = tokens(tidy(name))
-        for s in suffixes(parts) | {"=" + "".join(parts)}:
-            yield entity, s, f"office {office}"
-            yield entity, s, f"title {title}"
+def _spellings(column: Column) -> Column:
+    """The value, or null for an empty name."""
+    return F.when(~F.trim(column).isin("", "--"), column)
 
-    ctx = F.concat_ws("|", F.coalesce("office", F.lit("")), "office_state", F.coalesce("title", F.lit("")), "title_state")
-    asked = values.where("value is not null").select("value", ctx.alias("ctx"), "office", "title", "office_state", "title_state").distinct()
-    typed = _mapped(asked.select("value", "ctx", "office", "title"), typed_keys, "value string, ctx string, suffix string, field string")
-    entries = _mapped(register.select("entity_id", "name", "office", "title").where("name is not null"), entry_keys, "entity_id string, suffix string, field string")
-    met = _meet(typed, entries, 2 * COMMON)
-    entry = register.select("entity_id", "name", F.col("office").alias("own_office"), F.col("title").alias("own_title"))
-    pairs = met.join(asked, ["value", "ctx"]).join(entry, "entity_id").where("(office is null or office = own_office) and (title is null or own_title is null or title = own_title)")
 
-    def scores(value: str, ctx: str, entity: str, name: str, office: str | None, state: str, title_state: str) -> Iterator[tuple]:
-        s = person_score(value, tuple(tokens(tidy(name))), office is not None)
-        if s > 0 and (s >= 0.97 or title_state != "unknown" and (office is not None or state == "empty")):
-            yield value, ctx, entity, s + _accented(value, name)
+def resolve_documents(docs: DataFrame, officials: DataFrame, agencies: DataFrame, titles: DataFrame) -> DataFrame:
+    """(record_id, field, value, entity_id, name, n) for every signer, issuer and signer_title that an entry fits.
 
-    found = _best(_mapped(pairs.select("value", "ctx", "entity_id", "name", "office", "office_state", "title_state"), scores, "value string, ctx string, entity_id string, score double"))
-    return found.join(asked, ["value", "ctx"]).select("value", "office", "title", "office_state", "title_state", "entity_id")
+    entity_id and name are null where n > 1 entries fit equally well. Each distinct spelling is linked once, so a
+    name that a third of the rows carry costs no more than another. Nulls, blanks and ``--`` are no names. The
+    registers and the docs may be empty. The registers are indexed once, and two passes follow: organisations and titles,
+    then persons, whose organisation and title are known from the first.
+    """
+    none = F.lit(None).cast("string")
+    rows = docs.select("record_id", *(_spellings(F.col(c)).alias(c) for c in ("signer", "issuer", "signer_title")))
+    register = (
+        agencies.select(F.lit(OFFICE).alias("kind"), F.col("agency_id").alias("entity_id"), "name", "short_name", none.alias("office"), none.alias("title"))
+        .unionByName(titles.select(F.lit(TITLE).alias("kind"), F.col("title_id").alias("entity_id"), F.col("title").alias("name"), none.alias("short_name"), none.alias("office"), none.alias("title")))
+        .unionByName(officials.select(F.lit(PERSON).alias("kind"), F.col("person_id").alias("entity_id"), F.col("full_name").alias("name"), none.alias("short_name"), F.col("agency_id").alias("office"), F.col("title_id").alias("title")))
+    )
+    index = checkpointed(register_index(register))
+    sides = F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value")) for kind, c in ((OFFICE, "issuer"), (TITLE, "signer_title"))))
+    asked = rows.select(F.explode(sides).alias("s")).select("s.*").where("value is not null").distinct()
+    beside = checkpointed(link_values(asked.select("kind", "value", F.lit("").alias("ctx"), none.alias("office"), none.alias("title")), index))
+
+    def linked(kind: str, column: str, name: str) -> DataFrame:
+        return beside.where(F.col("kind") == kind).select(F.col("value").alias(column), F.struct("entity_id", "name", "n").alias(name))
+
+    def state(column: str, found: str) -> Column:
+        return F.when(F.col(f"{found}.entity_id").isNotNull(), "linked").when(F.col(column).isNull(), "empty").otherwise("unknown")
+
+    known = rows.join(linked(OFFICE, "issuer", "office"), "issuer", "left").join(linked(TITLE, "signer_title", "title"), "signer_title", "left")
+    ctx = F.concat_ws("|", F.coalesce("office.entity_id", F.lit("")), state("issuer", "office"), F.coalesce("title.entity_id", F.lit("")), state("signer_title", "title"))
+    known = known.withColumn("ctx", ctx)
+    people = known.where("signer is not null").select(F.lit(PERSON).alias("kind"), F.col("signer").alias("value"), "ctx", F.col("office.entity_id").alias("office"), F.col("title.entity_id").alias("title")).distinct()
+    persons = checkpointed(link_values(people, index)).select(F.col("value").alias("signer"), "ctx", F.struct("entity_id", "name", "n").alias("person"))
+    found = known.join(persons, ["signer", "ctx"], "left")
+    fields = F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias("value"), F.col(x).alias("found")) for c, x in (("signer", "person"), ("issuer", "office"), ("signer_title", "title"))))
+    return found.select("record_id", F.explode(fields).alias("f")).where("f.found is not null").select("record_id", "f.field", "f.value", "f.found.*")
 
 
 def link_documents(docs: DataFrame, officials: DataFrame, agencies: DataFrame, titles: DataFrame) -> DataFrame:
-    """(record_id, field, value, entity_id, name) for every signer, issuer and signer_title that denotes an entry.
+    """(record_id, field, value, entity_id, name) of `resolve_documents`, where one entry fits best."""
+    return resolve_documents(docs, officials, agencies, titles).where("entity_id is not null").drop("n")
 
-    Each distinct spelling is linked once, so a name that a third of the rows carry costs no more
-    than another. Nulls, blanks and ``--`` are no names. The registers and the docs may be empty.
-    """
-    rows = docs.select("record_id", _spellings(F.col("signer")).alias("signer"), _spellings(F.col("issuer")).alias("issuer"), _spellings(F.col("signer_title")).alias("signer_title"))
-    offices = agencies.select(F.col("agency_id").alias("entity_id"), "name", "short_name")
-    posts = titles.select(F.col("title_id").alias("entity_id"), F.col("title").alias("name"), F.lit(None).cast("string").alias("short_name"))
-    people = officials.select(F.col("person_id").alias("entity_id"), F.col("full_name").alias("name"), F.col("agency_id").alias("office"), F.col("title_id").alias("title"))
-    by_office = link_register(rows.select(F.col("issuer").alias("value")).distinct(), offices, "office").select(F.col("value").alias("issuer"), F.col("entity_id").alias("office"))
-    by_office = checkpointed(by_office)  # short tables: three links in one plan are more than a small driver needs to hold
-    by_title = link_register(rows.select(F.col("signer_title").alias("value")).distinct(), posts, "title").select(F.col("value").alias("signer_title"), F.col("entity_id").alias("title"))
-    by_title = checkpointed(by_title)
-    known = rows.join(by_office, "issuer", "left").join(by_title, "signer_title", "left")
-
-    def state(column: str, linked: str) -> Column:
-        return F.when(F.col(linked).isNotNull(), "linked").when(F.col(column).isNull(), "empty").otherwise("unknown")
-
-    known = known.select("record_id", "signer", "issuer", "signer_title", "office", "title", state("issuer", "office").alias("office_state"), state("signer_title", "title").alias("title_state"))
-    persons = checkpointed(link_persons(known.select(F.col("signer").alias("value"), "office", "office_state", "title", "title_state").distinct(), people))
-    signers = known.alias("k").join(
-        persons.alias("p"),
-        F.expr("k.signer = p.value and k.office <=> p.office and k.title <=> p.title and k.office_state = p.office_state and k.title_state = p.title_state"),
-    )
-    found = [
-        signers.select("record_id", F.lit("signer").alias("field"), F.col("k.signer").alias("value"), "entity_id"),
-        known.where("office is not null").select("record_id", F.lit("issuer").alias("field"), F.col("issuer").alias("value"), F.col("office").alias("entity_id")),
-        known.where("title is not null").select("record_id", F.lit("signer_title").alias("field"), F.col("signer_title").alias("value"), F.col("title").alias("entity_id")),
-    ]
-    names = people.select("entity_id", "name").unionByName(offices.select("entity_id", "name")).unionByName(posts.select("entity_id", "name"))
-    return found[0].unionByName(found[1]).unionByName(found[2]).join(names, "entity_id").select("record_id", "field", "value", "entity_id", "name")
+
+def ambiguous_names(docs: DataFrame, officials: DataFrame, agencies: DataFrame, titles: DataFrame) -> DataFrame:
+    """(record_id, field, value, n) of `resolve_documents`, where n entries fit equally well and none is given."""
+    return resolve_documents(docs, officials, agencies, titles).where("entity_id is null").select("record_id", "field", "value", "n")

@@ -10,9 +10,18 @@ from ..session import table
 from . import containers, hyperminhash, lookalikes, markup, names, overlaps, repetition, tokenize
 
 
+def _registers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [table(spark, sf_dir, t) for t in ("vb_documents", "officials", "agencies", "job_titles")]
+
+
 def p1_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every name that denotes an entry, with the spelling there."""
-    return names.link_documents(*(table(spark, sf_dir, t) for t in ("vb_documents", "officials", "agencies", "job_titles")))
+    return names.link_documents(*_registers(spark, sf_dir))
+
+
+def p1_ambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that several entries fit equally well."""
+    return names.ambiguous_names(*_registers(spark, sf_dir))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +99,7 @@ def p10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_links": p1_links,
+    "p1_ambiguous": p1_ambiguous,
     "p3_found": p3_found,
     "p3_elements": p3_elements,
     "p3_texts": p3_texts,

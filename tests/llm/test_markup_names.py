@@ -264,3 +264,47 @@ def test_signers_under_titles_without_entry(spark):
     docs = spark.createDataFrame(typed, "record_id bigint, signer string, issuer string, signer_title string")
     got = {(r.record_id, r.field): r.entity_id for r in N.link_documents(docs, officials, agencies, titles).collect() if r.field != "issuer"}
     assert got == {(1, "signer"): "P1", (2, "signer"): "P4"}
+
+
+def grown_register(spark, times, seed=4):
+    """Registers of `times` 210 organisations and 2,000 persons with namesakes, and spellings of some of them."""
+    rnd = random.Random(seed)
+    syllables = [a + b for a in ("b", "ch", "d", "g", "h", "kh", "l", "m", "n", "ph", "qu", "r", "t", "th", "tr", "v", "x") for b in ("a", "an", "ang", "e", "iên", "inh", "o", "ong", "u", "ung", "ương", "uân")]
+    place = lambda: " ".join(rnd.choice(syllables).capitalize() for _ in range(2))
+    offices = [(f"A{i}", f"{rnd.choice(['Sở Tài chính', 'Sở Xây dựng', 'Ủy ban nhân dân', 'Hội đồng nhân dân', 'Cục Thuế'])} tỉnh {place()}", None) for i in range(210 * times)]
+    given = [s.capitalize() for s in rnd.sample(syllables, 120)]
+    people = [(f"P{i}", " ".join([rnd.choice(["Nguyễn", "Trần", "Lê", "Phạm", "Hoàng"]), rnd.choice(["Văn", "Thị", rnd.choice(given)]), rnd.choice(given), rnd.choice(given)]), f"A{rnd.randrange(len(offices))}", "T1") for i in range(2_000 * times)]
+    office_of = {a: n for a, n, _ in offices}
+
+    def slip(name):
+        at = rnd.randrange(1, len(name) - 1)
+        return name[:at] + name[at + 1 :] if name[at] != " " and name[at - 1] != " " else name + name[-1]
+
+    def initials(name):
+        *first, last = name.split()
+        return ". ".join(w[0] for w in first) + ". " + last
+
+    forms = [str.upper, slip, initials, lambda n: f"{n.split()[-1]}, {' '.join(n.split()[:-1])}", lambda n: "Ông " + n]
+    rows, truth = [], {}
+    for i, (person, name, office, _) in enumerate(rnd.sample(people, 1_500)):
+        rows.append((i, forms[i % 5](name), slip(office_of[office]) if i % 3 else office_of[office], "Giám đốc"))
+        truth[i] = person, office
+    tables = (
+        spark.createDataFrame(rows, "record_id bigint, signer string, issuer string, signer_title string"),
+        spark.createDataFrame(people, "person_id string, full_name string, agency_id string, title_id string"),
+        spark.createDataFrame(offices, "agency_id string, name string, short_name string"),
+        spark.createDataFrame([("T1", "Giám đốc")], "title_id string, title string"),
+    )
+    return tables, truth
+
+
+@pytest.mark.parametrize("times", [1, 10])
+def test_recall_on_larger_registers(spark, times):
+    tables, truth = grown_register(spark, times)
+    got = N.resolve_documents(*tables).collect()
+    for column, at in (("signer", 0), ("issuer", 1)):
+        links = {r.record_id: r.entity_id for r in got if r.field == column}
+        right = sum(links.get(i) == t[at] for i, t in truth.items())
+        wrong = sum(links.get(i) not in (None, t[at]) for i, t in truth.items())
+        print(times, column, right, wrong, len(truth), sum(r.n > 1 for r in got if r.field == column))
+        assert right >= 0.96 * len(truth) and wrong <= 0.01 * len(truth)
