@@ -2,8 +2,9 @@
 
 Names meet by token suffixes: typed and registered names are exploded into the suffixes of
 their tokens and joined on them. Of each suffix there is a key alone and keys with another field (the kind of office of
-an organisation, the organisation or the title of a person). A suffix that more than a given number of entries
-have counts only with such a field, and is left out only if it is still common then. Pairs that meet are compared by
+an organisation, the organisation or the title of a person), and of each token one with every other near it.
+A suffix that more than a given number of entries have counts only with such a field or token, and is left out only
+if it is still common then, so the entries that a name is compared with don't grow with the register. Pairs that meet are compared by
 the ratio of their longest common subsequence, on forms without accents in which the keystrokes of the usual input
 methods (doubled letters, w, tone letters and digits) are resolved.
 """
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from .lookalikes import consistent
 
-#: Shortest proper suffix of a token, entries beyond which a suffix is common.
-LEAST, COMMON = 3, 25
+#: Shortest proper suffix of a token, entries beyond which a suffix is common, distance of tokens that refine each other.
+LEAST, COMMON, APART = 3, 25, 4
 # Words before a name that are no part of it, and words of birth order and kinship.
 HONORIFICS = {"ong", "ba", "anh", "chi", "bac", "co", "chu", "cau", "di", "ks", "ths", "ts", "gs", "pgs", "bs", "ls", "cn", "dc", "tskh", "cvc", "cv"}
 BIRTH_ORDER = {"ca", "hai", "ba", "tu", "nam", "sau", "bay", "tam", "chin", "muoi", "ut"}
@@ -254,6 +255,11 @@ def suffixes(parts: tuple[str, ...] | list[str]) -> set[str]:
     return {p[i:] for p in parts for i in range(len(p)) if i == 0 or len(p) - i >= LEAST}
 
 
+def together(parts: tuple[str, ...] | list[str]) -> set[str]:
+    """Pairs of tokens that are at most `APART` apart, in whatever order."""
+    return {"+".join(sorted((a, b))) for i, a in enumerate(parts) for b in parts[i + 1 : i + 1 + APART] if len(a) > 1 and len(b) > 1 and a != b}
+
+
 _KINDS = {"string": pa.string(), "double": pa.float64(), "bigint": pa.int64()}
 
 
@@ -293,6 +299,8 @@ def _entry_keys(rows: Iterator[tuple]) -> Iterator[tuple]:
         for s in suffixes(parts) | {"=" + e for e in exact}:
             for key in _keys(kind, s, fields):
                 yield key, kind, entity, name, short, office, title
+        for pair in together(parts):
+            yield f"{kind}:{pair}", kind, entity, name, short, office, title
 
 
 _ENTRY = "kind string, entity_id string, name string, short_name string, office string, title string"
@@ -305,7 +313,7 @@ def register_index(register: DataFrame) -> DataFrame:
     it, twice as many for persons; with a field while at most twice as many have both.
     """
     keys = _mapped(register.where("name is not null and entity_id is not null"), _entry_keys, f"key string, {_ENTRY}").distinct()
-    most = F.lit(COMMON) * F.when(F.col("key").startswith(PERSON), 2).otherwise(1) * F.when(F.col("key").contains("|"), 2).otherwise(1)
+    most = F.lit(COMMON) * F.when(F.col("key").startswith(PERSON), 2).otherwise(1) * F.when(F.col("key").rlike("[|+]"), 2).otherwise(1)
     usable = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("key")
     return keys.join(usable, "key")
 
@@ -318,10 +326,12 @@ def _typed_keys(rows: Iterator[tuple]) -> Iterator[tuple]:
             field = f"office {office}" if office is not None else f"title {title}"
             for s in suffixes([p for f in forms for p in f if len(p) > 1]) | {"=" + "".join(f) for f in forms}:
                 seen.update(_keys(kind, s, (field,)))
+            seen.update(f"{kind}:{pair}" for f in forms for pair in together(f))
         else:
             for f in (office_forms if kind == OFFICE else title_forms)(value):
                 for s in {"=" + "".join(f)} | suffixes(f):
                     seen.update(_keys(kind, s, (f[0],)))
+                seen.update(f"{kind}:{pair}" for pair in together(f))
         for key in seen:
             yield key, value, ctx, office, title
 
