@@ -15,11 +15,17 @@ CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХҮҺԌԚԜаеѕіјорсу
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορυχϲϳ", "ABEZHIKMNOPTYXaikvopuxcj"))
 ARMENIAN = dict(zip("ՕՍԼհոսօցյ", "OULhnuogj"))
 CHEROKEE = dict(zip("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᎽᏀᏃᏚᏞᏟᏢᏦᏩᏴ", "DRTAJEWMHYGZSLCPKGB"))
+CYRILLIC_RARE = dict(zip("ѴѵԌᴦꙆꙇ", "VvGrIi"))
+GREEK_RARE = dict(zip("ϹͿγσ", "CJyo"))
+COPTIC = dict(zip("ⲎⲒⲔⲘⲚⲞⲟⲢⲣⲤⲥⲦⲨⲬⲭ", "HIKMNOoPpCcTYXx"))
+LISU = dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"))
 #: Letters used in place of Đ and đ.
 STROKED = {"Ð": "Đ", "Ɖ": "Đ", "ð": "đ", "ɖ": "đ"}
 # End of the fixed values.
 
-CONFUSABLE = CYRILLIC | GREEK | ARMENIAN | CHEROKEE
+CONFUSABLE = CYRILLIC | CYRILLIC_RARE | GREEK | GREEK_RARE | ARMENIAN | CHEROKEE | COPTIC | LISU
+
+
 def _class(*ranges: int | tuple[int, int]) -> str:
     """The inside of a character class."""
     return "".join(re.escape(chr(r)) if isinstance(r, int) else f"{chr(r[0])}-{chr(r[1])}" for r in ranges)
@@ -37,7 +43,7 @@ _SINGLE = _WIDE | {ord(a): b for a, b in STROKED.items()}
 _BLANK = re.compile(f"[{BLANKS}]")
 _DROP = re.compile(f"[{WIDTHLESS}]")
 _ODD = re.compile(f"[{BLANKS}{WIDTHLESS}{''.join(STROKED)}\uff01-\uff5e]")
-_SCRIPTED = re.compile("[\u0370-\u052f\u0531-\u058f\u13a0-\u13ff\u1f00-\u1fff]")
+_SCRIPTED = re.compile("[\u0370-\u052f\u0531-\u058f\u13a0-\u13ff\u1c80-\u1c8f\u1d26-\u1d2b\u1f00-\u1fff\u2c80-\u2cff\u2de0-\u2dff\ua4d0-\ua4ff\ua640-\ua69f\uab70-\uabbf]")
 _TOKEN = re.compile(r"[^\W_](?:[^\W_]|[\u0300-\u036f])*")
 
 LATIN, ANY = frozenset({"Latn"}), None
@@ -50,7 +56,7 @@ def scripts(char: str) -> frozenset[str] | None:
     if not char.isalpha():
         return ANY
     own = name.split(" ", 1)[0]
-    found = {"LATIN": "Latn", "CYRILLIC": "Cyrl", "GREEK": "Grek", "ARMENIAN": "Armn", "CHEROKEE": "Cher", "CJK": "Hani", "HIRAGANA": "Hira", "KATAKANA": "Kana", "HANGUL": "Hang"}.get(own, own)
+    found = {"LATIN": "Latn", "CYRILLIC": "Cyrl", "GREEK": "Grek", "ARMENIAN": "Armn", "CHEROKEE": "Cher", "COPTIC": "Copt", "LISU": "Lisu", "CJK": "Hani", "HIRAGANA": "Hira", "KATAKANA": "Kana", "HANGUL": "Hang"}.get(own, own)
     return frozenset({found, "Latn"} if char in CONFUSABLE else {found})
 
 

@@ -15,6 +15,7 @@ import os
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -109,15 +110,31 @@ class Tokenizer:
         self.used = 0
 
     def _merge(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token: the pair of lowest rank is merged until none is left."""
-        ranks = self.ranks
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best, at = min(((ranks.get(a + b, 1 << 40), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))), default=(1 << 40, 0))
-            if best == 1 << 40:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        """The ids of one pre-token: the pair of lowest rank is merged until none is left; n log n, however long a run is."""
+        ranks, size = self.ranks, len(piece)
+        if piece in ranks:
+            return [ranks[piece]]
+        ends = list(range(1, size + 1))  # of the part that begins at each place
+        before = list(range(-1, size))  # beginning of the part before
+        heap = [(r, i, i + 2) for i in range(size - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
+        heapify(heap)
+        while heap:
+            _, i, end = heappop(heap)
+            if not ends[i] or ends[i] == size or ends[ends[i]] != end:
+                continue  # one of the two is another part by now
+            gone = ends[i]
+            ends[gone], ends[i] = 0, end
+            if end < size:
+                before[end] = i
+                if (r := ranks.get(piece[i : ends[end]])) is not None:
+                    heappush(heap, (r, i, ends[end]))
+            if before[i] >= 0 and (r := ranks.get(piece[before[i] : end])) is not None:
+                heappush(heap, (r, before[i], end))
+        out, i = [], 0
+        while i < size:
+            out.append(ranks[piece[i : ends[i]]])
+            i = ends[i]
+        return out
 
     def _learn(self, piece: str) -> int:
         ids = self.merge(piece.encode("utf-8", "replace"))

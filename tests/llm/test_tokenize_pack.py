@@ -35,7 +35,8 @@ def test_ids_equal_the_public_library():
 
 def test_own_merging_equals_the_library():
     own = K.tokenizer("byte_bpe_50k")
-    for word in (" xin", "chào", "Điều", "ộ", "aaaaaaaaaaaaaaaa", "\ud800x"):
+    rnd = random.Random(8)
+    for word in (" xin", "chào", "Điều", "ộ", "aaaaaaaaaaaaaaaa", "\ud800x", "ab" * 50_000, *("".join(rnd.choice("aăâeêintghươ ") for _ in range(rnd.randint(1, 40))) for _ in range(500))):
         assert own._merge(word.encode("utf-8", "replace")) == list(own.merge(word.encode("utf-8", "replace")))
 
 
