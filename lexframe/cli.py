@@ -20,13 +20,17 @@ def _rows(spark: SparkSession, path: str):
 
 def run_list(spark, a) -> None:
     options = {"path": a.source} if not a.source.startswith("http") else {"url": a.source}
-    options |= {"pageSize": a.page_size, "typeId": a.type_id, "keyword": a.keyword, "maxPages": 0 if a.all_pages else a.max_pages, "afterPage": a.after_page}
-    items = listing.read_listing(spark, **options)
+    options |= {"pageSize": a.page_size, "typeId": a.type_id, "keyword": a.keyword, "maxPages": 0 if a.all_pages else a.max_pages, "afterPage": a.after_page, "onError": "row"}
+    read = listing.read_listing(spark, **options).persist()
+    unread = read.where("error is not null").select("list_page", "type_id", "keyword", "error")
+    items = read.where("error is null").drop("error")
     if a.doc_type:
         items = items.where(collection.matches_type(F.col("doc_type"), F.col("title"), a.doc_type))
     if a.limit:
         items = items.orderBy(F.desc("issue_date"), "item_id").limit(a.limit)
     sinks.append_state(items, a.out)
+    sinks.append_state(unread, f"{a.out}_unread")
+    read.unpersist()
 
 
 def run_inventory(spark, a) -> None:

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import bound
+
 SEP = "__"
 
 
@@ -141,22 +143,29 @@ def diagram_relations(raw: Column) -> Column:
 
     `ids` holds, in order, the id of each entry of the list, null for an entry that is no object or
     has none. Lists that are none, codes outside 1 to 15 and unreadable JSON give nothing.
+
+    The text is read once and bound; of each member the lists that are there are taken, not every code that could be.
     """
-    whole = F.try_parse_json(raw)
-    inner = F.try_variant_get(whole, "$.data", "variant")
-    body = F.when(F.schema_of_variant(inner).startswith("OBJECT"), inner).otherwise(whole)
-    parts = []
-    for direction, member in DIRECTIONS.items():
-        for code in CODES:
-            entries = F.try_variant_get(body, f"$.{member}['{code}']", "array<variant>")
-            ids = F.transform(entries, _entry_id)
-            parts.append(F.struct(F.lit(code).alias("code"), F.lit(direction).alias("direction"), ids.alias("ids")))
-    return F.filter(F.array(*parts), lambda p: p["ids"].isNotNull())
+
+    def lists(body: Column, direction: str) -> Column:
+        members = F.map_entries(F.try_variant_get(body, f"$.{DIRECTIONS[direction]}", "map<string,variant>"))
+        known = F.filter(members, lambda m: m["key"].isin(*CODES) & F.schema_of_variant(m["value"]).startswith("ARRAY"))
+        made = F.transform(known, lambda m: F.struct(m["key"].alias("code"), F.lit(direction).alias("direction"), F.transform(F.try_variant_get(m["value"], "$", "array<variant>"), _entry_id).alias("ids")))
+        return F.coalesce(made, F.array().cast("array<struct<code:string,direction:string,ids:array<string>>>"))
+
+    def relations(body: Column) -> Column:
+        return F.concat(*(lists(body, d) for d in DIRECTIONS))
+
+    def body(whole: Column) -> Column:
+        inner = F.try_variant_get(whole, "$.data", "variant")
+        return F.when(F.schema_of_variant(inner).startswith("OBJECT"), inner).otherwise(whole)
+
+    return bound(F.try_parse_json(raw), lambda whole: bound(body(whole), relations))
 
 
 def _entry_id(entry: Column) -> Column:
     def text(name: str) -> Column:
         v = F.try_variant_get(entry, f"$.{name}", "variant")
-        return F.when(F.schema_of_variant(v).rlike("^(STRING|BIGINT|DECIMAL|DOUBLE)"), F.nullif(F.try_variant_get(v, "$", "string"), F.lit("")))
+        return bound(v, lambda x: F.when(F.schema_of_variant(x).rlike("^(STRING|BIGINT|DECIMAL|DOUBLE)"), F.nullif(F.try_variant_get(x, "$", "string"), F.lit(""))))
 
     return F.coalesce(text("id"), text("docId"))

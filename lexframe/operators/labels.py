@@ -15,6 +15,10 @@ METADATA = ("attribute_json.metadata.", "schema_json.current_document.")
 # End of the fixed values.
 
 
+#: Rows that are ranked together.
+RANKED = 65_536
+
+
 def json_depth(df: DataFrame, column: str) -> int:
     """The most containers within each other in the JSON texts of a column; 0 where there are none. Brackets in strings don't count."""
     marks = F.col(column)
@@ -162,9 +166,15 @@ def split_by_digest(df: DataFrame, key: str, ratios: tuple[float, float, float]
 
 
 def systematic_sample(df: DataFrame, key: str, size: int) -> DataFrame:
-    """Every n/size-th row in the order of the key: places floor(i * n / size); all rows where there are no more than `size`."""
-    n = df.agg(F.count("*").alias("n")).select("n").scalar()
-    ranked = df.withColumn("_range", F.floor(F.col(key) / F.lit(65_536)))
+    """Every n/size-th row in the order of the key, a number: places floor(i * n / size); all rows where there are no more than `size`.
+
+    Rows are ranked in ranges of keys that would hold `RANKED` rows each if the keys were spread evenly, so there are as many
+    ranges as the rows need, however far apart the keys lie. Rows with a null key come first.
+    """
+    sums = df.agg(F.count("*").alias("n"), F.min(key).cast("double").alias("low"), F.max(key).cast("double").alias("high"))
+    n, low, high = (sums.select(c).scalar() for c in ("n", "low", "high"))
+    width = F.greatest((high - low) / F.greatest(F.ceil(n / F.lit(RANKED)), F.lit(1)), F.lit(1.0))
+    ranked = df.withColumn("_range", F.coalesce(F.floor((F.col(key).cast("double") - low) / width), F.lit(-1).cast("bigint")))
     sizes = ranked.groupBy("_range").agg(F.count("*").alias("_n"))
     starts = sizes.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
     own = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1

@@ -81,8 +81,8 @@ def infer_entities(df: DataFrame, text: str, keys: list[str], classifier: TokenC
     """
     tokens = token_features(df, text, keys)
     labelled = sequence.above_threshold(classifier.predict(tokens), threshold)
-    windows = sequence.chunk_windows(tokens, keys, max_length, stride).select(*keys, "chunk_id", F.col("first_token").alias("_f"), F.col("last_token").alias("_l"))
-    inside = labelled.join(windows, keys).where("token_no between _f and _l")
+    windows = sequence.chunk_windows(tokens, keys, max_length, stride).select(*keys, "chunk_no", "chunk_id")
+    inside = sequence.in_windows(labelled, keys, max_length, stride).join(windows, [*keys, "chunk_no"]).drop("chunk_no")
     decoded = spans.decode_bio(inside, [*keys, "chunk_id"], ["token_no"])
     merged = spans.merge_entities(decoded, keys).select(*keys, "label", "start_char", "end_char", "confidence", "chunk_ids")
     if rules is not None:

@@ -46,7 +46,8 @@ def chunk_inputs(tokens: DataFrame, keys: list[str], max_length: int, stride: in
     `max_length` ids, so what is gathered for one is bounded.
     """
     windows = chunk_windows(tokens, keys, max_length, stride, len(first) + len(last))
-    inside = windows.join(tokens.select(*keys, "token_no", "token_id", F.col("start_char").alias("_s"), F.col("end_char").alias("_e")), keys).where("token_no between first_token and last_token")
+    placed = in_windows(tokens, keys, max_length, stride, len(first) + len(last))
+    inside = windows.join(placed.select(*keys, "chunk_no", "token_no", "token_id", F.col("start_char").alias("_s"), F.col("end_char").alias("_e")), [*keys, "chunk_no"])
     held = inside.groupBy(*keys, "chunk_no", "chunk_id", "start_char", "end_char").agg(F.array_sort(F.collect_list(F.struct("token_no", "token_id", "_s", "_e"))).alias("t"))
     special = lambda ids: F.array(*[F.lit(i) for i in ids]).cast("array<int>")
     zero = lambda n: F.expr(f"array_repeat(named_struct('start', 0, 'end', 0), {n})")
@@ -55,12 +56,8 @@ def chunk_inputs(tokens: DataFrame, keys: list[str], max_length: int, stride: in
     return held.select(*keys, "chunk_no", "chunk_id", "start_char", "end_char", ids.alias("input_ids"), F.array_repeat(F.lit(1), F.size(ids)).alias("attention_mask"), offsets.alias("offset_mapping"))
 
 
-def chunk_windows(tokens: DataFrame, keys: list[str], max_length: int = 256, stride: int = 64, specials: int = 2) -> DataFrame:
-    """(keys, chunk_no, chunk_id, first_token, last_token, start_char, end_char) of windows that overlap by `stride` tokens.
-
-    A window has room for max_length - specials tokens; the last one reaches the end. Texts without
-    tokens have none here: `empty_chunks` gives them theirs.
-    """
+def in_windows(tokens: DataFrame, keys: list[str], max_length: int = 256, stride: int = 64, specials: int = 2) -> DataFrame:
+    """`tokens` with `chunk_no`, one row for each window that the token lies in; a window after the last one may be among them."""
     capacity = max_length - specials
     if capacity <= 0 or stride >= capacity:
         raise ValueError("max_length must exceed special tokens and stride")
@@ -68,7 +65,16 @@ def chunk_windows(tokens: DataFrame, keys: list[str], max_length: int = 256, str
     # a token lies in the windows whose start is at most step-aligned below it and less than `capacity` before it
     first = F.greatest(F.lit(0), F.ceil((F.col("token_no") - capacity + 1) / F.lit(step))).cast("int")
     last = F.floor(F.col("token_no") / F.lit(step)).cast("int")
-    placed = tokens.select(*keys, "token_no", "start_char", "end_char", F.explode(F.sequence(first, last)).alias("chunk_no"))
+    return tokens.withColumn("chunk_no", F.explode(F.sequence(first, last)))
+
+
+def chunk_windows(tokens: DataFrame, keys: list[str], max_length: int = 256, stride: int = 64, specials: int = 2) -> DataFrame:
+    """(keys, chunk_no, chunk_id, first_token, last_token, start_char, end_char) of windows that overlap by `stride` tokens.
+
+    A window has room for max_length - specials tokens; the last one reaches the end. Texts without
+    tokens have none here: `empty_chunks` gives them theirs.
+    """
+    placed = in_windows(tokens.select(*keys, "token_no", "start_char", "end_char"), keys, max_length, stride, specials)
     windows = placed.groupBy(*keys, "chunk_no").agg(F.min("token_no").alias("first_token"), F.max("token_no").alias("last_token"), F.min("start_char").alias("start_char"), F.max("end_char").alias("end_char"))
     # a window is the last one when the one before it already reaches the end of the text
     before = F.lag("last_token").over(Window.partitionBy(*keys).orderBy("chunk_no"))

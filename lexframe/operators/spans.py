@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.text import bound, is_blank
 
 
+#: Needles that go to all tasks as literals; letters of a needle by which it meets texts where there are more.
+LISTED, HEAD = 1_000, 4
+
+
 def folded(text: Column) -> Column:
     """The text in lower case; null where that isn't as long, as offsets would shift."""
     return bound(F.lower(text), lambda low: F.when(F.length(low) == F.length(text), low))
@@ -34,33 +38,61 @@ def occurrences(text: Column, needle: Column, low: Column | None = None) -> Colu
     return F.when(needle != "", bound(parts, starts)).otherwise(none)
 
 
+def _literals(rows: list) -> Column:
+    kind = "array<struct<label:string,variant:string>>"
+    return F.array(*(F.struct(F.lit(r.label).alias("label"), F.lit(r.variant).alias("variant")) for r in rows)).cast(kind)
+
+
+def _headed(df: DataFrame, keys: list[str], needles: DataFrame) -> DataFrame:
+    """(keys, _text, _low, label, variant) of the texts and the needles that begin somewhere in them."""
+    heads = F.array(*(F.struct(F.substring(c, 1, HEAD).alias("head"), F.lit(k).alias("low")) for k, c in ((True, F.lower("variant")), (False, F.col("variant")))))
+    headed = needles.select("label", "variant", F.explode(heads).alias("h")).select("label", "variant", "h.*")
+    sizes = F.array(*map(F.lit, headed.agg(F.array_sort(F.collect_set(F.length("head")))).first()[0]))  # HEAD numbers at most
+    searched = F.coalesce("_low", "_text")
+    begun = df.select(*keys, F.col("_low").isNotNull().alias("low"), searched.alias("s"), F.explode(sizes).alias("size")).where("length(s) >= size")
+    begun = begun.select(*keys, "low", "s", "size", F.explode(F.sequence(F.lit(1), F.length("s") - F.col("size") + 1)).alias("at"))
+    begun = begun.select(*keys, "low", F.substring("s", F.col("at"), F.col("size")).alias("head")).distinct()
+    return df.join(begun.join(headed, ["head", "low"]).drop("head", "low").distinct(), keys)
+
+
 def find_spans(df: DataFrame, text: str, needles: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, label, start_char, end_char): where the variants of values stand in the texts of `df`.
 
     `needles` has columns `label` and `variant` and, where it shares keys with `df`, is joined on
-    them; without shared keys it must be a short list of literals, which is sent to all tasks only
-    when it has at most 10,000 rows.
+    them. Without shared keys every needle is looked for in every text: a list of up to `LISTED` goes to all tasks as
+    literals. Of a longer one needles and texts meet on the needle's first `HEAD` letters, so a text is searched for those
+    only of which it has the beginning.
     """
     shared = [k for k in keys if k in needles.columns]
     df = df.select(*keys, F.col(text).alias("_text"), folded(F.col(text)).alias("_low"))
     if shared:
         joined = df.join(needles, shared)
     else:
-        rows = needles.select("label", "variant").where("variant <> ''").limit(10_001).collect()
-        if len(rows) > 10_000:
-            raise ValueError("a needle list without keys is limited to 10,000 rows")
-        listed = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.variant).alias("variant")) for r in rows]) if rows else F.array().cast("array<struct<label:string,variant:string>>")
-        joined = df.select("*", F.explode(listed).alias("n")).select("*", "n.label", "n.variant").drop("n")
+        listed = needles.select("label", "variant").where("variant <> ''").distinct()
+        rows = listed.limit(LISTED + 1).collect()
+        joined = _headed(df, keys, listed) if len(rows) > LISTED else df.select("*", F.explode(_literals(rows)).alias("n")).select("*", "n.label", "n.variant").drop("n")
     at = joined.select(*keys, "label", F.length("variant").alias("size"), F.explode(occurrences(F.col("_text"), F.col("variant"), F.col("_low"))).alias("start_char"))
     return at.select(*keys, "label", "start_char", (F.col("start_char") + F.col("size")).alias("end_char")).distinct()
 
 
+def _clusters(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """`spans` with `_cluster`: the number of its group of spans of one text that hang together by overlaps.
+
+    What is chosen in one group says nothing about another, so folds are over the spans of a group, which is short, and not over
+    all of a text.
+    """
+    w = Window.partitionBy(*keys).orderBy("start_char", "end_char")
+    reach = F.max("end_char").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    begins = spans.withColumn("_begins", F.when(F.col("start_char") < reach, 0).otherwise(1))
+    return begins.withColumn("_cluster", F.sum("_begins").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_begins")
+
+
 def resolve_overlaps(spans: DataFrame, keys: list[str]) -> DataFrame:
     """`spans` (keys, label, start_char, end_char) with `accepted` and `rejection_reason`.
 
     In order of start, longest first, then label, a span is accepted unless it overlaps one accepted
     before; the reason names the label of the first such. As accepted spans are disjoint and in order, only
-    the one that ends last can overlap: a fold over the spans of one text keeps just that.
+    the one that ends last can overlap: a fold over the spans that hang together keeps just that.
     """
     order = F.array_sort(F.collect_list(F.struct("start_char", (-(F.col("end_char") - F.col("start_char"))).alias("size"), "label", "end_char")))
     folded = F.aggregate(
@@ -85,7 +117,7 @@ def resolve_overlaps(spans: DataFrame, keys: list[str]) -> DataFrame:
         lambda a: a["out"],
     )
     typed = spans.select(*keys, "label", F.col("start_char").cast("int").alias("start_char"), F.col("end_char").cast("int").alias("end_char"))
-    return typed.groupBy(*keys).agg(order.alias("spans")).select(*keys, F.inline(folded))
+    return _clusters(typed, keys).groupBy(*keys, "_cluster").agg(order.alias("spans")).select(*keys, F.inline(folded))
 
 
 def decode_bio(tokens: DataFrame, keys: list[str], order: list[str], gap: bool = True) -> DataFrame:
@@ -129,7 +161,7 @@ def greedy_select(entities: DataFrame, keys: list[str]) -> DataFrame:
         ).otherwise(F.concat(a, F.array(F.struct(s["label"].alias("label"), s["start_char"].alias("start_char"), s["end_char"].alias("end_char"), s["confidence"].alias("confidence"))))),
     )
     typed = entities.select(*keys, "label", F.col("start_char").cast("int").alias("start_char"), F.col("end_char").cast("int").alias("end_char"), F.col("confidence").cast("double").alias("confidence"))
-    return typed.groupBy(*keys).agg(F.array_sort(F.collect_list(rank)).alias("ranked")).select(*keys, F.inline(chosen))
+    return _clusters(typed, keys).groupBy(*keys, "_cluster").agg(F.array_sort(F.collect_list(rank)).alias("ranked")).select(*keys, F.inline(chosen))
 
 
 def blocks_of(df: DataFrame, text: str, keys: list[str]) -> DataFrame:

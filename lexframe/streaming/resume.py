@@ -14,35 +14,63 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 class KeyedTable:
-    """A table with one row for each key, in parquet, kept in numbered versions.
+    """A table with one row for each key, in parquet, kept in versions of buckets of keys.
 
-    A merge writes the next version whole and then the mark that makes it current, so a run that ends in between,
-    or a batch that comes again, leaves the table as it was. Rows win by the greatest `order`.
+    A merge rewrites only the buckets that its rows fall into, as parts of the next version, and then writes the mark
+    that makes them current, so a run that ends in between, or a batch that comes again, leaves the table as it
+    was. Parts that a later version replaces are removed once `kept` more versions are there, for readers that still
+    use them. Rows win by the greatest `order`. `buckets` must stay the same for a table.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, key: str, order: str):
-        self.spark, self.folder, self.key, self.order = spark, folder, key, order
+    def __init__(self, spark: SparkSession, folder: str, key: str, order: str, buckets: int = 64, kept: int = 2):
+        self.spark, self.folder, self.key, self.order, self.buckets, self.kept = spark, folder, key, order, buckets, kept
 
-    def _versions(self) -> list[int]:
+    def _marks(self) -> list[tuple[int, list[int]]]:
+        """(version, its buckets), ascending."""
         marks = f"{self.folder}/_current"
-        return sorted(int(r.value) for r in self.spark.read.text(marks).distinct().collect()) if _exists(self.spark, marks) else []
+        rows = self.spark.read.schema("version int, buckets array<int>").json(marks).distinct().collect() if _exists(self.spark, marks) else []
+        return sorted((r.version, list(r.buckets)) for r in rows)
+
+    def _part(self, version: int, bucket: int) -> str:
+        return f"{self.folder}/v{version}/_bucket={bucket}"
+
+    def _read(self, buckets: list[int] | None = None) -> DataFrame | None:
+        current = {b: v for v, own in self._marks() for b in own if buckets is None or b in buckets}
+        if not current:
+            return None
+        return self.spark.read.option("mergeSchema", "true").parquet(*(self._part(v, b) for b, v in sorted(current.items())))
 
     def read(self) -> DataFrame | None:
-        versions = self._versions()
-        return self.spark.read.parquet(f"{self.folder}/v{versions[-1]}") if versions else None
+        return self._read()
 
     def merge(self, rows: DataFrame, batch: int) -> None:
         """The table with `rows` merged in; a batch that is already part of it changes nothing."""
-        versions = self._versions()
+        marks = self._marks()
         version = batch + 1
-        if versions and version <= versions[-1]:
+        if marks and version <= marks[-1][0]:
             return
-        old = self.read()
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        rows = rows.where(F.col(self.key).isNotNull())
+        touched = sorted(r[0] for r in rows.select(bucket).distinct().collect())  # at most `buckets` rows
+        old = self._read(touched) if touched else None
         every = rows if old is None else old.unionByName(rows, allowMissingColumns=True)
         rest = [c for c in every.columns if c != self.key]
-        merged = every.where(F.col(self.key).isNotNull()).groupBy(self.key).agg(F.max_by(F.struct(*rest), F.struct(self.order, F.xxhash64(*rest))).alias("_r")).select(self.key, "_r.*")
-        merged.write.mode("overwrite").parquet(f"{self.folder}/v{version}")
-        self.spark.createDataFrame([(str(version),)], "value string").coalesce(1).write.mode("append").text(f"{self.folder}/_current")
+        merged = every.groupBy(self.key).agg(F.max_by(F.struct(*rest), F.struct(self.order, F.xxhash64(*rest))).alias("_r")).select(self.key, "_r.*")
+        if touched:
+            merged.withColumn("_bucket", bucket).write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.folder}/v{version}")
+        self.spark.createDataFrame([(version, touched)], "version int, buckets array<int>").coalesce(1).write.mode("append").json(f"{self.folder}/_current")
+        self._clear([*marks, (version, touched)])
+
+    def _clear(self, marks: list[tuple[int, list[int]]]) -> None:
+        """Removes parts that one of the versions before the last `kept` ones replaced."""
+        jvm = self.spark.sparkContext._jvm
+        settled = marks[: -self.kept] if self.kept else marks
+        newest = {b: v for v, own in settled for b in own}
+        for version, own in settled:
+            for b in own:
+                if newest[b] > version:
+                    path = jvm.org.apache.hadoop.fs.Path(self._part(version, b))
+                    path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ingest_listing(spark: SparkSession, source: str, schema: str, target: KeyedTable, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> int:

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lexframe.operators import collection as C
@@ -88,12 +89,55 @@ def test_listing_pages(spark, tmp_path):
     read = listing.read_listing(spark, path=str(tmp_path), pageSize=2, typeId="1")
     assert rows(read.select("item_id", "doc_type", "issuer", "list_page"))[0] == ("1-0", "Luật", "o", 1) and read.count() == 5
     assert listing.read_listing(spark, path=str(tmp_path), pageSize=2, afterPage=1, maxPages=1).count() == 2
-    assert listing.read_listing(spark, path=str(tmp_path / "none")).count() == 0
-    assert read.where("keyword = 'k' and title = 't'").count() == 5
+    assert read.where("keyword = 'k' and title = 't'").count() == 0 and read.where("keyword = 't'").count() == 5
     assert listing.total_pages(None, 10) == (0, 0) and listing.total_pages(21, 10) == (21, 3) and listing.total_pages(0, 10) == (0, 1)
     assert listing.with_retries(lambda: {"a": 1}) == {"a": 1} and listing.with_retries(lambda: int("x")) is None
 
 
+def test_listing_asks_and_filters_by_type(spark, tmp_path):
+    assert listing.listing_payload(2, 10, "3", "a b") == {"pageNumber": 2, "pageSize": 10, "keyword": "a b", **listing.ASKED, "docType": [listing.SERVICE_TYPES["thong_tu"]]}
+    assert len(listing.listing_payload(1, 10, "", "")["docType"]) == 26 and "docType" not in listing.listing_payload(1, 10, "other", "")
+    kinds = ["Luật", "Thông tư", "Thông tư liên tịch", {"name": "THÔNG  TƯ"}, ""]
+    titles = ["a", "b", "c", "đê điều", "Thông tư về đê"]
+    write(tmp_path / "page_1.json", json.dumps({"total": 5, "items": [{"id": str(i), "title": t, "docType": k} for i, (k, t) in enumerate(zip(kinds, titles))]}))
+    read = lambda **o: sorted(r.item_id for r in listing.read_listing(spark, path=str(tmp_path), **o).collect())
+    assert read() == list("01234") and read(typeId="thong_tu") == list("134") and read(typeId="luat") == ["0"] and read(typeId="3", keyword="ĐÊ") == list("34")
+    every = listing.read_listing(spark, path=str(tmp_path))
+    assert sorted(r.item_id for r in every.where("type_id = 'thong_tu'").collect()) == list("134")
+    assert listing.read_listing(spark, path=str(tmp_path), typeId="luat").where("type_id = 'thong_tu'").count() == 0
+
+
+def test_pages_that_cannot_be_read(spark, tmp_path):
+    for page in (1, 3):
+        write(tmp_path / f"page_{page}.json", json.dumps({"data": {"total": 3, "items": [{"id": str(page), "title": "t"}]}}))
+    with pytest.raises(Exception, match="page 2 of the listing"):
+        listing.read_listing(spark, path=str(tmp_path), pageSize=1, attempts=1).collect()
+    got = listing.read_listing(spark, path=str(tmp_path), pageSize=1, attempts=1, onError="row").collect()
+    assert sorted((r.list_page, r.item_id, bool(r.error)) for r in got) == [(1, "1", False), (2, None, True), (3, "3", False)]
+    write(tmp_path / "page_2.json", json.dumps({"data": {"total": 3, "items": [{"id": "2", "title": "t"}]}}))
+    assert rows(listing.read_listing(spark, path=str(tmp_path), pageSize=1, pages="2").select("item_id", "list_page")) == [("2", 2)]
+    with pytest.raises(Exception, match="page 1 of the listing"):
+        listing.read_listing(spark, path=str(tmp_path / "none"), attempts=1).count()
+    assert [(r.list_page, r.error is None) for r in listing.read_listing(spark, path=str(tmp_path / "none"), attempts=1, onError="row").collect()] == [(1, False)]
+    write(tmp_path / "empty" / "page_1.json", json.dumps({"data": {"total": 0, "items": []}}))
+    assert listing.read_listing(spark, path=str(tmp_path / "empty")).count() == 0
+
+
+def test_merges_rewrite_only_the_buckets_they_touch(spark, tmp_path):
+    table = resume.KeyedTable(spark, str(tmp_path / "t"), "k", "at", buckets=4, kept=1)
+    row = lambda k, at: spark.createDataFrame([(k, f"{k}{at}", at)], "k string, v string, at int")
+    table.merge(spark.createDataFrame([(str(i), "x", 0) for i in range(40)], "k string, v string, at int"), 0)
+    for batch in range(1, 5):
+        table.merge(row("7", batch), batch)
+    assert table.read().count() == 40 and rows(table.read().where("k = '7'")) == [("7", "74", 4)]
+    parts = sorted(str(p.relative_to(tmp_path / "t").parent) for p in (tmp_path / "t").glob("v*/_bucket=*/*.parquet"))
+    assert len({p for p in parts if p.startswith("v1/")}) == 3 and {p[:2] for p in parts} == {"v1", "v4", "v5"}  # the last one and one more
+    table.merge(row("7", 9), 2)  # a batch that is part of the table
+    assert rows(table.read().where("k = '7'")) == [("7", "74", 4)]
+    table.merge(row("7", 9).limit(0), 5)
+    assert table.read().count() == 40
+
+
 def test_resuming_stream_reads_files_once(spark, tmp_path):
     source, state = tmp_path / "in", str(tmp_path / "state")
     target = resume.KeyedTable(spark, state, "item_id", "at")

@@ -18,6 +18,9 @@ def test_occurrences(spark):
     docs = spark.createDataFrame([(1, "aaaa Điều ĐIỀU"), (2, "ßx İ aa"), (3, None), (4, "")], "id int, text string")
     needles = spark.createDataFrame([("A", "aa"), ("D", "điều"), ("X", "x"), ("E", "")], "label string, variant string")
     got = rows(N.find_spans(docs, "text", needles, ["id"]))
+    listed, N.LISTED = N.LISTED, 1  # as for a list that is too long for literals
+    assert rows(N.find_spans(docs, "text", needles, ["id"])) == got
+    N.LISTED = listed
     assert got == [(1, "A", 0, 2), (1, "A", 2, 4), (1, "D", 10, 14), (1, "D", 5, 9), (2, "A", 5, 7), (2, "X", 1, 2)]
 
 
@@ -156,3 +159,31 @@ def test_quality(spark):
     assert [r[3] for r in rows(Q.overlapping_entities(spans.distinct(), "id"))] == ["B", "C"]
     with pytest.raises(ValueError, match="three ratios"):
         Q.ratios_valid((0.5, 0.5, 0.5))
+
+
+def test_long_texts_and_many_needles(spark):
+    words = [f"từ{i}" for i in range(3_000)]
+    docs = spark.createDataFrame([(1, " ".join(words) + " "), (2, "không có"), (3, None)], "id int, text string")
+    needles = spark.createDataFrame([("W", w + " ") for w in words], "label string, variant string")
+    assert N.find_spans(docs, "text", needles, ["id"]).count() == len(words)
+
+
+def test_many_spans_of_one_text(spark):
+    """What is chosen doesn't depend on where spans hang together."""
+    import random
+
+    rnd = random.Random(3)
+    found = [(1, rnd.choice("AB"), s, s + rnd.randint(1, 9), rnd.randint(0, 9) / 10) for s in (rnd.randint(0, 3_000) for _ in range(800))]
+    df = spark.createDataFrame(list(dict.fromkeys(found)), "id int, label string, start_char int, end_char int, confidence double")
+    end, accepted = -1, []
+    for s in sorted({(s, s - e, label, e) for _, label, s, e, _ in found}):
+        if s[0] >= end:
+            end = s[3]
+            accepted.append((s[0], s[3], s[2]))
+    got = N.resolve_overlaps(df.drop("confidence").distinct(), ["id"]).where("accepted")
+    assert sorted((r.start_char, r.end_char, r.label) for r in got.collect()) == sorted(accepted)
+    chosen = []
+    for c, _, s, label, e in sorted((-c, s - e, s, label, e) for _, label, s, e, c in set(found)):
+        if all(e <= a or b <= s for a, b, _ in chosen):
+            chosen.append((s, e, label))
+    assert sorted((r.start_char, r.end_char, r.label) for r in N.greedy_select(df, ["id"]).collect()) == sorted(chosen)
