@@ -2,9 +2,10 @@
 
 The schema is read as a graph: a node for each struct, an edge for each field. A descendant
 that occurs once per record is inlined as columns of its owner; a descendant that repeats
-(an array or a map), that is reached from several owners, or that contains itself gets a
-table of its own, whose rows carry the key of the record, the place of their owner and their
-own place.
+(an array or a map) gets a table of its own, whose rows carry the key of the record, the place of their owner and their
+own place. Elements with the same columns that are reached by several ways can be kept in one table, with the way
+that each row came by. A schema is finite, so an element that contains itself is spelled out level by level; as its levels
+have the same columns, they come together in such a table, too.
 """
 
 from __future__ import annotations
@@ -39,15 +40,17 @@ class Table:
 
 
 def _shape(kind: T.DataType) -> str:
-    """A structure's identity: the names and types of its fields."""
+    """What elements are told alike by: the names and types of the columns that they become, whatever repeats below them."""
+    if isinstance(kind, T.StructType):
+        return "struct<" + ",".join(f"{f.name}:{_shape(f.dataType)}" for f in kind.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType))) + ">"
     return kind.simpleString()
 
 
 def inline_schema(schema: T.StructType, root: str = "record") -> dict[str, Table]:
     """The tables for `schema`, in order of depth.
 
-    Arrays of structs that have the same fields, wherever they stand, are marked `shared`: their
-    rows can be kept in one table, told apart by the path they came from.
+    Arrays of structs that become the same columns, wherever they stand, are marked `shared`: `flatten_records` can keep their
+    rows in one table, told apart by the path they came from.
     """
     tables: dict[str, Table] = {root: Table(root, None, ())}
 
@@ -86,13 +89,16 @@ def _get(base: Column, path: tuple[str, ...]) -> Column:
 
 
 def flatten_records(
-    df: DataFrame, key: str, columns: list[str] | None = None, root: str = "record", carry: dict[str, list[str]] | None = None
+    df: DataFrame, key: str, columns: list[str] | None = None, root: str = "record", carry: dict[str, list[str]] | None = None, shared: bool = False
 ) -> dict[str, DataFrame]:
     """The flat tables of `df`, by name; `key` identifies a record.
 
     `carry` names, for a child table, columns of its owner that its rows repeat (with a leading
     ``_``), where a join over the foreign key would cost a shuffle.
 
+    With `shared`, tables whose elements have the same columns are one, under the name of the first; its rows have
+    `_path`, the name of the table that each would stand in.
+
     Each child row has `_key` (of the record), `_parent_place` (places of its owners, joined by
     ``.``; empty below the root), `_place` (1 for the first, null entries counted) and, for maps,
     `_map_key`. Null entries of an array give no row but keep their place; null and empty arrays
@@ -126,11 +132,28 @@ def flatten_records(
         here = F.when(F.col("_parent_place") == "", F.col("_place").cast("string")).otherwise(F.concat_ws(".", "_parent_place", F.col("_place").cast("string")))
         rows[t.name] = out.withColumn("_places", here)
         made[t.name] = out.select("_key", "_parent_place", "_place", *extra, *[f"_{c}" for c in names], *[_get(F.col("_row"), p).alias(_free(c)) for c, p in t.columns.items()])
-    return made
+    return _together(made, plan) if shared else made
+
+
+def _together(made: dict[str, DataFrame], plan: dict[str, Table]) -> dict[str, DataFrame]:
+    """The tables with those of one shape united."""
+    out: dict[str, DataFrame] = {}
+    first: dict[str, str] = {}
+    for name, df in made.items():
+        t = plan[name]
+        if not t.shared:
+            out[name] = df
+            continue
+        rows = df.withColumn("_path", F.lit(name)).withColumn("_place", F.col("_place").cast("string"))
+        rows = rows if "_map_key" in df.columns else rows.withColumn("_map_key", F.lit(None).cast("string"))
+        rows = rows.withColumn("_map_key", F.col("_map_key").cast("string"))
+        owner = first.setdefault(t.shape, name)
+        out[owner] = out[owner].unionByName(rows, allowMissingColumns=True) if owner in out else rows
+    return out
 
 
 def _free(name: str) -> str:
-    return name + "_" if name in ("_key", "_parent_place", "_place", "_map_key") else name
+    return name + "_" if name in ("_key", "_parent_place", "_place", "_map_key", "_path") else name
 
 
 #: Members of the relationship diagram and the direction that each stands for.

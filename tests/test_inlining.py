@@ -42,3 +42,17 @@ def test_diagrams(spark):
     assert got[0] == [("3", "outgoing", ["a", None, "12", None, "b", None])]
     assert got[1] == [("15", "incoming", ["20004811"])]
     assert got[2:] == [[]] * 6
+
+
+def test_elements_reached_by_several_ways_share_a_table(spark):
+    leaf = "struct<id:string,name:string>"
+    node = f"struct<id:string,name:string,parts:array<{leaf}>>"
+    df = spark.createDataFrame(
+        [(1, [("a", "x", [("b", None), None])], {"k": ("c", "y")}, [5]), (2, None, {}, None)],
+        f"record_id int, tree array<{node}>, named map<string,{leaf}>, numbers array<int>",
+    )
+    assert {n for n, t in I.inline_schema(df.drop("record_id").schema).items() if t.shared} == {"record.tree", "record.tree.parts", "record.named"}
+    flat = I.flatten_records(df, "record_id", shared=True)
+    assert set(flat) == {"record", "record.tree", "record.numbers"}
+    got = sorted((r["_path"], r["_key"], r["_parent_place"], r["_place"], r["_map_key"], r["id"], r["name"]) for r in flat["record.tree"].collect())
+    assert got == [("record.named", 1, "", "k", "k", "c", "y"), ("record.tree", 1, "", "1", None, "a", "x"), ("record.tree.parts", 1, "1", "1", None, "b", None)]

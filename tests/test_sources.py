@@ -175,3 +175,23 @@ def test_exports(spark, tmp_path):
     import zipfile
 
     assert zipfile.ZipFile(io.BytesIO(bytes(packed.content))).namelist() == ["a", "b"]
+
+
+def test_word_files_from_html(spark):
+    html = """<style>p {}</style><div align="center"><b>QUYẾT ĐỊNH</b></div><h2>Điều 1.</h2><p style="text-align: right">một <i>hai</i><br>ba &amp; 4</p>
+    <ul><li>x<ol><li>y<li>z</ol></ul><table><tr><td>a<td><p>b</p><p>c</p></tr><tr><th>d<table><tr><td>e</td></tr></table></table>
+    <div style="display: table"><div style="display:table-cell; text-align:center"><div>trái</div></div><div style="display:table-cell">phải</div></div><script>no</script>đuôi"""
+    blocks = files.docx_blocks(sinks.html_docx_bytes(html, "Tên <1>"))
+    texts = [(b["block_type"][:5], b["text"]) for b in blocks if b["text"].strip()]
+    assert texts == [("parag", "Tên <1>"), ("parag", "QUYẾT ĐỊNH"), ("parag", "Điều 1."), ("parag", "một hai\nba & 4"), ("parag", "• x"), ("parag", "  1. y"), ("parag", "  2. z"), ("table", "a"), ("table", "b\nc"), ("table", "d\ne"), ("table", "trái"), ("table", "phải"), ("parag", "đuôi")]
+    assert sorted((b["table_index"], b["row_index"], b["cell_index"]) for b in blocks if b["block_type"] == "table_cell") == [(0, 0, 0), (0, 0, 1), (0, 1, 0), (1, 0, 0), (1, 0, 1)]
+    import io
+    import zipfile
+
+    xml = zipfile.ZipFile(io.BytesIO(sinks.html_docx_bytes(html))).read("word/document.xml").decode()
+    assert '<w:jc w:val="center"/></w:pPr><w:r><w:rPr><w:b/>' in xml and '<w:jc w:val="right"/>' in xml and 'w:val="Heading2"' in xml and "<w:i/>" in xml
+    for broken in ("", "<", "<table>", "<td>a</table>b", "<table><tr>", "</p></div>", "<li>x", "<table>x<tr><td>y", "\x00<p>\ud800"):
+        files.docx_blocks(sinks.html_docx_bytes(broken))
+    df = spark.createDataFrame([(1, "thô", "T", "<p>h</p>", "html"), (2, "thô", "T", "<p>h</p>", "raw_text"), (3, None, None, None, "attachments")], "id int, t string, title string, html string, how string")
+    made = sinks.word_files(df, "id", "t", "title", "html", "how").collect()
+    assert {r.id: [b["text"] for b in files.docx_blocks(bytes(r.content))] for r in made} == {1: ["T", "h"], 2: ["thô"], 3: ["(no content)"]}
