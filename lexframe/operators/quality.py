@@ -63,12 +63,26 @@ def unaccounted(sources: DataFrame, outputs: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "left_anti").select(key, F.lit("no_output").alias("side")).unionByName(b.join(a, key, "left_anti").select(key, F.lit("no_source").alias("side")))
 
 
-def schema_issues(outputs: DataFrame, key: str, required: list[str]) -> DataFrame:
-    """(key, issue): required columns that are null in an output row."""
-    issues = F.array(*[_issue(F.col(c).isNull(), f"missing_{c}") for c in required])
+def schema_issues(outputs: DataFrame, key: str, required: list[str], rules: dict[str, Column] | None = None) -> DataFrame:
+    """(key, issue): required columns that are null in an output row, and `rules` (name -> condition) that a row breaks.
+
+    A condition that is null, as of a missing value, is not broken: that is what `required` is for.
+    """
+    issues = F.array(*[_issue(F.col(c).isNull(), f"missing_{c}") for c in required], *[_issue(~condition, f"bad_{name}") for name, condition in (rules or {}).items()])
     return outputs.select(key, F.explode(F.filter(issues, lambda x: x.isNotNull())).alias("issue"))
 
 
+def document_rules() -> dict[str, Column]:
+    """What a document's output must meet: ids and files that aren't empty, and a hash that is one."""
+    return {"document_id": F.col("document_id") != "", "source_file": F.col("source_file") != "", "source_sha256": F.col("source_sha256").rlike("^[0-9a-f]{64}$")}
+
+
+def entity_rules(confidence: Column, sources: Column | None = None, known: tuple[str, ...] = SOURCES) -> dict[str, Column]:
+    """What an entity must meet: text, offsets from 0 and 1, a confidence from 0 to 1, and, where given, a source that is known."""
+    rules = {"text": F.col("text") != "", "start_char": F.col("start_char") >= 0, "end_char": F.col("end_char") >= 1, "confidence": confidence.between(0, 1)}
+    return rules | ({} if sources is None else {"source": sources.isin(*known)})
+
+
 def stale_sources(outputs: DataFrame, sources: DataFrame, key: str) -> DataFrame:
     """(key, issue): outputs whose source is missing, has another hash, or another length of text."""
     s = sources.select(F.col(key).alias("_k"), F.col("source_sha256").alias("_sha"), F.col("text_length").alias("_n"))

@@ -44,7 +44,9 @@ def span_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_entities_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "vb_documents", "record_id").select("record_id", "full_text")
+    """Phrases that name a relation, with their lines, in the relations of each record followed by its text."""
+    relations = F.nullif(F.array_join(F.transform("relationship_graph.relations", lambda r: F.coalesce(r["relation_type"], F.lit(""))), "\n"), F.lit(""))
+    docs = table(spark, sf_dir, "vb_documents", "record_id").select("record_id", F.concat_ws("\n", relations, "full_text").alias("full_text"))
     kept = docs.withColumn("full_text", F.array_join(F.filter(F.split("full_text", "\n"), lambda x: ~X.is_blank(x)), "\n"))
     found = N.matches_of(kept, "full_text", f"(?iu)(?:{RELATION_PHRASES})", ["record_id"])
     placed = N.in_blocks(found, N.blocks_of(docs, "full_text", ["record_id"]), ["record_id"])
@@ -256,6 +258,14 @@ def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.schema_issues(table(spark, sf_dir, "ner_dataset", "row_id"), "row_id", ["document_id", "source_file", "source_sha256", "text", "entities"])
 
 
+def output_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and entities that don't have the form of an output."""
+    rows = table(spark, sf_dir, "ner_dataset", "row_id")
+    documents = Q.schema_issues(rows, "row_id", ["document_id", "source_sha256"], Q.document_rules())
+    entities = Q.schema_issues(Q.entity_rows(rows, "row_id"), "row_id", ["label", "start_char", "end_char"], Q.entity_rules(F.col("match_score") / 100, F.col("match_method"), ("exact", "normalized")))
+    return documents.unionByName(entities).groupBy("row_id", "issue").agg(F.count("*").alias("n"))
+
+
 def stale_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose hash is not the one that most rows of their document have: the cache is read again only where both agree."""
     rows = table(spark, sf_dir, "ner_dataset", "row_id").where("document_id is not null")
@@ -265,7 +275,7 @@ def stale_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.stale_sources(outputs, best, "document_id").groupBy("issue").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (span_search, span_resolve, rule_entities_blocks, entity_summary, json_flatten_props, json_flatten_diagrams, json_shapes, path_profile, label_schema, weak_labels, weak_dataset, systematic_sample, hash_split, reservoir_topk, dataset_manifest, chunk_windows, token_align, bio_vocab, bio_decode, bio_decode_nogap, entity_merge, confidence_filter, greedy_select, prf_metrics, macro_micro, confusion_overlap, document_counts, sequence_metrics, split_distribution, missing_labels, span_quality, overlap_check, dup_spans, leakage_check, source_accounting, zero_entities, required_fields, stale_outputs)}
+QUERIES = {f.__name__: f for f in (span_search, span_resolve, rule_entities_blocks, entity_summary, json_flatten_props, json_flatten_diagrams, json_shapes, path_profile, label_schema, weak_labels, weak_dataset, systematic_sample, hash_split, reservoir_topk, dataset_manifest, chunk_windows, token_align, bio_vocab, bio_decode, bio_decode_nogap, entity_merge, confidence_filter, greedy_select, prf_metrics, macro_micro, confusion_overlap, document_counts, sequence_metrics, split_distribution, missing_labels, span_quality, overlap_check, dup_spans, leakage_check, source_accounting, zero_entities, required_fields, output_schema, stale_outputs)}
 
 
 def _matches_sql(key: str, text: str, source: str, pattern: str, label: str) -> str:
@@ -315,7 +325,8 @@ _VARIANTS = rf"""leaves as (select record_id, path, value, text from (select rec
  profile as (select path, count(distinct record_id) as documents, count(distinct record_id) / (select count(*) from vb_documents where full_text is not null) as document_rate, count(*) as "values", avg(e::int) as exact_match_rate, avg((not e and f)::int) as normalized_match_rate, avg((e or f)::int) as combined_match_rate, avg(length(value)) as average_length from hits group by 1)"""
 _ENTITY = "(combined_match_rate >= 0.2 and average_length <= 250 and not suffix(path, 'item_id') and not suffix(path, 'url_toanvan') and not starts_with(path, 'attribute_json.metadata.'))"
 _SHA = "sha256('42|' || {0}::varchar)"
-_BLOCKS = f"blocks as (select record_id, n as block_no, line, coalesce(sum(length(line) + 1) over (partition by record_id order by n rows between unbounded preceding and 1 preceding), 0)::bigint as s from ({_LINES.format(k='record_id', t='full_text', f='vb_documents')}) where not regexp_matches(line, {_BLANK}))"
+_RELATED = "(select record_id, concat_ws(chr(10), nullif(array_to_string([coalesce(r.relation_type, '') for r in relationship_graph.relations], chr(10)), ''), full_text) as t from vb_documents)"
+_BLOCKS = f"blocks as (select record_id, n as block_no, line, coalesce(sum(length(line) + 1) over (partition by record_id order by n rows between unbounded preceding and 1 preceding), 0)::bigint as s from ({_LINES.format(k='record_id', t='t', f=_RELATED)}) where not regexp_matches(line, {_BLANK}))"
 
 SQL = {
     "span_search": f"with {_FOUND} select doc_id, label, count(*) as n, sum(start_char)::bigint as sum_start from found group by 1, 2",
@@ -377,3 +388,28 @@ SQL["span_resolve"] = f"""with recursive {_FOUND}, o as (select *, row_number()
   union all select o.doc_id, o.i, o.start_char, o.label, o.start_char >= w.reach, case when o.start_char < w.reach then 'overlap_with_' || w.holder end, case when o.start_char >= w.reach then o.end_char else w.reach end, case when o.start_char >= w.reach then o.label else w.holder end
   from walk w join o on o.doc_id = w.doc_id and o.i = w.i + 1)
  select doc_id, accepted, rejection_reason, count(*) as n, sum(start_char)::bigint as sum_start from walk group by 1, 2, 3"""
+
+SQL["weak_dataset"] = f"""with recursive w as ({SQL['weak_labels']}), o as (select *, row_number() over (partition by record_id order by start_char, start_char - end_char, label) as i from w),
+ walk as (select record_id, i, label, true as accepted, end_char as reach from o where i = 1
+  union all select o.record_id, o.i, o.label, o.start_char >= w.reach, case when o.start_char >= w.reach then o.end_char else w.reach end from walk w join o on o.record_id = w.record_id and o.i = w.i + 1),
+ r as (select record_id, row_number() over (order by {_SHA.format('record_id')}, record_id) - 1 as k, count(*) over () as n from vb_documents where full_text is not null),
+ s as (select record_id, case when k < floor(n * 0.7::double) then 'train' when k < floor(n * 0.7::double) + floor(n * 0.15::double) then 'validation' else 'test' end as split from r)
+ select split, label, count(*) as n_spans, count(distinct s.record_id) as n_records from walk join s on s.record_id = walk.record_id where accepted group by 1, 2"""
+SQL["stale_outputs"] = """with r as (select document_id, source_sha256 as h, length(text) as n from ner_dataset where document_id is not null),
+ c as (select document_id, h, count(*) as k, max(n) as n from r group by 1, 2),
+ b as (select *, row_number() over (partition by document_id order by k desc, coalesce(h, '') desc) as place from c)
+ select issue, count(*) as n from (select case when r.h is distinct from b.h then 'hash_mismatch' when r.n is distinct from b.n then 'length_mismatch' end as issue from r join b on b.document_id = r.document_id and place = 1) where issue is not null group by 1"""
+SQL["json_flatten_diagrams"] = """with recursive nodes as (
+  select record_id, '' as path, relationship_graph.raw::json as j from vb_documents where json_valid(relationship_graph.raw)
+  union all
+  select record_id, case when key is null then path || '[]' when path = '' then key else path || '.' || key end, v from (
+    select record_id, path, key, json_extract(j, '/' || replace(replace(key, '~', '~0'), '/', '~1')) as v from (select record_id, path, j, unnest(json_keys(j)) as key from nodes where json_type(j) = 'OBJECT')
+    union all select record_id, path, null, unnest(json_extract(j, '$[*]')) from nodes where json_type(j) = 'ARRAY'))
+ select path, type, count(*) as n, count(distinct record_id) as n_records from (
+  select record_id, path, case json_type(j) when 'VARCHAR' then 'string' when 'BIGINT' then 'bigint' when 'UBIGINT' then 'bigint' when 'BOOLEAN' then 'boolean' when 'NULL' then 'void' when 'DOUBLE' then 'decimal' end as type from nodes where json_type(j) not in ('OBJECT', 'ARRAY')) group by 1, 2"""
+_HASH = "'^[0-9a-f]{64}$'"
+SQL["output_schema"] = f"""with d as (select row_id, unnest([case when document_id is null then 'missing_document_id' end, case when source_sha256 is null then 'missing_source_sha256' end, case when document_id = '' then 'bad_document_id' end, case when source_file = '' then 'bad_source_file' end, case when not regexp_full_match(source_sha256, {_HASH}) then 'bad_source_sha256' end]) as issue from ner_dataset),
+ e as (select row_id, unnest(entities) as e from ner_dataset),
+ i as (select row_id, unnest([case when e.label is null then 'missing_label' end, case when e.start_char is null then 'missing_start_char' end, case when e.end_char is null then 'missing_end_char' end, case when e.text = '' then 'bad_text' end, case when e.start_char < 0 then 'bad_start_char' end, case when e.end_char < 1 then 'bad_end_char' end,
+   case when e.match_score / 100 < 0 or e.match_score / 100 > 1 then 'bad_confidence' end, case when e.match_method not in ('exact', 'normalized') then 'bad_source' end]) as issue from e where e is not null)
+ select row_id, issue, count(*) as n from (select * from d union all select * from i) where issue is not null group by 1, 2"""

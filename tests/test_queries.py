@@ -12,7 +12,7 @@ DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test data")
 
 
-@pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if not n.startswith("p")] + ["p2_found", "p2_current", "p6_found"])
+@pytest.mark.parametrize("name", entry.oracle_sql())
 def test_query_equals_its_sql(spark, name):
     assert differences(spark, connect(DATA), DATA, name, entry.queries()[name], entry.oracle_sql()[name]) == ""
 
