@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import collection as C
 from ..operators import evaluation as E
 from ..operators import labels as L
 from ..operators import quality as Q
@@ -45,7 +46,8 @@ def span_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_entities_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrases that name a relation, with their lines, in the relations of each record followed by its text."""
-    relations = F.nullif(F.array_join(F.transform("relationship_graph.relations", lambda r: F.coalesce(r["relation_type"], F.lit(""))), "\n"), F.lit(""))
+    names = F.create_map(*(F.lit(x) for code, (name, _) in C.RELATIONS.items() for x in (code, name)))
+    relations = F.nullif(F.array_join(F.transform("relationship_graph.relations", lambda r: F.concat(F.coalesce(F.try_element_at(names, r["relation_type_code"]), F.lit("")), F.lit(": "), F.coalesce(r["relation_type"], F.lit("")))), "\n"), F.lit(""))
     docs = table(spark, sf_dir, "vb_documents", "record_id").select("record_id", F.concat_ws("\n", relations, "full_text").alias("full_text"))
     kept = docs.withColumn("full_text", F.array_join(F.filter(F.split("full_text", "\n"), lambda x: ~X.is_blank(x)), "\n"))
     found = N.matches_of(kept, "full_text", f"(?iu)(?:{RELATION_PHRASES})", ["record_id"])
@@ -325,7 +327,8 @@ _VARIANTS = rf"""leaves as (select record_id, path, value, text from (select rec
  profile as (select path, count(distinct record_id) as documents, count(distinct record_id) / (select count(*) from vb_documents where full_text is not null) as document_rate, count(*) as "values", avg(e::int) as exact_match_rate, avg((not e and f)::int) as normalized_match_rate, avg((e or f)::int) as combined_match_rate, avg(length(value)) as average_length from hits group by 1)"""
 _ENTITY = "(combined_match_rate >= 0.2 and average_length <= 250 and not suffix(path, 'item_id') and not suffix(path, 'url_toanvan') and not starts_with(path, 'attribute_json.metadata.'))"
 _SHA = "sha256('42|' || {0}::varchar)"
-_RELATED = "(select record_id, concat_ws(chr(10), nullif(array_to_string([coalesce(r.relation_type, '') for r in relationship_graph.relations], chr(10)), ''), full_text) as t from vb_documents)"
+_RELATION_NAMES = "map {" + ", ".join(f"{_q(code)}: {_q(name)}" for code, (name, _) in C.RELATIONS.items()) + "}"
+_RELATED = f"(select record_id, concat_ws(chr(10), nullif(array_to_string([coalesce({_RELATION_NAMES}[r.relation_type_code], '') || ': ' || coalesce(r.relation_type, '') for r in relationship_graph.relations], chr(10)), ''), full_text) as t from vb_documents)"
 _BLOCKS = f"blocks as (select record_id, n as block_no, line, coalesce(sum(length(line) + 1) over (partition by record_id order by n rows between unbounded preceding and 1 preceding), 0)::bigint as s from ({_LINES.format(k='record_id', t='t', f=_RELATED)}) where not regexp_matches(line, {_BLANK}))"
 
 SQL = {
