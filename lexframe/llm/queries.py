@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,8 +132,47 @@ _OVERLAPS = f"""w as (select row_id, split, {_WORDS} as w from ner_dataset where
   union select e.row_id, t.row_id from {_SIDES.format(k=_KNOWN.format('source_sha256'))}
   union select e.row_id, t.row_id from ner_dataset e join ner_dataset t on e.text = t.text where e.split <> 'train' and t.split = 'train' and e.text <> '')"""
 
+
+
+def _translation(source: dict[str, str]) -> tuple[str, str]:
+    """The characters of a table, and those composed from them with marks, with what they become; as SQL literals."""
+    pairs = {}
+    for i in range(0x80, 0x1FFFF):
+        base, *marks = unicodedata.normalize("NFD", chr(i))
+        if base in source and len(out := unicodedata.normalize("NFC", source[base] + "".join(marks))) == 1:
+            pairs[chr(i)] = out
+    return "'" + "".join(pairs) + "'", "'" + "".join(pairs.values()) + "'"
+
+
+_WIDE = dict(zip((chr(0xFF01 + i) for i in range(94)), (chr(0x21 + i) for i in range(94))))
+_SINGLE = ["'" + "".join(d).replace("'", "''") + "'" for d in ([*_WIDE, *lookalikes.STROKED], [*_WIDE.values(), *lookalikes.STROKED.values()])]
+_WORD = r"'[\p{L}\p{N}][\p{L}\p{N}\x{300}-\x{36f}]*'"
+
+
+def _consistent_sql(source: str) -> str:
+    """SQL for (id, clean) of a source (id, value): words with Latin letters get the Latin look-alikes, the rest is by character."""
+    plain = f"nfc_normalize(translate(regexp_replace(regexp_replace(value, '[{lookalikes.WIDTHLESS}]', '', 'g'), '[{lookalikes.BLANKS}]', ' ', 'g'), {_SINGLE[0]}, {_SINGLE[1]}))"
+    old, new = _translation(lookalikes.CONFUSABLE)
+    return f"""(select id, nfc_normalize(string_agg(gap || case when regexp_matches(word, '\\p{{Latin}}') then translate(word, {old}, {new}) else word end, '' order by i)) as clean from (
+  select id, unnest(string_split_regex(v, {_WORD})) as gap, unnest(list_append(regexp_extract_all(v, {_WORD}), '')) as word, unnest(range(0, len(regexp_extract_all(v, {_WORD}))::bigint + 1)) as i from (select id, {plain} as v from {source})) group by 1)"""
+
+
+_FIELDS = "(select {'r': record_id, 'f': f, 'v': v} as id, v as value from (select record_id, unnest(['signer', 'issuer', 'full_text']) as f, unnest([signer, issuer, full_text]) as v from vb_documents) where v is not null and v <> '')"
+_BODIES = "(select record_id as id, full_text as value from vb_documents where full_text <> '')"
+
+_NEAR = f"""t as (select id, regexp_extract_all(lower(coalesce(title, '') || chr(10) || clean), '[\\p{{L}}\\p{{N}}]+') as w from {_consistent_sql(_BODIES)} join vb_documents on record_id = id),
+ s as (select distinct id, array_to_string(w[i:i + 2], ' ') as g from (select id, w, unnest(range(1, len(w)::bigint - 1)) as i from t)),
+ n as (select id, count(*) as n from s group by 1),
+ c as (select a.id as a, b.id as b, count(*) as c from s a join s b on a.g = b.g and a.id < b.id group by 1, 2),
+ near as (select a, b from c join n x on x.id = a join n y on y.id = b where 10 * c >= 7 * (x.n + y.n - c))"""
+
 #: Feasible at the scale of the correctness gate; above it the full comparison is what the operators avoid.
 SQL = {
+    "p4_found": f"select distinct id.r as record_id, id.f as field, sha256(clean) as clean_sha256 from {_consistent_sql(_FIELDS)} where clean <> id.v",
+    "p7_found": f"with {_NEAR} select a as record_a, b as record_b from near",
+    "p7_classes": f"""with {_NEAR}, h as (select id, md5(string_agg(g, '|' order by g)) as h from s group by 1), k as (select id, min(id) over (partition by h) as class_id from h),
+ l as (select class_id, count(*) as n from (select unnest([a, b]) as class_id, a, b from near) where a in (select class_id from k) and b in (select class_id from k) group by 1)
+ select id as record_id, k.class_id, coalesce(n, 0) as n_links from k left join l on l.class_id = k.class_id""",
     "p5_found": f"with {_OVERLAPS} select least(eval_id, train_id) as row_a, greatest(eval_id, train_id) as row_b from pairs",
     "p5_report": f"with {_OVERLAPS}, k as (select eval_id, count(*) as n from pairs group by 1) select split, source, count(*) as n_rows, count(n) as n_overlapping, coalesce(sum(n), 0)::bigint as n_pairs from ner_dataset left join k on eval_id = row_id where split <> 'train' group by 1, 2",
     "p5_containment": f"""with t as (select text, min(row_id) as id, bool_or(split is null or split <> 'train') as asked, bool_or(split = 'train') as held from ner_dataset where text <> '' group by 1),
