@@ -30,13 +30,13 @@ def json_depth(df: DataFrame, column: str) -> int:
     return df.where(F.try_parse_json(F.col(column)).isNotNull()).select(F.max(deepest)).first()[0] or 0
 
 
-def flatten_json(df: DataFrame, column: str, keys: list[str], depth: int | None = None) -> DataFrame:
+def flatten_json(df: DataFrame, column: str, keys: list[str], depth: int | None = None, first: bool = False) -> DataFrame:
     """(keys, path, value, type) of the leaves of JSON texts, `[]` in a path for the entries of an array.
 
     Null leaves are kept, empty containers and unreadable texts have none. Without
     `depth` every level is read, as many as the deepest text has, which is looked for first; else what
-    is nested deeper comes as one leaf, JSON text of its type. Levels are arrays of one row, so there is one scan
-    and one explode, and no shuffle.
+    is nested deeper comes as one leaf, JSON text of its type. With `first` only the first entry of an array is looked at, and
+    empty containers are leaves, too. Levels are arrays of one row, so there is one scan and one explode, and no shuffle.
     """
     depth = json_depth(df, column) if depth is None else depth
     leaf = "struct<path:string,value:string,type:string>"
@@ -46,11 +46,12 @@ def flatten_json(df: DataFrame, column: str, keys: list[str], depth: int | None
     def children(n: Column) -> Column:
         head = F.when(n["path"] == "", F.lit("")).otherwise(F.concat(n["path"], F.lit(".")))
         members = F.transform(F.map_entries(F.try_variant_get(n["v"], "$", "map<string,variant>")), lambda m: F.struct(F.concat(head, m["key"]).alias("path"), m["value"].alias("v")))
-        entries = F.transform(F.try_variant_get(n["v"], "$", "array<variant>"), lambda e: F.struct(F.concat(n["path"], F.lit("[]")).alias("path"), e.alias("v")))
+        listed = F.try_variant_get(n["v"], "$", "array<variant>")
+        entries = F.transform(F.slice(listed, 1, 1) if first else listed, lambda e: F.struct(F.concat(n["path"], F.lit("[]")).alias("path"), e.alias("v")))
         return F.when(kind(n).startswith("OBJECT"), members).otherwise(entries)
 
     def ends(level: Column, last: bool) -> Column:
-        chosen = level if last else F.filter(level, lambda n: ~inner(n))
+        chosen = level if last else F.filter(level, lambda n: ~inner(n) | (F.size(children(n)) == 0) if first else ~inner(n))
         return F.transform(chosen, lambda n: F.struct(n["path"].alias("path"), F.try_variant_get(n["v"], "$", "string").alias("value"), F.lower(F.regexp_extract(kind(n), "^([A-Z]+)", 1)).alias("type")))
 
     rows = df.select(*keys, F.array(F.struct(F.lit("").alias("path"), F.try_parse_json(F.col(column)).alias("v"))).alias("_level"), F.expr(f"cast(array() as array<{leaf}>)").alias("_ends")).where("_level[0].v is not null")
@@ -60,9 +61,10 @@ def flatten_json(df: DataFrame, column: str, keys: list[str], depth: int | None
     return rows.select(*keys, F.inline("_ends"))
 
 
-def shape_of(column: Column) -> Column:
-    """The structure of a JSON text, for counting variants; null where it can't be read."""
-    return F.schema_of_variant(F.try_parse_json(column))
+def json_shapes(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
+    """(keys, shape): the structure of JSON texts: paths and types, one to a line, sorted, of arrays the first entry's; unreadable texts have none."""
+    leaves = flatten_json(df, column, keys, first=True).select(*keys, F.concat_ws(":", "path", "type").alias("leaf"))
+    return leaves.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("leaf")), "\n").alias("shape"))  # of one text
 
 
 def record_leaves(df: DataFrame, columns: dict[str, str], keys: list[str]) -> DataFrame:

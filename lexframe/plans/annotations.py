@@ -85,8 +85,9 @@ def json_flatten_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "vb_documents", "record_id").select(L.shape_of(F.col("relationship_graph.raw")).alias("shape"))
-    return raw.where("shape is not null").groupBy("shape").agg(F.count("*").alias("n"))
+    """Structures of the relationship diagrams, and how many have each."""
+    raw = table(spark, sf_dir, "vb_documents", "record_id").select("record_id", F.col("relationship_graph.raw").alias("raw"))
+    return L.json_shapes(raw, "raw", ["record_id"]).groupBy(F.md5("shape").alias("shape"), F.length("shape").cast("bigint").alias("n_chars")).agg(F.count("*").alias("n"))
 
 
 def _leaves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -402,6 +403,16 @@ SQL["stale_outputs"] = """with r as (select document_id, source_sha256 as h, len
  c as (select document_id, h, count(*) as k, max(n) as n from r group by 1, 2),
  b as (select *, row_number() over (partition by document_id order by k desc, coalesce(h, '') desc) as place from c)
  select issue, count(*) as n from (select case when r.h is distinct from b.h then 'hash_mismatch' when r.n is distinct from b.n then 'length_mismatch' end as issue from r join b on b.document_id = r.document_id and place = 1) where issue is not null group by 1"""
+_LEAF = "case json_type(j) when 'VARCHAR' then 'string' when 'BIGINT' then 'bigint' when 'UBIGINT' then 'bigint' when 'BOOLEAN' then 'boolean' when 'NULL' then 'void' when 'DOUBLE' then 'decimal' else lower(json_type(j)) end"
+SQL["json_shapes"] = f"""with recursive nodes as (
+  select record_id, '' as path, relationship_graph.raw::json as j from vb_documents where json_valid(relationship_graph.raw)
+  union all
+  select record_id, case when key is null then path || '[]' when path = '' then key else path || '.' || key end, v from (
+    select record_id, path, key, json_extract(j, '/' || replace(replace(key, '~', '~0'), '/', '~1')) as v from (select record_id, path, j, unnest(json_keys(j)) as key from nodes where json_type(j) = 'OBJECT')
+    union all select record_id, path, null, json_extract(j, '$[0]') from nodes where json_type(j) = 'ARRAY' and json_array_length(j) > 0)),
+ leaves as (select record_id, path || ':' || {_LEAF} as leaf from nodes where json_type(j) not in ('OBJECT', 'ARRAY') or json_type(j) = 'ARRAY' and json_array_length(j) = 0 or json_type(j) = 'OBJECT' and len(json_keys(j)) = 0),
+ shapes as (select record_id, string_agg(leaf, chr(10) order by leaf) as shape from leaves group by 1)
+ select md5(shape) as shape, length(shape) as n_chars, count(*) as n from shapes group by 1, 2"""
 SQL["json_flatten_diagrams"] = """with recursive nodes as (
   select record_id, '' as path, relationship_graph.raw::json as j from vb_documents where json_valid(relationship_graph.raw)
   union all

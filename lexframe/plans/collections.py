@@ -9,6 +9,7 @@ from ..functions import text as X
 from ..operators import collection as C
 from ..operators import references
 from ..session import table
+from ..sources import files, sinks
 from .problems import _EDGES_SQL, _ENDS, EDGES, flat_tables
 from .texts import _FOLDED, _HTML, _SAFE
 
@@ -118,7 +119,25 @@ def attribute_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.attribute_export(table(spark, sf_dir, "vb_documents"))
 
 
-QUERIES = {f.__name__: f for f in (type_match, type_listing, list_normalize, list_latest, newest_items, page_counts, resume_antijoin, resume_stale, folder_collisions, pair_files, relation_edges, related_ids, inventory_kind, inventory_duplicates, path_parts, attach_pick, export_route, attribute_export)}
+def key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys in lists with one on each line: here the lines of the documents."""
+    lines = table(spark, sf_dir, "documents", "doc_id").select(F.explode(F.split("text", "\n")).alias("value"))
+    return files.key_set(lines, "value").select(F.md5("key").alias("key"), F.length("key").cast("bigint").alias("n_chars"))
+
+
+def exported_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids read back from exported attributes, of two types' folders only."""
+    exports = sinks.attribute_json(C.attribute_export(table(spark, sf_dir, "vb_documents"))).where(F.col("doc_type").isin("Thông tư", "Nghị quyết"))
+    return files.exported_ids(exports.select("json", F.col("doc_type").alias("type_dir")))
+
+
+def page_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of at most three pages after the fifth."""
+    rows = table(spark, sf_dir, "list_items").where("list_page > 5 and list_page <= 5 + 3")
+    return rows.groupBy(F.col("list_page").cast("bigint").alias("list_page")).agg(F.count("*").alias("n"), F.countDistinct("item_id").alias("n_items"))
+
+
+QUERIES = {f.__name__: f for f in (key_sets, exported_keys, page_bound, type_match, type_listing, list_normalize, list_latest, newest_items, page_counts, resume_antijoin, resume_stale, folder_collisions, pair_files, relation_edges, related_ids, inventory_kind, inventory_duplicates, path_parts, attach_pick, export_route, attribute_export)}
 
 _TYPES = "(values " + ", ".join(f"('{k}', '{n[0]}', [{', '.join(repr(x) for x in longer)}]::varchar[])" for k, (n, longer) in C.type_predicates().items()) + ") as types(type_id, form, longer)"
 _HITS = "(f = {0} or starts_with(f, {0} || ' ') or starts_with(f, {0} || '-'))"
@@ -134,6 +153,9 @@ _NAME = "lower(regexp_extract(path, '([^/]*)$', 1))"
 _RAW = "coalesce(doc_number, '')"
 
 SQL = {
+    "key_sets": "select distinct md5(k) as key, length(k) as n_chars from (select trim(unnest(string_split(text, chr(10))), ' ') as k from documents) where k <> ''",
+    "exported_keys": "select distinct item_id, doc_type as type_dir from vb_documents where item_id <> '' and doc_type in ('Thông tư', 'Nghị quyết')",
+    "page_bound": "select list_page, count(*) as n, count(distinct item_id) as n_items from list_items where list_page between 6 and 8 group by 1",
     "type_match": f"with {_TYPED} select type_id, count(*) as n_items from typed group by 1",
     "type_listing": f"with {_TYPED}, asked as (select distinct item_id, doc_type, title, {_ALIASES} as wanted from list_items) select wanted, count(*) as n_items from asked a where exists (select 1 from typed t where t.type_id = a.wanted and t.title is not distinct from a.title and t.doc_type is not distinct from a.doc_type) group by 1",
     "list_normalize": f"select distinct coalesce(nullif(item_id, ''), nullif(url_toanvan, ''), nullif(url, ''), '') as item_key, {_E('title')} as title, {_E('doc_number')} as doc_number, {_E('doc_type')} as doc_type, split_part({_E('issue_date')}, 'T', 1) as issue_date, split_part({_E('effective_date')}, 'T', 1) as effective_date, {_E('issuer')} as issuer, {_E('status')} as status, list_page from list_items",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import normalize as N
 from ..functions import text as X
 from ..operators import articles, spans
 from ..session import table
@@ -119,7 +120,19 @@ def sha_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("sha256").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_docs"))
 
 
-QUERIES = {f.__name__: f for f in (normalize_fast, accent_fold_slug, safe_names, html_text_regex, url_id_extract, article_split, sentence_offsets, line_blocks_offsets, line_dedupe, person_title_predicates, signature_windows, api_signatures, value_variants_dates, base64_decode, sha_fingerprint)}
+def match_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles in the form in which they are compared."""
+    return table(spark, sf_dir, "list_items").select("title").distinct().where("title is not null").select("title", N.match_form("title").alias("form"))
+
+
+def raw_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the normalized text of a document lies in the raw one."""
+    rows = table(spark, sf_dir, "documents", "doc_id").where("text is not null").select("doc_id", N.normalized("text").alias("n"))
+    whole = N.span_to_raw(F.col("n.offsets"), F.lit(0), F.length("n.text"))
+    return rows.where("n.text <> ''").select("doc_id", whole["start"].cast("bigint").alias("start_char"), whole["end"].cast("bigint").alias("end_char"))
+
+
+QUERIES = {f.__name__: f for f in (match_forms, raw_spans, normalize_fast, accent_fold_slug, safe_names, html_text_regex, url_id_extract, article_split, sentence_offsets, line_blocks_offsets, line_dedupe, person_title_predicates, signature_windows, api_signatures, value_variants_dates, base64_decode, sha_fingerprint)}
 
 #: A line of white space only, as a SQL literal.
 _BLANK = _q(f"^[{_B}\n\r]*$")
@@ -177,3 +190,7 @@ SQL["signature_windows"] = rf"""with l as (select record_id, line, n, lag(line)
  f as (select p.record_id, p.r, any_value(p.own) as own, list(k.line order by k.r) filter (is_title and k.r <= p.r) as up, list(k.line order by k.r) filter (is_name and k.r > p.r) as down from p join k on k.record_id = p.record_id and k.r between p.r - 5 and p.r + 7 group by 1, 2),
  g as (select record_id, r, case when len(up) > 0 then trim(regexp_replace(array_to_string(up[-3:], ' '), '\(?Đã ký\)?.*$', '')) end as title, coalesce(down[1], own) as name from f)
  select record_id, arg_min(name, r) filter (name is not null) as signer, arg_min(title, r) filter (title is not null) as signer_title from g group by 1 having max(name) is not null or max(title) is not null"""
+SQL["match_forms"] = f"select distinct title, lower(nfc_normalize({_NORMAL_VALUE.replace('translate(value,', 'translate(title,', 1)})) as form from list_items where title is not null"
+_GONE = f"[{_B}\n\r\x1c-\x1f\x85\u2028\u2029{X.INVISIBLE}]"
+SQL["raw_spans"] = f"""select doc_id, length(text) - length(regexp_replace(text, {_q('^' + _GONE + '+')}, '')) as start_char, length(regexp_replace(text, {_q(chr(92) + 'p{M}*' + _GONE + '*$')}, '')) as end_char
+ from documents where regexp_replace(text, {_q(_GONE)}, '', 'g') <> ''"""

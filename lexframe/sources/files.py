@@ -183,7 +183,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType) -> tu
 
 def read_key_set(spark: SparkSession, path: str) -> DataFrame:
     """The distinct lines of a text file, trimmed, without blank ones."""
-    return spark.read.text(path).select(F.trim("value").alias("key")).where("key <> ''").distinct()
+    return key_set(spark.read.text(path), "value")
+
+
+def key_set(df: DataFrame, column: str) -> DataFrame:
+    """(key): the distinct values of a column, trimmed, without null and blank ones."""
+    return df.select(F.trim(column).alias("key")).where("key <> ''").distinct()
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -201,9 +206,13 @@ def read_exported_ids(spark: SparkSession, folder: str, types: list[str] | None
     """(item_id, type_dir) of exported attribute files in `<folder>/<type>/<document>/thuoc_tinh.json`; only the types' folders are listed."""
     paths = [f"{folder}/{t}/*/thuoc_tinh.json" for t in types] if types else [f"{folder}/*/*/thuoc_tinh.json"]
     rows = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(paths)
-    parsed = F.try_parse_json(F.regexp_replace(F.decode("content", "UTF-8"), "^\ufeff", ""))
-    found = rows.select(F.try_variant_get(parsed, "$.metadata.item_id", "string").alias("item_id"), F.regexp_extract("path", "([^/]+)/[^/]+/[^/]+$", 1).alias("type_dir"))
-    return found.where("item_id <> ''").distinct()
+    return exported_ids(rows.select(F.decode("content", "UTF-8").alias("json"), F.regexp_extract("path", "([^/]+)/[^/]+/[^/]+$", 1).alias("type_dir")))
+
+
+def exported_ids(exports: DataFrame) -> DataFrame:
+    """(item_id, type_dir), distinct, of exported attributes (json, type_dir); unreadable ones and those without an id give none."""
+    parsed = F.try_parse_json(F.regexp_replace("json", "^\ufeff", ""))
+    return exports.select(F.try_variant_get(parsed, "$.metadata.item_id", "string").alias("item_id"), "type_dir").where("item_id <> ''").distinct()
 
 
 def read_predictions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
