@@ -348,7 +348,7 @@ def _score(kind: str, value: str, ctx: str, name: str, short: str | None) -> flo
     elif kind == TITLE:
         s = title_score(value, name)
     else:
-        state, title_state = ctx.split("|")[1::2]
+        state, title_state = ctx.split("|", 2)[:2]
         s = person_score(value, registered(name), state == "linked")
         if s < 0.97 and (title_state == "unknown" or state == "unknown"):
             return 0.0
@@ -413,7 +413,7 @@ def resolve_documents(docs: DataFrame, officials: DataFrame, agencies: DataFrame
         return F.when(F.col(f"{found}.entity_id").isNotNull(), "linked").when(F.col(column).isNull(), "empty").otherwise("unknown")
 
     known = rows.join(linked(OFFICE, "issuer", "office"), "issuer", "left").join(linked(TITLE, "signer_title", "title"), "signer_title", "left")
-    ctx = F.concat_ws("|", F.coalesce("office.entity_id", F.lit("")), state("issuer", "office"), F.coalesce("title.entity_id", F.lit("")), state("signer_title", "title"))
+    ctx = F.concat_ws("|", state("issuer", "office"), state("signer_title", "title"), F.coalesce("office.entity_id", F.lit("")), F.coalesce("title.entity_id", F.lit("")))
     known = known.withColumn("ctx", ctx)
     people = known.where("signer is not null").select(F.lit(PERSON).alias("kind"), F.col("signer").alias("value"), "ctx", F.col("office.entity_id").alias("office"), F.col("title.entity_id").alias("title")).distinct()
     persons = checkpointed(link_values(people, index)).select(F.col("value").alias("signer"), "ctx", F.struct("entity_id", "name", "n").alias("person"))
