@@ -21,6 +21,7 @@ def _rows(spark: SparkSession, path: str):
 def run_list(spark, a) -> None:
     options = {"path": a.source} if not a.source.startswith("http") else {"url": a.source}
     options |= {"pageSize": a.page_size, "typeId": a.type_id, "keyword": a.keyword, "maxPages": 0 if a.all_pages else a.max_pages, "afterPage": a.after_page, "onError": "row"}
+    options |= {"pages": a.pages} if a.pages else {}
     read = listing.read_listing(spark, **options).persist()
     unread = read.where("error is not null").select("list_page", "type_id", "keyword", "error")
     items = read.where("error is null").drop("error")
@@ -100,7 +101,7 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(f"--{n.replace('_', '-')}", **kind)
         return c
 
-    command("list", run_list, "source", "out", type_id="", keyword="", doc_type="", max_pages=1, all_pages=False, page_size=50, limit=0, after_page=0)
+    command("list", run_list, "source", "out", type_id="", keyword="", doc_type="", max_pages=1, all_pages=False, page_size=50, limit=0, after_page=0, pages="")
     command("inventory", run_inventory, "source", "out")
     command("pair", run_pair, "source", "out")
     command("extract", run_extract, "source", "out")

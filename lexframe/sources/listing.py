@@ -42,12 +42,14 @@ class Unread(Exception):
     """A page that could not be read, after all attempts."""
 
 
-def with_retries(call: Callable[[], dict | None], attempts: int = 3, delay: float = 0.0) -> dict | None:
-    """The result of a call, tried again after errors with growing pauses; null when all fail."""
+def with_retries(call: Callable[[], dict | None], attempts: int = 3, delay: float = 0.0, errors: list[Exception] | None = None) -> dict | None:
+    """The result of a call, tried again after errors with growing pauses; null when all fail. `errors` takes what went wrong."""
     for i in range(1, attempts + 1):
         try:
             return call()
-        except (OSError, ValueError):
+        except (OSError, ValueError) as e:
+            if errors is not None:
+                errors.append(e)
             time.sleep(delay * i)
     return None
 
@@ -142,9 +144,10 @@ class ListingReader(DataSourceReader):
     def _get(self, page: int) -> dict:
         transport = http_transport(self.options["url"]) if "url" in self.options else folder_transport(self.options["path"])
         payload = listing_payload(page, self.size, self.type_id, self.keyword)
-        reply = with_retries(lambda: transport(payload), int(self.options.get("attempts", 3)), float(self.options.get("delay", 0)))
+        errors: list[Exception] = []
+        reply = with_retries(lambda: transport(payload), int(self.options.get("attempts", 3)), float(self.options.get("delay", 0)), errors)
         if reply is None:
-            raise Unread(f"page {page} of the listing could not be read")
+            raise Unread(f"page {page} of the listing could not be read: {errors[-1] if errors else 'it is not there'}")
         return reply
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:

@@ -195,3 +195,18 @@ def test_word_files_from_html(spark):
     df = spark.createDataFrame([(1, "thô", "T", "<p>h</p>", "html"), (2, "thô", "T", "<p>h</p>", "raw_text"), (3, None, None, None, "attachments")], "id int, t string, title string, html string, how string")
     made = sinks.word_files(df, "id", "t", "title", "html", "how").collect()
     assert {r.id: [b["text"] for b in files.docx_blocks(bytes(r.content))] for r in made} == {1: ["T", "h"], 2: ["thô"], 3: ["(no content)"]}
+
+
+def test_the_list_command_keeps_what_could_be_read(spark, tmp_path):
+    from lexframe import cli
+
+    for page in (1, 3):
+        write(tmp_path / "in" / f"page_{page}.json", json.dumps({"data": {"total": 3, "items": [{"id": str(page), "title": "t"}]}}))
+    write(tmp_path / "in" / "page_2.json", "{")
+    call = ["list", "--source", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--page-size", "1"]
+    assert cli.main([*call, "--all-pages"], spark) == 0
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("item_id")) == [("1",), ("3",)]
+    assert rows(spark.read.parquet(str(tmp_path / "out_unread")).select("list_page")) == [(2,)]
+    write(tmp_path / "in" / "page_2.json", json.dumps({"data": {"total": 3, "items": [{"id": "2", "title": "t"}]}}))
+    assert cli.main([*call, "--pages", "2"], spark) == 0
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("item_id")) == [("1",), ("2",), ("3",)]
