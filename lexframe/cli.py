@@ -46,7 +46,7 @@ def run_pair(spark, a) -> None:
 
 
 def run_extract(spark, a) -> None:
-    sinks.write_cache(files.read_documents(spark, a.source), a.out)
+    sinks.write_cache(files.read_documents(spark, a.source, files.OfficeConverter()), a.out)
 
 
 def run_train(spark, a) -> None:

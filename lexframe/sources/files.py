@@ -6,8 +6,13 @@ import hashlib
 import io
 import json
 import re
+import shutil
+import subprocess
+import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from pathlib import Path
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -33,10 +38,35 @@ EXTRACTED = T.StructType(
     )]
 )
 
-#: Turns the bytes of a legacy Word file into those of a .docx; None where no converter is installed.
+#: Turns the bytes of a legacy Word file into those of a .docx.
 Converter = Callable[[bytes], bytes]
 
 
+@dataclass(frozen=True)
+class OfficeConverter:
+    """Converts by an office program that the worker has; fails where it has none, or where a file takes longer than `timeout` seconds.
+
+    Each file is converted in a folder of its own, with a profile of its own, so tasks of one machine don't meet; nothing of it is
+    needed afterwards. `read_cached_documents` keeps what was converted before.
+    """
+
+    program: str = "libreoffice"
+    timeout: float = 120.0
+
+    def __call__(self, data: bytes) -> bytes:
+        if not shutil.which(self.program):
+            raise ValueError(f"{self.program} is needed to read legacy Word files")
+        with tempfile.TemporaryDirectory() as folder:
+            source = Path(folder, "in.doc")
+            source.write_bytes(data)
+            call = [self.program, f"-env:UserInstallation=file://{folder}/profile", "--headless", "--convert-to", "docx", "--outdir", folder, str(source)]
+            done = subprocess.run(call, capture_output=True, text=True, timeout=self.timeout, check=False)
+            made = Path(folder, "in.docx")
+            if done.returncode or not made.exists():
+                raise ValueError(f"conversion failed: {done.stderr.strip()[:500]}")
+            return made.read_bytes()
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, relative_path, name, extension, kind, size_bytes, readable, error) of all files below a folder.
 

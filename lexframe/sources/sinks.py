@@ -7,14 +7,14 @@ import platform
 import re
 import sys
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import escape as html_escape
 from html.parser import HTMLParser
 from importlib import metadata
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _TYPES = """<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/word/document.xml" ContentType="application/vnd.openxmlformats-officedocument.wordprocessingml.document.main+xml"/></Types>"""
@@ -229,6 +229,43 @@ def write_entities(entities: DataFrame, summary: DataFrame, failures: DataFrame,
     write_report(failures, f"{folder}/failures")
 
 
+def annotation_json(articles: DataFrame, tokens: DataFrame, entities: DataFrame, key: str, metadata: DataFrame | None = None) -> DataFrame:
+    """(key, json): the annotations of each document as one nested text: its metadata, its articles, and their tokens and entities.
+
+    articles: (key, article_no, article_number, title); tokens: (key, article_no, token_no, token, tag, start_char, end_char); entities:
+    (key, article_no, text, label, start_char, end_char), which get the tokens that they hold; metadata: (key, and what is
+    known of a document). Articles without tokens or entities have empty lists. What is gathered is one document's.
+    """
+    by = [key, "article_no"]
+    words = tokens.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("token_no", "token", "tag", "start_char", "end_char"))).alias("t"))
+    found = entities.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("start_char", "end_char", "label", "text"))).alias("e"))
+    rows = articles.select(*by, "article_number", "title").join(words, by, "left").join(found, by, "left")
+    token = lambda x: F.struct(x["token"].alias("token"), x["tag"].alias("tag"), x["start_char"].alias("start_char"), x["end_char"].alias("end_char"))
+
+    def entity(e: Column) -> Column:
+        held = F.filter(F.col("t"), lambda x: (x["start_char"] >= e["start_char"]) & (x["end_char"] <= e["end_char"]))
+        lists = (F.coalesce(F.transform(held, _field(n)), F.array().cast("array<string>")).alias(a) for n, a in (("token", "tokens"), ("tag", "bio_tags")))
+        return F.struct(e["text"].alias("text"), e["label"].alias("label"), e["start_char"].alias("start_char"), e["end_char"].alias("end_char"), *lists)
+
+    none = lambda c, kind: F.coalesce(c, F.array().cast(kind))
+    annotation = F.struct(
+        "article_no",
+        F.col("article_number"),
+        F.col("title").alias("article_title"),
+        none(F.transform("t", token), "array<struct<token:string,tag:string,start_char:int,end_char:int>>").alias("token_annotations"),
+        none(F.transform("e", entity), "array<struct<text:string,label:string,start_char:int,end_char:int,tokens:array<string>,bio_tags:array<string>>>").alias("entities"),
+    )
+    whole = rows.groupBy(key).agg(F.array_sort(F.collect_list(annotation), lambda a, b: a["article_no"] - b["article_no"]).alias("annotations"))
+    about = F.struct(*(c for c in metadata.columns if c != key)) if metadata is not None else None
+    whole = whole.join(metadata.select(key, about.alias("metadata")), key, "left") if about is not None else whole
+    body = F.struct(*(["metadata"] if about is not None else []), F.transform("annotations", lambda a: a.dropFields("article_no")).alias("annotations"))
+    return whole.select(key, F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
+
+
+def _field(name: str) -> Callable[[Column], Column]:
+    return lambda x: x[name]
+
+
 def environment_report(spark: SparkSession) -> dict[str, str]:
     """Versions and settings that a run depends on."""
     packages = {}

@@ -210,3 +210,29 @@ def test_the_list_command_keeps_what_could_be_read(spark, tmp_path):
     write(tmp_path / "in" / "page_2.json", json.dumps({"data": {"total": 3, "items": [{"id": "2", "title": "t"}]}}))
     assert cli.main([*call, "--pages", "2"], spark) == 0
     assert rows(spark.read.parquet(str(tmp_path / "out")).select("item_id")) == [("1",), ("2",), ("3",)]
+
+
+def test_legacy_word_files_by_an_office_program(spark, tmp_path):
+    office = tmp_path / "office"
+    write(office, '#!/bin/sh\nfor last; do :; done\nwhile [ "$1" != --outdir ]; do shift; done\ncase "$(cat "$last")" in bad*) echo broken >&2; exit 1;; slow*) sleep 20;; esac\ncp "$last" "$2/in.docx"\n')
+    office.chmod(0o755)
+    convert = files.OfficeConverter(str(office), timeout=3)
+    write(tmp_path / "in" / "a" / "x.doc", sinks.docx_bytes(["cũ"]))
+    write(tmp_path / "in" / "b" / "x.DOC", "bad")
+    write(tmp_path / "in" / "c" / "x.doc", "slow")
+    got = {r.document_id: (r.normalized_text, r.extraction_method, r.error) for r in files.read_documents(spark, str(tmp_path / "in"), convert).collect()}
+    assert got["a"] == ("cũ", "converted_docx", None) and "broken" in got["b"][2] and "TimeoutExpired" in got["c"][2]
+    assert "is needed" in files.extract("a/x.doc", b"", None, files.OfficeConverter("no such program"))["error"]
+
+
+def test_nested_annotations(spark):
+    articles = spark.createDataFrame([(1, 2, "7", "Điều 7"), (1, 1, "5", "Điều 5"), (2, 1, "1", None)], "id int, article_no int, article_number string, title string")
+    tokens = spark.createDataFrame([(1, 1, 1, "Muối", "I-X", 3, 7), (1, 1, 0, "Bộ", "B-X", 0, 2), (1, 1, 2, "và", "O", 8, 10)], "id int, article_no int, token_no int, token string, tag string, start_char int, end_char int")
+    entities = spark.createDataFrame([(1, 1, "Bộ Muối", "X", 0, 7)], "id int, article_no int, text string, label string, start_char int, end_char int")
+    about = spark.createDataFrame([(1, "t", None)], "id int, title string, doc_number string")
+    got = {r.id: json.loads(r.json) for r in sinks.annotation_json(articles, tokens, entities, "id", about).collect()}
+    assert [a["article_number"] for a in got[1]["annotations"]] == ["5", "7"] and got[1]["metadata"] == {"title": "t", "doc_number": None}
+    assert got[1]["annotations"][0]["entities"] == [{"text": "Bộ Muối", "label": "X", "start_char": 0, "end_char": 7, "tokens": ["Bộ", "Muối"], "bio_tags": ["B-X", "I-X"]}]
+    assert [t["token"] for t in got[1]["annotations"][0]["token_annotations"]] == ["Bộ", "Muối", "và"] and got[1]["annotations"][1]["entities"] == []
+    assert got[2] == {"metadata": None, "annotations": [{"article_number": "1", "article_title": None, "token_annotations": [], "entities": []}]}
+    assert sinks.annotation_json(articles.limit(0), tokens, entities, "id").count() == 0
