@@ -15,8 +15,8 @@ CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХҮҺԌԚԜаеѕіјорсу
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορυχϲϳ", "ABEZHIKMNOPTYXaikvopuxcj"))
 ARMENIAN = dict(zip("ՕՍԼհոսօցյ", "OULhnuogj"))
 CHEROKEE = dict(zip("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᎽᏀᏃᏚᏞᏟᏢᏦᏩᏴ", "DRTAJEWMHYGZSLCPKGB"))
-CYRILLIC_RARE = dict(zip("ѴѵԌᴦꙆꙇ", "VvGrIi"))
-GREEK_RARE = dict(zip("ϹͿγσ", "CJyo"))
+CYRILLIC_RARE = dict(zip("ѴѵԌꙆꙇ", "VvGIi"))
+GREEK_RARE = dict(zip("ϹͿ", "CJ"))
 COPTIC = dict(zip("ⲎⲒⲔⲘⲚⲞⲟⲢⲣⲤⲥⲦⲨⲬⲭ", "HIKMNOoPpCcTYXx"))
 LISU = dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"))
 #: Letters used in place of Đ and đ.
