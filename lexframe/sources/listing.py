@@ -34,7 +34,7 @@ SERVICE_TYPES = {
     "quy_dinh": "608e6760-929a-44b0-9a67-ea41c903e6b9", "sac_lenh": "1e0386d2-9395-4a0f-9d04-18a9e01f0ca7",
     "cong_van": "ecc6bbe0-5d0c-4916-836b-bb2f8146249c", "van_ban_lien_quan": "e154c97d-d4d8-4968-9b72-feffa38924d5",
 }
-ASKED = {"sortBy": "issueDate", "sortDirection": "desc", "groupVbpl": True, "score": False, "agencyLevel": "TRUNG_UONG", "searchIn": "title", "matchMode": "all_words"}
+ASKED = {"sortBy": "issueDate", "sortDirection": "desc", "score": False, "agencyLevel": "TRUNG_UONG", "searchIn": "title", "matchMode": "all_words"}
 # End of the fixed values.
 
 
@@ -143,7 +143,7 @@ class ListingReader(DataSourceReader):
 
     def _get(self, page: int) -> dict:
         transport = http_transport(self.options["url"]) if "url" in self.options else folder_transport(self.options["path"])
-        payload = listing_payload(page, self.size, self.type_id, self.keyword)
+        payload = listing_payload(page, self.size, self.type_id, self.keyword) | json.loads(self.options.get("ask", "{}"))
         errors: list[Exception] = []
         reply = with_retries(lambda: transport(payload), int(self.options.get("attempts", 3)), float(self.options.get("delay", 0)), errors)
         if reply is None:
@@ -190,8 +190,9 @@ class ListingReader(DataSourceReader):
 
 
 class ListingSource(DataSource):
-    """Options: path (folder of pages) or url, pageSize, typeId, keyword, maxPages, afterPage, pages, attempts, delay, onError.
+    """Options: path (folder of pages) or url, pageSize, typeId, keyword, maxPages, afterPage, pages, attempts, delay, onError, ask.
 
+    ask: further fields of what the server is asked, as a JSON object; they win over those that are set here.
     onError: `fail` (the default) ends the job at a page that can't be read after all attempts; `row` gives a row for it that has
     nothing but the page and the error, so it can be read again by `pages`.
     """

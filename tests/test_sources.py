@@ -102,6 +102,7 @@ def test_listing_asks_and_filters_by_type(spark, tmp_path):
     write(tmp_path / "page_1.json", json.dumps({"total": 5, "items": [{"id": str(i), "title": t, "docType": k} for i, (k, t) in enumerate(zip(kinds, titles))]}))
     read = lambda **o: sorted(r.item_id for r in listing.read_listing(spark, path=str(tmp_path), **o).collect())
     assert read() == list("01234") and read(typeId="thong_tu") == list("134") and read(typeId="luat") == ["0"] and read(typeId="3", keyword="ĐÊ") == list("34")
+    assert read(ask='{"keyword": "đê"}') == list("34")
     every = listing.read_listing(spark, path=str(tmp_path))
     assert sorted(r.item_id for r in every.where("type_id = 'thong_tu'").collect()) == list("134")
     assert listing.read_listing(spark, path=str(tmp_path), typeId="luat").where("type_id = 'thong_tu'").count() == 0
